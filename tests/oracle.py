@@ -1,0 +1,82 @@
+"""Compare every query with its SQL in DuckDB; run as a script or from a test."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+import sys
+import time
+from decimal import Decimal
+
+import duckdb
+
+DATA = os.environ.get("RANGELOAD_TEST_DATA", "/root/testdata/sf0.001")
+
+
+def connect(folder: str):
+    db = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path)[: -len(".parquet")]
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return db
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isfinite(value):
+        return round(value, 9)
+    if isinstance(value, Decimal):
+        return float(value)
+    return value
+
+
+def rows_of(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return sorted(plain, key=repr)
+
+
+def compare(spark, db, folder, name, function, sql) -> str | None:
+    """None if both give the same rows, else what differs."""
+    found = function(spark, folder)
+    mine = rows_of(found.columns, found.collect())
+    cursor = db.execute(sql)
+    columns = [d[0] for d in cursor.description]
+    theirs = rows_of(columns, cursor.fetchall())
+    if sorted(found.columns) != sorted(columns):
+        return f"columns {found.columns} != {columns}"
+    if len(mine) != len(theirs):
+        return f"{len(mine)} rows != {len(theirs)}"
+    differing = [(a, b) for a, b in zip(mine, theirs, strict=True) if a != b]
+    if differing:
+        return f"{len(differing)} rows differ, first {differing[0]}"
+    kinds = {type(a) for row in mine for a in row} ^ {type(a) for row in theirs for a in row}
+    return f"types {kinds}" if kinds else None
+
+
+def main(folder: str, only: list[str]) -> int:
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from rangeload.catalog import ORACLES, QUERIES
+    from rangeload.session import spark_session
+
+    spark = spark_session("oracle", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false")
+    spark.sparkContext.setLogLevel("OFF")
+    db = connect(folder)
+    bad = 0
+    for name, function in QUERIES.items():
+        if only and name not in only:
+            continue
+        start = time.time()
+        try:
+            problem = compare(spark, db, folder, name, function, ORACLES[name])
+        except Exception as error:  # report and go on with the next query
+            problem = f"{type(error).__name__}: {str(error)[:400]}"
+        bad += problem is not None
+        rows = db.execute(ORACLES[name]).fetchall() if problem is None else []
+        print(f"{'ok ' if problem is None else 'BAD'} {name:32s} {time.time() - start:6.2f}s {len(rows)} {problem or ''}", flush=True)
+    print(f"{bad} bad")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1] if len(sys.argv) > 1 else DATA, sys.argv[2:]))
