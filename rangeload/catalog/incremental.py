@@ -25,7 +25,7 @@ def _middle(df, offset):
     kind = OffsetType.of(df, offset)
     stats = offset_stats(df, offset)
     whole = OffsetRange(0, stats.first, stats.last)
-    return kind.literal(quantile_cuts(df, offset, whole, stats.rows, 3)[1])
+    return kind.literal(quantile_cuts(df, offset, whole, 3)[1])
 
 
 @query("SELECT * FROM events")

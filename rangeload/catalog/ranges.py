@@ -161,7 +161,7 @@ UNION ALL SELECT 1, e1, e2, '>=', '<' FROM e
 UNION ALL SELECT 2, e2, e2 + t, '>=', '<' FROM e
 UNION ALL SELECT 3, e2 + t, e2 + t * 2, '>=', '<' FROM e
 UNION ALL SELECT 4, e2 + t * 2, hi, '>=', '<=' FROM e
-""")
+""", name="rebuild_ranges")
 def rebuild_ranges_left(spark, folder):
     """The last two of four ranges, re-split into five."""
     events = table(spark, folder, "events")
@@ -176,7 +176,7 @@ e AS (SELECT seen, hi, (hi - seen) // 3 AS t FROM b, c)
 SELECT CAST(0 AS INTEGER) AS range_id, seen AS lower, seen + t AS upper, '>' AS lo_op, '<' AS hi_op FROM e
 UNION ALL SELECT 1, seen + t, seen + t * 2, '>=', '<' FROM e
 UNION ALL SELECT 2, seen + t * 2, hi, '>=', '<=' FROM e
-""")
+""", name="recreate_ranges")
 def recreate_ranges_after_step(spark, folder):
     """Three ranges of which five sixths are loaded: what the next step loads."""
     events = table(spark, folder, "events")

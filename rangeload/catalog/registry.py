@@ -10,13 +10,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     """Register a query ``(spark, folder) -> DataFrame`` and its SQL."""
 
     def register(function):
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql is not None:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
 
     return register

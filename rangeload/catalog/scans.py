@@ -98,7 +98,7 @@ def conform_to_record_type(spark, folder):
     return conform(table(spark, folder, "part"), record)
 
 
-@query("SELECT vec_id, label FROM embeddings")
+@query("SELECT vec_id, label FROM embeddings", name="drop_compound")
 def drop_compound_columns(spark, folder):
     return drop_compound(table(spark, folder, "embeddings"))
 
@@ -108,7 +108,7 @@ SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_totalprice AS pric
        o_totalprice, o_orderdate, strftime(o_orderdate, '%Y-%m-%d') AS day,
        o_orderstatus = 'O' AS open, CAST(NULL AS VARCHAR) AS remark
 FROM orders
-""")
+""", name="typed_load")
 def typed_load_from_text(spark, folder):
     orders = table(spark, folder, "orders")
     text = orders.select(
@@ -157,7 +157,7 @@ def cast_iso_timestamp_seconds(spark, folder):
     return events.select("event_id", parse_iso_timestamp(text, True).cast("timestamp_ntz").alias("ts"))
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts_text FROM events")
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts_text FROM events", name="format_iso_timestamp")
 def format_iso_timestamp_text(spark, folder):
     return table(spark, folder, "events").select("event_id", format_iso_timestamp(F.col("ts")).alias("ts_text"))
 

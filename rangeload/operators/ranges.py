@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from rangeload.operators.filters import apply_filters
 from rangeload.operators.stats import offset_stats
-from rangeload.plans.bounds import OffsetRange, index_of, ranges_from_edges, split_range
+from rangeload.plans.bounds import OffsetRange, count_of, index_of, ranges_from_edges, split_range
 from rangeload.plans.histogram import predicate_over, quantile_cuts
 from rangeload.plans.offsets import OffsetType
 
@@ -46,15 +46,24 @@ class RangeScan:
         )
 
     def ordered(self, partitions: int | None = None, range_id: str = "range_id") -> DataFrame:
-        """Rows in offset order within each range.
+        """Rows in offset order, within each range and across tasks.
 
-        A range shuffle on the offset keeps order across tasks as well. Its
-        second, random key lets rows that share one offset spread over tasks.
+        The edges of the tasks come from a histogram of the offset column, which
+        is read alone for it, so the full rows are read just once. Rows that
+        share one frequent offset spread over all tasks that end or start there.
         """
-        keys = [F.col(self.offset), F.rand(_SALT_SEED)]
         rows = self.rows(range_id)
-        placed = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
-        return placed.sortWithinPartitions(self.offset)
+        if not self.ranges:
+            return rows
+        n = partitions or int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        first, last = self.ranges[0], self.ranges[-1]
+        whole = OffsetRange(0, first.lower, last.upper, first.lo_op, last.hi_op)
+        cuts = quantile_cuts(rows, self.offset, whole, n, tolerance=0.1 / n)
+        column = F.col(self.offset)
+        lowest = count_of(column, cuts, self.kind, inclusive=False)
+        highest = count_of(column, cuts, self.kind, inclusive=True)
+        task = lowest + F.floor(F.rand(_SALT_SEED) * (highest - lowest + 1)).cast("int")
+        return rows.repartitionById(n, task).sortWithinPartitions(self.offset)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return ranges_frame(spark, self.ranges, self.kind)
@@ -114,7 +123,7 @@ def quantile_ranges(
     if stats.first is None:
         return RangeScan(rows, offset, [])
     whole = OffsetRange(0, stats.first, stats.last)
-    cuts = quantile_cuts(rows, offset, whole, stats.rows, n, tolerance)
+    cuts = quantile_cuts(rows, offset, whole, n, tolerance)
     return RangeScan(rows, offset, ranges_from_edges([stats.first, *cuts, stats.last]))
 
 

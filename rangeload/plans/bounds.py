@@ -151,24 +151,31 @@ def index_of(column: Column, lowers: Sequence, kind: OffsetType) -> Column:
 
     Values below the first one get position 0.
     """
-    inner = list(lowers[1:])
-    if len(inner) <= _TREE_EDGES:
-        return _tree(column, inner, 0, kind)
-    edges = F.array(*[kind.literal(v) for v in inner])
-    jumps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(inner).bit_length()))])
-    return F.aggregate(
-        jumps,
-        F.lit(0),
-        lambda at, jump: F.when(
-            (at + jump <= len(inner)) & (column >= F.get(edges, at + jump - 1)), at + jump
-        ).otherwise(at),
-    )
+    return count_of(column, lowers[1:], kind, inclusive=True)
+
+
+def count_of(column: Column, edges: Sequence, kind: OffsetType, inclusive: bool) -> Column:
+    """How many of the ascending ``edges`` lie below the column, or at it if
+    ``inclusive``."""
+    edges = list(edges)
+    if len(edges) <= _TREE_EDGES:
+        return _tree(column, edges, 0, kind, inclusive)
+    values = F.array(*[kind.literal(v) for v in edges])
+    jumps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(edges).bit_length()))])
 
+    def jump_on(at: Column, jump: Column) -> Column:
+        edge = F.get(values, at + jump - 1)
+        passed = column >= edge if inclusive else column > edge
+        return F.when((at + jump <= len(edges)) & passed, at + jump).otherwise(at)
 
-def _tree(column: Column, edges: Sequence, base: int, kind: OffsetType) -> Column:
+    return F.aggregate(jumps, F.lit(0), jump_on)
+
+
+def _tree(column: Column, edges: Sequence, base: int, kind: OffsetType, inclusive: bool) -> Column:
     if not edges:
         return F.lit(base)
     middle = len(edges) // 2
-    return F.when(column < kind.literal(edges[middle]), _tree(column, edges[:middle], base, kind)).otherwise(
-        _tree(column, edges[middle + 1 :], base + middle + 1, kind)
-    )
+    edge = kind.literal(edges[middle])
+    return F.when(
+        column < edge if inclusive else column <= edge, _tree(column, edges[:middle], base, kind, inclusive)
+    ).otherwise(_tree(column, edges[middle + 1 :], base + middle + 1, kind, inclusive))

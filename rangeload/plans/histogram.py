@@ -9,6 +9,7 @@ their own, so cuts are exact and one frequent value costs nothing extra.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,9 @@ from rangeload.operators.filters import any_of
 from rangeload.plans.bounds import OffsetRange, index_of
 from rangeload.plans.offsets import OffsetType
 
+# Gives the rows inside some spans, with the offset as the column ``offset``.
+Offsets = Callable[[list[OffsetRange]], DataFrame]
+
 # Groups of one histogram in all, and the least of one interval.
 MAX_BUCKETS = 1 << 16
 MIN_BUCKETS = 16
@@ -40,11 +44,20 @@ class Bucket:
     rows: int
 
 
-def histogram(df: DataFrame, offset: str, spans: list[OffsetRange], buckets: int) -> list[list[Bucket]]:
-    """Buckets of each of the disjoint, ascending ``spans``, in offset order."""
+def offsets_of(df: DataFrame, offset: str) -> Offsets:
+    """The offsets of a DataFrame."""
     kind = OffsetType.of(df, offset)
-    source, column, span = F.col(offset), F.col("__offset"), F.col("__span")
-    which = index_of(source, [s.lower for s in spans], kind) if len(spans) > 1 else F.lit(0)
+
+    def inside(spans: list[OffsetRange]) -> DataFrame:
+        return df.where(predicate_over(F.col(offset), spans, kind)).select(F.col(offset).alias("offset"))
+
+    return inside
+
+
+def histogram(offsets: Offsets, kind: OffsetType, spans: list[OffsetRange], buckets: int) -> list[list[Bucket]]:
+    """Buckets of each of the disjoint, ascending ``spans``, in offset order."""
+    column, span = F.col("offset"), F.col("span")
+    which = index_of(column, [s.lower for s in spans], kind) if len(spans) > 1 else F.lit(0)
     wide = [s for s in spans if s.lower < s.upper]
     if wide:
         # A span of one value has a single bucket; any width will do for it.
@@ -54,9 +67,9 @@ def histogram(df: DataFrame, offset: str, spans: list[OffsetRange], buckets: int
     else:
         place = F.lit(0)
     counted = (
-        df.where(predicate_over(source, spans, kind))
-        .select(source.alias("__offset"), which.alias("__span"))
-        .groupBy(span.alias("span"), place.alias("place"))
+        offsets(spans)
+        .withColumn("span", which)
+        .groupBy("span", place.alias("place"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min(column).alias("first"), F.max(column).alias("last"))
         .select(
             "span",
@@ -95,11 +108,11 @@ def chunks_of(buckets: list[Bucket], cap: int) -> list[Chunk]:
     return chunks
 
 
-def plan_chunks(df: DataFrame, offset: str, ranges: list[OffsetRange], cap: int, total: int) -> list[Chunk]:
+def plan_chunks(offsets: Offsets, kind: OffsetType, ranges: list[OffsetRange], cap: int, total: int) -> list[Chunk]:
     """Chunks of all rows in ``ranges``, found with one pass over the offsets."""
     wanted = max(MIN_BUCKETS, 4 * -(-total // cap))
     buckets = max(MIN_BUCKETS, min(wanted, MAX_BUCKETS // len(ranges)))
-    return [c for found in histogram(df, offset, ranges, buckets) for c in chunks_of(found, cap)]
+    return [c for found in histogram(offsets, kind, ranges, buckets) for c in chunks_of(found, cap)]
 
 
 def _due(chunks: list[Chunk], span: OffsetRange) -> Chunk | None:
@@ -116,7 +129,7 @@ def next_cut(chunks: list[Chunk], span: OffsetRange):
 
 
 def refine_chunks(
-    df: DataFrame, offset: str, chunks: list[Chunk], ranges: list[OffsetRange], cap: int
+    offsets: Offsets, kind: OffsetType, chunks: list[Chunk], ranges: list[OffsetRange], cap: int
 ) -> tuple[list[Chunk], bool]:
     """Cut the chunks that ``ranges`` are about to load down to ``cap`` rows.
 
@@ -135,7 +148,7 @@ def refine_chunks(
             return chunks, changed
         parts = [due[cut] for cut in sorted(due)]
         spans = [OffsetRange(i, c.first, c.cut) for i, c in enumerate(parts)]
-        found = histogram(df, offset, spans, max(MIN_BUCKETS, MAX_BUCKETS // len(spans)))
+        found = histogram(offsets, kind, spans, max(MIN_BUCKETS, MAX_BUCKETS // len(spans)))
         cut = []
         for part, buckets in zip(parts, found, strict=True):
             pieces = chunks_of(buckets, cap)
@@ -148,26 +161,25 @@ def refine_chunks(
         changed = True
 
 
-def quantile_cuts(
-    df: DataFrame, offset: str, whole: OffsetRange, total: int, parts: int, tolerance: float = 0.0
-) -> list:
-    """Offsets of the rows ranked ``ceil(i * total / parts)`` for i = 1 .. parts - 1.
+def quantile_cuts(df: DataFrame, offset: str, whole: OffsetRange, parts: int, tolerance: float = 0.0) -> list:
+    """Offsets of the rows ranked ``ceil(i * rows / parts)`` for i = 1 .. parts - 1.
 
     Each pass narrows every wanted rank to one bucket of the one before. With a
     ``tolerance`` a bucket of up to that share of the rows is close enough, and
     its largest offset is taken.
     """
+    kind, offsets = OffsetType.of(df, offset), offsets_of(df, offset)
+    first = histogram(offsets, kind, [whole], MAX_BUCKETS)
+    total = sum(bucket.rows for bucket in first[0])
+    wanted = {i: -(-i * total // parts) for i in range(1, parts)} if total else {}
     answers: dict[int, object] = {}
-    wanted = {i: -(-i * total // parts) for i in range(1, parts)}
-    # (span, rows below it, ranks to find in it)
-    active = [(whole, 0, list(wanted))] if wanted and total else []
+    # (span, rows below it, parts whose end lies in it) with the buckets of each
+    active, found = [(whole, 0, list(wanted))], first
     while active:
-        buckets = max(MIN_BUCKETS, MAX_BUCKETS // len(active))
-        found = histogram(df, offset, [span for span, _, _ in active], buckets)
         narrowed = []
-        for (span, below, ranks), counted in zip(active, found, strict=True):
+        for (span, below, ends), counted in zip(active, found, strict=True):
             for bucket in counted:
-                inside = [i for i in ranks if below < wanted[i] <= below + bucket.rows]
+                inside = [i for i in ends if below < wanted[i] <= below + bucket.rows]
                 same = len(counted) == 1 and (bucket.first, bucket.last) == (span.lower, span.upper)
                 settled = bucket.first == bucket.last or same or bucket.rows <= tolerance * total
                 if inside and settled:
@@ -176,4 +188,7 @@ def quantile_cuts(
                     narrowed.append((OffsetRange(0, bucket.first, bucket.last), below, inside))
                 below += bucket.rows
         active = narrowed
+        if active:
+            each = max(MIN_BUCKETS, MAX_BUCKETS // len(active))
+            found = histogram(offsets, kind, [span for span, _, _ in active], each)
     return [answers[i] for i in sorted(answers)]

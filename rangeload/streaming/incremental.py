@@ -6,16 +6,20 @@ then saves where each range stands. Ranges that end are replaced by splitting
 those that have not. When all are done the table can be polled for rows past the
 largest offset seen.
 
-The cuts come from a histogram made once when ranges are planned, so steps only
-read the rows they load. Only ranges, cuts and counts reach the driver.
-
-Rows whose offset is null or NaN belong to no range. A row that turns up later
-at or below the largest offset seen is not loaded either.
+The cuts come from a histogram made once when ranges are planned, and the files a
+step has to open from the offsets each file was found to hold, so steps read
+little more than the rows they load. Only ranges, cuts, counts and the names of a
+bounded number of files reach the driver.
+
+Rows whose offset is null or NaN belong to no range. A load works on the files
+that were there when its ranges were planned or it was started again: a row that
+turns up later at or below the largest offset seen is not loaded.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, replace
 
@@ -25,7 +29,7 @@ from pyspark.sql import types as T
 
 from rangeload.operators.filters import all_of
 from rangeload.operators.scan import check_columns
-from rangeload.operators.stats import count_new, offset_stats
+from rangeload.operators.stats import OffsetStats, offset_stats
 from rangeload.options import LoadOptions
 from rangeload.plans.bounds import (
     OffsetRange,
@@ -34,6 +38,7 @@ from rangeload.plans.bounds import (
     recreate_ranges,
     split_range,
 )
+from rangeload.plans.files import FileOffsets
 from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, predicate_over, refine_chunks
 from rangeload.plans.offsets import OffsetType
 from rangeload.streaming.state import StateFiles
@@ -75,7 +80,9 @@ class IncrementalLoader:
         self.offset = options.offset_column
         self._source = source
         self._where = where
-        self._files = StateFiles(spark, self.root)
+        self._documents = StateFiles(spark, self.root)
+        self._files: FileOffsets | None = None
+        self._looked_at_files = False
         self._refresh()
         self.kind = OffsetType.of(self._table, self.offset)
         if columns is not None:
@@ -97,20 +104,29 @@ class IncrementalLoader:
             self.spark.catalog.refreshTable(self._source)
             self._table = self.spark.table(self._source)
 
-    def _read(self, predicate: Column) -> DataFrame:
+    def _rows(self, spans: list[OffsetRange]) -> DataFrame:
+        """Rows of the load inside ``spans``."""
+        predicate = predicate_over(F.col(self.offset), spans, self.kind)
         if callable(self._source):
-            return self._source(self.spark, predicate).where(predicate)
-        return self._table.where(predicate)
-
-    def _rows(self, predicate: Column) -> DataFrame:
-        rows = self._read(predicate)
-        condition = all_of([self._where])
-        return rows if condition is None else rows.where(condition)
+            rows = self._source(self.spark, predicate)
+        else:
+            if not self._looked_at_files:
+                self._look_at_files(self._table)
+            rows = self._files.narrow(self._table, spans) if self._files else self._table
+        return rows.where(all_of([predicate, self._where]))
+
+    def _look_at_files(self, rows: DataFrame) -> OffsetStats:
+        """One pass over the offsets of ``rows``, kept per file if there are files."""
+        self._files, self._looked_at_files = None, True
+        if not callable(self._source):
+            path = f"{self.root}/files/{uuid.uuid4().hex}"
+            self._files = FileOffsets.collect(rows, self.offset, path, self._where)
+        return self._files.stats() if self._files else offset_stats(rows, self.offset, self._where)
 
     # -- state ---------------------------------------------------------------
 
     def _begin(self) -> dict:
-        stats = offset_stats(self._table, self.offset, self._where)
+        stats = self._look_at_files(self._table)
         low = stats.first if self.options.initial_offset is None else self.kind.parse(self.options.initial_offset)
         high = stats.last if self.options.end_offset is None else self.kind.parse(self.options.end_offset)
         ranges = []
@@ -135,7 +151,7 @@ class IncrementalLoader:
         """Each save is a new document; none is ever replaced."""
         text = self.kind.to_text
         state = {**state, "version": state["version"] + 1}
-        self._files.write(
+        self._documents.write(
             "state",
             state["version"],
             {
@@ -148,10 +164,10 @@ class IncrementalLoader:
         return state
 
     def _restore(self) -> dict | None:
-        numbers = self._files.numbers("state")
+        numbers = self._documents.numbers("state")
         if not numbers:
             return None
-        state = self._files.read("state", numbers[-1])
+        state = self._documents.read("state", numbers[-1])
         state["ranges"] = [self._range(r) for r in state["ranges"]]
         if state["max_offset"] is not None:
             state["max_offset"] = self.kind.parse(state["max_offset"])
@@ -173,30 +189,32 @@ class IncrementalLoader:
         """Cuts for the open ranges, made once and kept in a file of their own."""
         state, cap = self._state, self.options.max_records
         if self._chunks is None and state["cuts"] is not None:
-            saved = self._files.read("cuts", state["cuts"])
+            saved = self._documents.read("cuts", state["cuts"])
             self._chunks = [
                 Chunk(self.kind.parse(c["first"]), self.kind.parse(c["cut"]), c["rows"], c["full"])
                 for c in saved["chunks"]
             ]
         changed = False
-        offsets = self._rows(predicate_over(F.col(self.offset), state["ranges"], self.kind)).select(self.offset)
         if self._chunks is None:
             self._chunks = []
             if state["planned_rows"] > cap:
-                self._chunks = plan_chunks(offsets, self.offset, state["ranges"], cap, state["planned_rows"])
+                self._chunks = plan_chunks(self._offsets, self.kind, state["ranges"], cap, state["planned_rows"])
                 changed = True
-        self._chunks, refined = refine_chunks(offsets, self.offset, self._chunks, state["ranges"], cap)
+        self._chunks, refined = refine_chunks(self._offsets, self.kind, self._chunks, state["ranges"], cap)
         if changed or refined or state["cuts"] is None:
             text = self.kind.to_text
             chunks = [{**asdict(c), "first": text(c.first), "cut": text(c.cut)} for c in self._chunks]
-            self._files.write("cuts", state["step"] + 1, {"chunks": chunks})
+            self._documents.write("cuts", state["step"] + 1, {"chunks": chunks})
             state["cuts"] = state["step"] + 1
         return self._chunks
 
+    def _offsets(self, spans: list[OffsetRange]) -> DataFrame:
+        return self._rows(spans).select(F.col(self.offset).alias("offset"))
+
     def _next_pieces(self, number: int) -> list[OffsetRange]:
         """What the step loads of each range. Saved before any data is written,
         so a step that is run again loads exactly the same rows."""
-        plan = self._files.read("plan", number)
+        plan = self._documents.read("plan", number)
         if plan is not None:
             self._state["cuts"] = plan["cuts"]
             return [self._range(r) for r in plan["pieces"]]
@@ -207,7 +225,7 @@ class IncrementalLoader:
             pieces.append(replace(span, done=True) if cut is None else replace(span, upper=cut, hi_op="<="))
         text = self.kind.to_text
         saved = [{**asdict(p), "lower": text(p.lower), "upper": text(p.upper)} for p in pieces]
-        self._files.write("plan", number, {"pieces": saved, "cuts": self._state["cuts"]})
+        self._documents.write("plan", number, {"pieces": saved, "cuts": self._state["cuts"]})
         return pieces
 
     # -- running -------------------------------------------------------------
@@ -224,8 +242,7 @@ class IncrementalLoader:
         pieces = self._next_pieces(number)
         path = self._data_path(number)
         hidden = [] if self._selects_offset() else [self.offset]
-        rows = self._rows(predicate_over(F.col(self.offset), pieces, self.kind))
-        rows.select(*self.columns, *hidden).write.mode("overwrite").parquet(path)
+        self._rows(pieces).select(*self.columns, *hidden).write.mode("overwrite").parquet(path)
         counted = self._count(path, pieces)
 
         ranges, done = [], []
@@ -289,28 +306,26 @@ class IncrementalLoader:
             return 0
         self._refresh()
         after = state["max_offset"]
-        found = count_new(self._table, self.offset, after, self._where)
-        row = found.select("new_rows", self.kind.collectable(F.col("last_offset")).alias("last")).first()
-        if not row.new_rows:
+        rows = self._table if after is None else self._table.where(F.col(self.offset) > self.kind.literal(after))
+        new = self._look_at_files(rows)
+        if not new.rows:
             return 0
-        latest = self.kind.collected(row["last"])
-        n = planned_ranges(row.new_rows, self.options.max_records, self.options.num_ranges, self.kind)
+        n = planned_ranges(new.rows, self.options.max_records, self.options.num_ranges, self.kind)
         if after is None:
-            first = offset_stats(self._table, self.offset).first
-            ranges = split_range(first, latest, n, self.kind)
+            ranges = split_range(new.first, new.last, n, self.kind)
         else:
-            ranges = split_range(after, latest, n, self.kind, lo_op=">")
+            ranges = split_range(after, new.last, n, self.kind, lo_op=">")
         self._chunks = None
         planned = {
             **state,
             "ranges": ranges,
-            "max_offset": latest,
-            "planned_rows": row.new_rows,
+            "max_offset": new.last,
+            "planned_rows": new.rows,
             "cuts": None,
             "done": [],
         }
         self._state = self._save(planned)
-        return row.new_rows
+        return new.rows
 
     def run(self, max_polls: int = 1) -> int:
         """Load what is there; unless ``load_available`` is set, then poll up to

@@ -69,9 +69,16 @@ def load_once(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet")
     return query
 
 
-def drop_replayed_stream(rows: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """One row per key, for repeats that come within ``delay`` of each other."""
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+def drop_replayed_stream(
+    rows: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread: int = 16
+) -> DataFrame:
+    """One row per key, for repeats that come within ``delay`` of each other.
+
+    Repeats are first dropped within ``spread`` groups of input tasks, so that a
+    key with very many of them sends only a few rows to the task that owns it.
+    """
+    timed = rows.withWatermark(event_time, delay).withColumn("__group", F.spark_partition_id() % spread)
+    return timed.dropDuplicatesWithinWatermark([*keys, "__group"]).drop("__group").dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
