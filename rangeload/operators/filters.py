@@ -19,11 +19,6 @@ def all_of(conditions: Iterable[Column | str | None]) -> Column | None:
     return reduce(lambda a, b: a & b, columns) if columns else None
 
 
-def any_of(conditions: Iterable[Column | str]) -> Column:
-    """Disjunction of the given conditions."""
-    return reduce(lambda a, b: a | b, [as_column(c) for c in conditions])
-
-
 def apply_filters(df: DataFrame, *filters: Column | str) -> DataFrame:
     """Rows that meet every filter.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rangeload.plans.bounds import OffsetRange
 from rangeload.plans.offsets import OffsetType
@@ -16,7 +15,7 @@ def replay_from(df: DataFrame, offset: str, span: OffsetRange, cursor, delivery:
     """Rows of ``span`` from ``cursor`` on; the upper bound and its operator stay."""
     kind = OffsetType.of(df, offset)
     moved = span.moved_to(kind.parse(cursor), DELIVERY_OPS[delivery])
-    return df.where(moved.predicate(F.col(offset), kind))
+    return df.where(moved.predicate(offset, kind))
 
 
 def drop_replayed(df: DataFrame, *keys: str) -> DataFrame:

@@ -34,8 +34,8 @@ def offset_stats(df: DataFrame, offset: str, where: Column | str | None = None)
             F.count_if(matches & column.isNull()).alias("without_offset"),
         )
         .select(
-            kind.collectable(F.col("first")).alias("first"),
-            kind.collectable(F.col("last")).alias("last"),
+            kind.collectable("first").alias("first"),
+            kind.collectable("last").alias("last"),
             "rows",
             "without_offset",
         )

@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rangeload.plans.offsets import OffsetType
+from rangeload.plans.offsets import OffsetType, quoted
 
 # Above this many edges a search replaces the decision tree, whose generated
 # code would grow past what the JVM compiles.
@@ -31,13 +31,10 @@ class OffsetRange:
     loaded: int = 0
     done: bool = False
 
-    def above_lower(self, column: Column, kind: OffsetType) -> Column:
-        low = kind.literal(self.lower)
-        return column >= low if self.lo_op == ">=" else column > low
-
-    def predicate(self, column: Column, kind: OffsetType) -> Column:
-        high = kind.literal(self.upper)
-        return self.above_lower(column, kind) & (column <= high if self.hi_op == "<=" else column < high)
+    def predicate(self, name: str, kind: OffsetType) -> str:
+        """SQL condition on the offset column."""
+        column = quoted(name)
+        return f"({column} {self.lo_op} {kind.sql(self.lower)} AND {column} {self.hi_op} {kind.sql(self.upper)})"
 
     def moved_to(self, cursor, lo_op: str = ">") -> OffsetRange:
         """What is left of the range once everything up to ``cursor`` is loaded."""
@@ -146,36 +143,32 @@ def planned_ranges(new_rows: int, max_records: int, limit: int, kind: OffsetType
     return max(1, min(limit, -(-new_rows // max_records)))
 
 
-def index_of(column: Column, lowers: Sequence, kind: OffsetType) -> Column:
+def index_of(name: str, lowers: Sequence, kind: OffsetType) -> Column:
     """Position of the last of the ascending ``lowers`` that is <= the column.
 
     Values below the first one get position 0.
     """
-    return count_of(column, lowers[1:], kind, inclusive=True)
+    return count_of(name, lowers[1:], kind, inclusive=True)
 
 
-def count_of(column: Column, edges: Sequence, kind: OffsetType, inclusive: bool) -> Column:
+def count_of(name: str, edges: Sequence, kind: OffsetType, inclusive: bool) -> Column:
     """How many of the ascending ``edges`` lie below the column, or at it if
     ``inclusive``."""
-    edges = list(edges)
-    if len(edges) <= _TREE_EDGES:
-        return _tree(column, edges, 0, kind, inclusive)
-    values = F.array(*[kind.literal(v) for v in edges])
-    jumps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(edges).bit_length()))])
-
-    def jump_on(at: Column, jump: Column) -> Column:
-        edge = F.get(values, at + jump - 1)
-        passed = column >= edge if inclusive else column > edge
-        return F.when((at + jump <= len(edges)) & passed, at + jump).otherwise(at)
-
-    return F.aggregate(jumps, F.lit(0), jump_on)
+    column, above = quoted(name), ">=" if inclusive else ">"
+    literals = [kind.sql(edge) for edge in edges]
+    if len(literals) <= _TREE_EDGES:
+        return F.expr(_tree(column, above, literals, 0))
+    jumps = ", ".join(str(1 << bit) for bit in reversed(range(len(literals).bit_length())))
+    return F.expr(
+        f"aggregate(array({jumps}), 0, (at, jump) -> CASE WHEN at + jump <= {len(literals)} AND "
+        f"{column} {above} get(array({', '.join(literals)}), at + jump - 1) THEN at + jump ELSE at END)"
+    )
 
 
-def _tree(column: Column, edges: Sequence, base: int, kind: OffsetType, inclusive: bool) -> Column:
+def _tree(column: str, above: str, edges: list[str], base: int) -> str:
     if not edges:
-        return F.lit(base)
+        return str(base)
     middle = len(edges) // 2
-    edge = kind.literal(edges[middle])
-    return F.when(
-        column < edge if inclusive else column <= edge, _tree(column, edges[:middle], base, kind, inclusive)
-    ).otherwise(_tree(column, edges[middle + 1 :], base + middle + 1, kind, inclusive))
+    left = _tree(column, above, edges[:middle], base)
+    right = _tree(column, above, edges[middle + 1 :], base + middle + 1)
+    return f"CASE WHEN {column} {above} {edges[middle]} THEN {right} ELSE {left} END"

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rangeload.operators.filters import any_of, as_column
+from rangeload.operators.filters import as_column
 from rangeload.operators.stats import OffsetStats
 from rangeload.plans.bounds import OffsetRange
 from rangeload.plans.offsets import OffsetType
@@ -27,6 +27,7 @@ class FileOffsets:
     def __init__(self, table: DataFrame, kind: OffsetType):
         self._table = table
         self._kind = kind
+        self._few: list[tuple] | bool | None = None
 
     @classmethod
     def collect(
@@ -55,10 +56,16 @@ class FileOffsets:
     def stats(self) -> OffsetStats:
         """The same as a pass over the table itself would give."""
         row = self._table.agg(
-            self._kind.collectable(F.min("first")).alias("first"),
-            self._kind.collectable(F.max("last")).alias("last"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
             F.coalesce(F.sum("without_offset"), F.lit(0)).alias("without_offset"),
+        )
+        row = row.select(
+            self._kind.collectable("first").alias("first"),
+            self._kind.collectable("last").alias("last"),
+            "rows",
+            "without_offset",
         ).first()
         return OffsetStats(
             self._kind.collected(row["first"]), self._kind.collected(row["last"]), row.rows, row.without_offset
@@ -66,11 +73,30 @@ class FileOffsets:
 
     def narrow(self, df: DataFrame, spans: list[OffsetRange]) -> DataFrame:
         """``df`` without the files that hold none of the spans."""
-        overlap = any_of(
-            (F.col("first") <= self._kind.literal(s.upper)) & (F.col("last") >= self._kind.literal(s.lower))
-            for s in spans
+        found = self._overlapping(spans)
+        return df if found is None else df.where(F.col("_metadata.file_path").isin(found))
+
+    def _overlapping(self, spans: list[OffsetRange]) -> list[str] | None:
+        if self._few is None:
+            self._few = self._fetch(self._table)
+        if self._few is not False:
+            return [
+                name
+                for name, first, last in self._few
+                if first is not None and any(first <= s.upper and last >= s.lower for s in spans)
+            ]
+        overlap = " OR ".join(
+            f"(first <= {self._kind.sql(s.upper)} AND last >= {self._kind.sql(s.lower)})" for s in spans
+        )
+        fetched = self._fetch(self._table.where(overlap))
+        return None if fetched is False else [name for name, _, _ in fetched]
+
+    def _fetch(self, table: DataFrame) -> list[tuple] | bool:
+        """The files of ``table``, or False if they are more than ``MOST_FILES``."""
+        rows = table.select(
+            "__file", self._kind.collectable("first").alias("first"), self._kind.collectable("last").alias("last")
         )
-        found = self._table.where(overlap).select("__file").limit(MOST_FILES + 1).collect()
+        found = rows.limit(MOST_FILES + 1).collect()
         if len(found) > MOST_FILES:
-            return df
-        return df.where(F.col("_metadata.file_path").isin([row[0] for row in found]))
+            return False
+        return [(r[0], self._kind.collected(r[1]), self._kind.collected(r[2])) for r in found]

@@ -12,27 +12,30 @@ import bisect
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeload.operators.filters import any_of
 from rangeload.plans.bounds import OffsetRange, index_of
 from rangeload.plans.offsets import OffsetType
 
 # Gives the rows inside some spans, with the offset as the column ``offset``.
 Offsets = Callable[[list[OffsetRange]], DataFrame]
 
-# Groups of one histogram in all, and the least of one interval.
+# Groups of one histogram in all, the least of one interval, and
+# the number that fills chunks well even where rows crowd.
 MAX_BUCKETS = 1 << 16
 MIN_BUCKETS = 16
+ENOUGH_BUCKETS = 256
 
 
-def predicate_over(column: Column, spans: list[OffsetRange], kind: OffsetType) -> Column:
-    """Rows in any of the spans, led by their common hull, which prunes best."""
-    hull = (column >= kind.literal(min(s.lower for s in spans))) & (
-        column <= kind.literal(max(s.upper for s in spans))
-    )
-    return hull & any_of(s.predicate(column, kind) for s in spans)
+def predicate_over(name: str, spans: list[OffsetRange], kind: OffsetType) -> str:
+    """SQL condition for rows in any of the spans. The hull of several spans
+    comes first, since every source can prune by it."""
+    each = [s.predicate(name, kind) for s in spans]
+    if len(each) == 1:
+        return each[0]
+    hull = OffsetRange(0, min(s.lower for s in spans), max(s.upper for s in spans))
+    return f"{hull.predicate(name, kind)} AND ({' OR '.join(each)})"
 
 
 @dataclass
@@ -49,34 +52,35 @@ def offsets_of(df: DataFrame, offset: str) -> Offsets:
     kind = OffsetType.of(df, offset)
 
     def inside(spans: list[OffsetRange]) -> DataFrame:
-        return df.where(predicate_over(F.col(offset), spans, kind)).select(F.col(offset).alias("offset"))
+        return df.where(predicate_over(offset, spans, kind)).select(F.col(offset).alias("offset"))
 
     return inside
 
 
 def histogram(offsets: Offsets, kind: OffsetType, spans: list[OffsetRange], buckets: int) -> list[list[Bucket]]:
-    """Buckets of each of the disjoint, ascending ``spans``, in offset order."""
-    column, span = F.col("offset"), F.col("span")
-    which = index_of(column, [s.lower for s in spans], kind) if len(spans) > 1 else F.lit(0)
+    """Buckets of each of the ``spans``, in offset order.
+
+    The spans ascend, and none holds the lower bound of a later one.
+    """
+    which = index_of("offset", [s.lower for s in spans], kind)
     wide = [s for s in spans if s.lower < s.upper]
+    place = "0"
     if wide:
         # A span of one value has a single bucket; any width will do for it.
         pairs = [(s.lower, s.upper) if s.lower < s.upper else (wide[0].lower, wide[0].upper) for s in spans]
-        place = F.floor(kind.within(column, pairs, span) * buckets).cast("int")
-        place = F.greatest(F.least(place, F.lit(buckets - 1)), F.lit(0))
-    else:
-        place = F.lit(0)
+        position = kind.within("offset", pairs, "span")
+        place = f"greatest(least(CAST(floor({position} * {buckets}) AS INT), {buckets - 1}), 0)"
     counted = (
         offsets(spans)
         .withColumn("span", which)
-        .groupBy("span", place.alias("place"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(column).alias("first"), F.max(column).alias("last"))
+        .groupBy("span", F.expr(place).alias("place"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("offset").alias("first"), F.max("offset").alias("last"))
         .select(
             "span",
             "place",
             "rows",
-            kind.collectable(F.col("first")).alias("first"),
-            kind.collectable(F.col("last")).alias("last"),
+            kind.collectable("first").alias("first"),
+            kind.collectable("last").alias("last"),
         )
     )
     result: list[list[Bucket]] = [[] for _ in spans]
@@ -110,7 +114,7 @@ def chunks_of(buckets: list[Bucket], cap: int) -> list[Chunk]:
 
 def plan_chunks(offsets: Offsets, kind: OffsetType, ranges: list[OffsetRange], cap: int, total: int) -> list[Chunk]:
     """Chunks of all rows in ``ranges``, found with one pass over the offsets."""
-    wanted = max(MIN_BUCKETS, 4 * -(-total // cap))
+    wanted = max(ENOUGH_BUCKETS, 16 * -(-total // cap))
     buckets = max(MIN_BUCKETS, min(wanted, MAX_BUCKETS // len(ranges)))
     return [c for found in histogram(offsets, kind, ranges, buckets) for c in chunks_of(found, cap)]
 
@@ -123,9 +127,15 @@ def _due(chunks: list[Chunk], span: OffsetRange) -> Chunk | None:
 
 
 def next_cut(chunks: list[Chunk], span: OffsetRange):
-    """Where to stop when loading from the start of ``span``; None is its end."""
+    """Where to stop when loading from the start of ``span``.
+
+    None is the end of the span: no planned row of it lies behind the chunk.
+    """
     chunk = _due(chunks, span)
-    return chunk.cut if chunk and chunk.cut < span.upper else None
+    if chunk is None or chunk.cut >= span.upper:
+        return None
+    following = _due(chunks, span.moved_to(chunk.cut))
+    return None if following is None else chunk.cut
 
 
 def refine_chunks(

@@ -144,60 +144,63 @@ class OffsetType:
 
     # -- column expressions ----------------------------------------------
 
-    def literal(self, unit) -> Column:
-        """Typed literal; it folds to a constant that scans can push down."""
+    def sql(self, unit) -> str:
+        """Typed literal as SQL; it folds to a constant that scans can push down."""
         if self.kind == "string":
-            return F.lit(unit)
-        if self.kind in ("integer", "double"):
-            return F.lit(unit).cast(self.data_type)
-        return F.lit(self.to_text(unit)).cast(self.data_type)
+            return f"CAST(X'{unit.encode().hex()}' AS STRING)"
+        return f"CAST('{self.to_text(unit)}' AS {self.data_type.simpleString()})"
+
+    def literal(self, unit) -> Column:
+        return F.expr(self.sql(unit))
 
     def usable(self, column: Column) -> Column:
         """The column with NaN as null, since NaN has no place in a range."""
         return F.when(~F.isnan(column), column) if self.kind == "double" else column
 
-    def collectable(self, column: Column) -> Column:
+    def collectable(self, name: str) -> Column:
         """A form that is collected without any time zone conversion."""
+        return F.expr(self._collectable(name))
+
+    def _collectable(self, name: str) -> str:
+        column = quoted(name)
         if isinstance(self.data_type, T.TimestampType):
-            return F.unix_micros(column)
+            return f"unix_micros({column})"
         if isinstance(self.data_type, T.TimestampNTZType):
-            clock = (
-                F.hour(column).cast("bigint") * 3_600_000_000
-                + F.minute(column).cast("bigint") * 60_000_000
-                + (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
+            return (
+                f"unix_date(CAST({column} AS DATE)) * 86400000000L + hour({column}) * 3600000000L"
+                f" + minute({column}) * 60000000L + CAST(extract(SECOND FROM {column}) * 1000000 AS BIGINT)"
             )
-            return F.unix_date(column.cast("date")).cast("bigint") * 86_400_000_000 + clock
-        return F.unix_date(column) if self.kind == "date" else column
+        return f"unix_date({column})" if self.kind == "date" else column
 
-    def within(self, column: Column, spans: list[tuple], which: Column) -> Column:
-        """Position of the column inside ``spans[which]``, from 0 to 1.
+    def within(self, name: str, spans: list[tuple], which: str) -> str:
+        """SQL of where a column lies inside ``spans[which]``, from 0 to 1.
 
         ``spans`` are (low, high) pairs with low < high. The position never falls
         when the column grows, which is all that bucketing needs.
         """
         if self.kind == "string":
-            return self._text_within(column, spans, which)
+            return self._text_within(name, spans, which)
+        lows = [low for low, _ in spans]
         if self.kind == "decimal":
-            lows = F.array(*[self.literal(low) for low, _ in spans]).getItem(which).cast("double")
-            scale = float(10**self.data_type.scale)
-            widths = [(high - low) / scale for low, high in spans]
-            exact = self.data_type.precision < 38
-            low = F.array(*[self.literal(low) for low, _ in spans]).getItem(which)
-            distance = (column - low).cast("double") if exact else column.cast("double") - lows
+            widths = [(high - low) / 10**self.data_type.scale for low, high in spans]
+            low = _item([self.sql(low) for low in lows], which)
+            column = quoted(name)
+            if self.data_type.precision < 38:
+                distance = f"CAST({column} - {low} AS DOUBLE)"
+            else:
+                distance = f"(CAST({column} AS DOUBLE) - CAST({low} AS DOUBLE))"
         else:
             widths = [float(high - low) for low, high in spans]
             if any(math.isinf(width) for width in widths):
                 raise ValueError("The offsets span too wide an interval to divide")
-            value = self.collectable(column)
+            value = self._collectable(name)
             if self.kind == "double" or max(high - low for low, high in spans) >= _SAFE_SPAN:
-                low = F.array(*[F.lit(float(low)) for low, _ in spans]).getItem(which)
-                distance = value.cast("double") - low
+                distance = f"(CAST({value} AS DOUBLE) - {_item([_double(low) for low in lows], which)})"
             else:
-                low = F.array(*[F.lit(low).cast("bigint") for low, _ in spans]).getItem(which)
-                distance = (value.cast("bigint") - low).cast("double")
-        return distance / F.array(*[F.lit(width) for width in widths]).getItem(which)
+                distance = f"CAST({value} - {_item([f'{low}L' for low in lows], which)} AS DOUBLE)"
+        return f"{distance} / {_item([_double(width) for width in widths], which)}"
 
-    def _text_within(self, column: Column, spans: list[tuple], which: Column) -> Column:
+    def _text_within(self, name: str, spans: list[tuple], which: str) -> str:
         starts, lows, widths = [], [], []
         for low, high in spans:
             a, b = low.encode(), high.encode()
@@ -205,12 +208,22 @@ class OffsetType:
             first, last = (
                 float(int.from_bytes(text[start : start + _TEXT_BYTES].ljust(_TEXT_BYTES, b"\0"))) for text in (a, b)
             )
-            starts.append(start + 1)
-            lows.append(first)
-            widths.append(max(last - first, 1.0))
-        start, low, width = (
-            F.array(*[F.lit(v) for v in values]).getItem(which) for values in (starts, lows, widths)
-        )
-        digits = F.hex(F.substring(column.cast("binary"), start, F.lit(_TEXT_BYTES)))
-        number = F.conv(F.rpad(digits, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
-        return (number - low) / width
+            starts.append(str(start + 1))
+            lows.append(_double(first))
+            widths.append(_double(max(last - first, 1.0)))
+        part = f"substring(CAST({quoted(name)} AS BINARY), {_item(starts, which)}, {_TEXT_BYTES})"
+        number = f"CAST(conv(rpad(hex({part}), {2 * _TEXT_BYTES}, '0'), 16, 10) AS DOUBLE)"
+        return f"({number} - {_item(lows, which)}) / {_item(widths, which)}"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _double(number: float) -> str:
+    return f"CAST('{float(number)!r}' AS DOUBLE)"
+
+
+def _item(literals: list[str], which: str) -> str:
+    """The literal at position ``which``; a lone one needs no lookup."""
+    return literals[0] if len(literals) == 1 else f"array({', '.join(literals)})[{which}]"

@@ -11,17 +11,27 @@ TEXT_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    **TEXT_TIMES,
+}
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; empty text and null stay apart."""
-    df.write.mode(mode).options(header=True, escape='"', **TEXT_TIMES).csv(path)
+    """CSV with a header. Empty text comes back as null, which CSV cannot tell apart."""
+    df.write.mode(mode).options(**_CSV).csv(path)
+
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV written by :func:`write_csv`, read with a declared schema.
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV written by :func:`write_csv`, read with a declared schema."""
-    options = dict(header=True, escape='"', multiLine=False, mode="FAILFAST", **TEXT_TIMES)
-    return spark.read.schema(schema).options(**options).csv(path)
+    Values with line breaks need ``multi_line``, which reads each file in one task.
+    """
+    return spark.read.schema(schema).options(multiLine=multi_line, mode="FAILFAST", **_CSV).csv(path)

@@ -106,7 +106,7 @@ class IncrementalLoader:
 
     def _rows(self, spans: list[OffsetRange]) -> DataFrame:
         """Rows of the load inside ``spans``."""
-        predicate = predicate_over(F.col(self.offset), spans, self.kind)
+        predicate = F.expr(predicate_over(self.offset, spans, self.kind))
         if callable(self._source):
             rows = self._source(self.spark, predicate)
         else:
@@ -277,13 +277,11 @@ class IncrementalLoader:
 
     def _count(self, path: str, pieces: list[OffsetRange]) -> dict[int, tuple]:
         """Rows and last offset per range, from the files the step wrote."""
-        column = F.col(self.offset)
-        lowers = [p.lower for p in pieces]
         written = self.spark.read.schema(T.StructType([T.StructField(self.offset, self.kind.data_type)])).parquet(path)
         counted = (
-            written.groupBy(index_of(column, lowers, self.kind).alias("at"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.max(column).alias("last"))
-            .select("at", "rows", self.kind.collectable(F.col("last")).alias("last"))
+            written.groupBy(index_of(self.offset, [p.lower for p in pieces], self.kind).alias("at"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.max(self.offset).alias("last"))
+            .select("at", "rows", self.kind.collectable("last").alias("last"))
             .collect()
         )
         return {pieces[r["at"]].id: (r["rows"], self.kind.collected(r["last"])) for r in counted}

@@ -27,7 +27,7 @@ def read_stream(
     where: Column | str | Sequence[Column | str] = (),
     fmt: str = "parquet",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Stream of a file or folder; ``max_files`` or ``max_bytes`` cap a micro-batch."""
     reader = spark.readStream.schema(schema).format(fmt)

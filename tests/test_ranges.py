@@ -1,0 +1,233 @@
+"""Range scans, histograms and cuts against brute force."""
+
+import random
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import plans
+from rangeload import OffsetType, quantile_ranges, range_scan
+from rangeload.operators.stats import count_new, first_last, offset_stats
+from rangeload.plans.bounds import OffsetRange, count_of, index_of
+from rangeload.plans.histogram import (
+    chunks_of,
+    histogram,
+    next_cut,
+    offsets_of,
+    plan_chunks,
+    quantile_cuts,
+    refine_chunks,
+)
+
+
+def skewed(make, n=3000, seed=3):
+    """A third of the values are one value, others cluster, some are spread."""
+    draw = random.Random(seed)
+    hot = draw.randrange(10_000)
+    picks = [hot] * (n // 3) + [draw.randrange(50) for _ in range(n // 3)]
+    picks += [draw.randrange(1_000_000) for _ in range(n - len(picks))]
+    draw.shuffle(picks)
+    return [make(p) for p in picks]
+
+
+TYPES = {
+    "int": lambda p: p - 500_000,
+    "bigint": lambda p: p * 9_000_000_000_000 - 2**62,
+    "smallint": lambda p: p % 3000,
+    "double": lambda p: p / 7 - 3.5,
+    "float": lambda p: float(p // 64),
+    "decimal(20,3)": lambda p: Decimal(p) / 8,
+    "decimal(38,0)": lambda p: Decimal(p) * 10**30,
+    "date": lambda p: date(1990, 1, 1) + timedelta(days=p % 20_000),
+    "timestamp": lambda p: datetime(2020, 1, 1) + timedelta(microseconds=p * 1_234_567),
+    "timestamp_ntz": lambda p: datetime(2020, 1, 1) + timedelta(microseconds=p * 1_234_567),
+    "string": lambda p: f"user{p:06d}é" if p % 2 else f"user{p}",
+}
+
+
+@pytest.fixture(scope="module", params=list(TYPES))
+def column(request, spark):
+    kind = request.param
+    values = [*skewed(TYPES[kind]), None, None]
+    df = spark.createDataFrame(list(enumerate(values)), f"id int, v {kind}").repartition(4)
+    return df.cache(), OffsetType.of(df, "v")
+
+
+def units(column):
+    df, kind = column
+    return sorted(kind.collected(r[0]) for r in df.where("v IS NOT NULL").select(kind.collectable("v")).collect())
+
+
+def test_units_survive_text(column):
+    df, kind = column
+    for unit in set(units(column)):
+        assert kind.parse(kind.to_text(unit)) == unit
+
+
+def test_stats(column):
+    df, kind = column
+    stats, values = offset_stats(df, "v"), units(column)
+    assert (stats.first, stats.last, stats.rows, stats.without_offset) == (values[0], values[-1], len(values), 2)
+    assert offset_stats(df, "v", "id < 10").rows <= 10
+
+
+def test_literals_compare_as_values(column):
+    df, kind = column
+    values = units(column)
+    middle = values[len(values) // 2]
+    assert df.where(F.col("v") <= kind.literal(middle)).count() == sum(v <= middle for v in values)
+    assert df.where(F.col("v") == kind.literal(middle)).count() == values.count(middle)
+
+
+@pytest.mark.parametrize("n", [1, 3, 40])
+def test_range_scan_covers_each_row_once(column, n):
+    df, kind = column
+    found = range_scan(df, "v", n)
+    values = units(column)
+    assert 1 <= len(found.ranges) <= n
+    rows = found.rows().select("range_id", kind.collectable("v").alias("u")).collect()
+    assert sorted(kind.collected(r.u) for r in rows) == values
+    for r in rows:
+        span, unit = found.ranges[r.range_id], kind.collected(r.u)
+        assert span.lower <= unit and (unit < span.upper or (unit == span.upper and span.hi_op == "<="))
+    counted = {r.range_id: r.rows for r in found.progress().collect()}
+    assert counted == {s.id: sum(r.range_id == s.id for r in rows) for s in found.ranges}
+
+
+def test_quantile_cuts_are_exact(column):
+    df, kind = column
+    values = units(column)
+    for parts in (2, 8, 50):
+        cuts = quantile_cuts(df, "v", OffsetRange(0, values[0], values[-1]), parts)
+        assert cuts == [values[-(-i * len(values) // parts) - 1] for i in range(1, parts)]
+
+
+def test_quantile_ranges_are_even(column):
+    df, kind = column
+    values = units(column)
+    found = quantile_ranges(df, "v", 10)
+    counted = found.progress().collect()
+    most = max(values.count(v) for v in set(values))
+    assert sum(r.rows for r in counted) == len(values)
+    assert max(r.rows for r in counted) <= len(values) / 10 + most + 1
+
+
+@pytest.mark.parametrize("buckets", [2, 16, 1000])
+def test_histogram_of_several_spans(column, buckets):
+    df, kind = column
+    values = units(column)
+    third, last = values[len(values) // 5], values[-1]
+    behind = min((v for v in values if v > third), default=last)
+    spans = [OffsetRange(0, values[0], third, ">=", "<"), OffsetRange(1, third, third), OffsetRange(2, behind, last)]
+    spans = [s for s in spans if not s.holds_nothing()]
+    for span, found in zip(spans, histogram(offsets_of(df, "v"), kind, spans, buckets), strict=True):
+        inside = [
+            v
+            for v in values
+            if (v > span.lower or (v == span.lower and span.lo_op == ">="))
+            and (v < span.upper or (v == span.upper and span.hi_op == "<="))
+        ]
+        assert sum(b.rows for b in found) == len(inside)
+        for bucket in found:
+            assert bucket.rows == sum(bucket.first <= v <= bucket.last for v in inside)
+            assert {bucket.first, bucket.last} <= set(inside)
+        assert all(a.last < b.first for a, b in zip(found, found[1:], strict=False))
+
+
+def test_chunks_hold_the_cap_unless_one_value_is_larger(column):
+    df, kind = column
+    values, cap = units(column), 200
+    whole = OffsetRange(0, values[0], values[-1])
+    offsets = offsets_of(df, "v")
+    chunks = plan_chunks(offsets, kind, [whole], cap, len(values))
+    left, loaded = whole, 0
+    while True:
+        chunks, _ = refine_chunks(offsets, kind, chunks, [left], cap)
+        cut = next_cut(chunks, left)
+        stop = left.upper if cut is None else cut
+        piece = [v for v in values if (v > left.lower or (v == left.lower and left.lo_op == ">=")) and v <= stop]
+        loaded += len(piece)
+        assert piece and (len(piece) <= cap or len(set(piece)) == 1)
+        if cut is None:
+            break
+        left = left.moved_to(cut)
+    assert loaded == len(values)
+
+
+def test_chunks_of_joins_neighbours(column):
+    from rangeload.plans.histogram import Bucket
+
+    found = chunks_of([Bucket(0, 1, 4), Bucket(2, 3, 4), Bucket(4, 5, 4), Bucket(6, 6, 99), Bucket(7, 9, 99)], 8)
+    assert [(c.first, c.cut, c.rows, c.full) for c in found] == [
+        (0, 3, 8, False), (4, 5, 4, False), (6, 6, 99, False), (7, 9, 99, True),
+    ]
+
+
+def test_search_and_tree_agree_with_counting(spark):
+    df = spark.range(-5, 400).withColumnRenamed("id", "v")
+    kind = OffsetType.of(df, "v")
+    for size in (0, 1, 2, 31, 32, 33, 64, 100):
+        edges = sorted(random.Random(size).choices(range(380), k=size))
+        for inclusive in (True, False):
+            for row in df.select("v", count_of("v", edges, kind, inclusive).alias("n")).collect():
+                assert row.n == sum(e <= row.v if inclusive else e < row.v for e in edges)
+    assert df.where("v = -5").select(index_of("v", [0, 10], kind)).first()[0] == 0
+
+
+def test_ordered_scan(spark):
+    values = skewed(lambda p: p)
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(4)
+    found = range_scan(df, "v", 3).ordered(6)
+    parts = found.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.v for r in parts) == sorted(values)
+    assert [r.v for r in parts] == sorted(values)
+    sizes = [sum(r.task == i for r in parts) for i in range(6)]
+    # One value holds a third of the rows, yet no task more than two shares.
+    assert max(sizes) < 2 * len(values) / 6
+    assert plans.shuffles(found) == plans.shuffles(df) + 1
+
+
+def test_range_scan_reads_once_without_shuffle(spark, folder):
+    spark.range(1000).selectExpr("id", "id * 2 AS v", "'x' AS other").write.parquet(f"{folder}/t")
+    rows = range_scan(spark.read.parquet(f"{folder}/t"), "id", 4, lower=100, upper=899, where="v > 300").rows()
+    assert plans.shuffles(rows) == 0
+    assert "GreaterThanOrEqual(id,100)" in plans.pushed(rows) and "LessThanOrEqual(id,899)" in plans.pushed(rows)
+    assert plans.read_schema(rows.select("id", "range_id")) == "id:bigint,v:bigint"
+    assert rows.count() == 749
+
+
+def test_bounds_that_are_given_need_no_job(spark, folder):
+    spark.range(10).write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("given", "")
+    range_scan(df, "id", 4, lower=0, upper=9)
+    assert list(tracker.getJobIdsForGroup("given")) == []
+    range_scan(df, "id", 4, lower=0)
+    assert list(tracker.getJobIdsForGroup("given")) != []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "v int, w string")
+    found = range_scan(df, "v", 3)
+    assert found.ranges == [] and found.rows().collect() == [] and found.ordered().collect() == []
+    assert found.rows().columns == ["v", "w", "range_id"]
+    assert quantile_ranges(df, "v", 3).ranges == []
+    assert tuple(first_last(df, "v").first()) == (None, None)
+
+
+def test_nan_belongs_to_no_range(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    stats = offset_stats(df, "v")
+    assert (stats.first, stats.last, stats.rows, stats.without_offset) == (1.0, 2.0, 2, 2)
+    assert range_scan(df, "v", 2).rows().count() == 2
+
+
+def test_count_new_counts_with_and_looks_past_the_filter(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(10)], "v int, odd int")
+    assert tuple(count_new(df, "v", 5, "odd = 0").first()) == (2, 9)
+    assert tuple(count_new(df, "v", None, "odd = 0").first()) == (5, 9)
+    assert tuple(count_new(df, "v", 9).first()) == (0, None)
