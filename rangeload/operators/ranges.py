@@ -7,12 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rangeload.operators.filters import apply_filters
 from rangeload.operators.stats import offset_stats
-from rangeload.plans.bounds import OffsetRange, count_of, index_of, ranges_from_edges, split_range
-from rangeload.plans.histogram import predicate_over, quantile_cuts
+from rangeload.plans.bounds import (
+    OffsetRange,
+    predicate_over,
+    ranges_from_edges,
+    split_range,
+    with_count,
+    with_index,
+)
+from rangeload.plans.histogram import quantile_cuts
 from rangeload.plans.offsets import OffsetType
 
 # Fixed value: any seed works, a constant one makes a retried task draw the same.
@@ -40,9 +46,8 @@ class RangeScan:
         """
         if not self.ranges:
             return self.df.where(F.lit(False)).withColumn(range_id, F.lit(0))
-        return self.df.where(predicate_over(self.offset, self.ranges, self.kind)).withColumn(
-            range_id, index_of(self.offset, [r.lower for r in self.ranges], self.kind)
-        )
+        inside = self.df.where(predicate_over(self.offset, self.ranges, self.kind))
+        return with_index(inside, range_id, self.offset, [r.lower for r in self.ranges], self.kind)
 
     def ordered(self, partitions: int | None = None, range_id: str = "range_id") -> DataFrame:
         """Rows in offset order, within each range and across tasks.
@@ -59,10 +64,10 @@ class RangeScan:
         first, last = self.ranges[0], self.ranges[-1]
         whole = OffsetRange(0, first.lower, last.upper, first.lo_op, last.hi_op)
         cuts = quantile_cuts(rows, self.offset, whole, n, tolerance=0.1 / n)
-        lowest = count_of(self.offset, cuts, self.kind, inclusive=False)
-        highest = count_of(self.offset, cuts, self.kind, inclusive=True)
-        task = lowest + F.floor(F.rand(_SALT_SEED) * (highest - lowest + 1)).cast("int")
-        return rows.repartitionById(n, task).sortWithinPartitions(self.offset)
+        placed = with_count(rows, "__lowest", self.offset, cuts, self.kind, inclusive=False)
+        placed = with_count(placed, "__highest", self.offset, cuts, self.kind, inclusive=True)
+        task = F.expr(f"__lowest + CAST(floor(rand({_SALT_SEED}) * (__highest - __lowest + 1)) AS INT)")
+        return placed.repartitionById(n, task).drop("__lowest", "__highest").sortWithinPartitions(self.offset)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return ranges_frame(spark, self.ranges, self.kind)
@@ -127,21 +132,10 @@ def quantile_ranges(
 
 
 def ranges_frame(spark: SparkSession, ranges: Sequence[OffsetRange], kind: OffsetType) -> DataFrame:
-    """The ranges as a DataFrame; timestamps keep the offset column's type."""
-    texts = [(r.id, kind.to_text(r.lower), kind.to_text(r.upper), r.lo_op, r.hi_op) for r in ranges]
-    schema = T.StructType(
-        [
-            T.StructField("range_id", T.IntegerType(), False),
-            T.StructField("lower", T.StringType()),
-            T.StructField("upper", T.StringType()),
-            T.StructField("lo_op", T.StringType()),
-            T.StructField("hi_op", T.StringType()),
-        ]
-    )
-    return spark.createDataFrame(texts, schema).select(
-        "range_id",
-        F.col("lower").cast(kind.data_type).alias("lower"),
-        F.col("upper").cast(kind.data_type).alias("upper"),
-        "lo_op",
-        "hi_op",
+    """The ranges as a DataFrame; bounds have the type of the offset column."""
+    rows = [f"({r.id}, {kind.sql(r.lower)}, {kind.sql(r.upper)}, '{r.lo_op}', '{r.hi_op}')" for r in ranges]
+    none = f"(0, CAST(NULL AS {kind.data_type.simpleString()}), CAST(NULL AS {kind.data_type.simpleString()}), '', '')"
+    frame = spark.sql(
+        f"SELECT * FROM VALUES {', '.join(rows or [none])} AS ranges(range_id, lower, upper, lo_op, hi_op)"
     )
+    return frame if rows else frame.where(F.lit(False))

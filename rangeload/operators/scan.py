@@ -37,7 +37,7 @@ def scan(
             raise ValueError("include_deleted=False needs the condition that marks deleted rows")
         filters.append(~as_column(deleted))
     rows = apply_filters(df, *filters)
-    if columns is None or list(columns) == ["*"]:
+    if columns is None or (len(columns) == 1 and isinstance(columns[0], str) and columns[0] == "*"):
         return rows
     check_columns(df, columns)
     return rows.select(*columns)

@@ -9,14 +9,14 @@ import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rangeload.plans.offsets import OffsetType, quoted
 
-# Above this many edges a search replaces the decision tree, whose generated
-# code would grow past what the JVM compiles.
-_TREE_EDGES = 32
+# Fixed value: above this many edges a search replaces the decision tree, whose
+# generated code would grow past what the JVM compiles.
+MOST_CONDITIONS = 32
 
 
 @dataclass(frozen=True)
@@ -143,26 +143,58 @@ def planned_ranges(new_rows: int, max_records: int, limit: int, kind: OffsetType
     return max(1, min(limit, -(-new_rows // max_records)))
 
 
-def index_of(name: str, lowers: Sequence, kind: OffsetType) -> Column:
-    """Position of the last of the ascending ``lowers`` that is <= the column.
-
-    Values below the first one get position 0.
-    """
-    return count_of(name, lowers[1:], kind, inclusive=True)
+def hull(spans: Sequence[OffsetRange]) -> OffsetRange:
+    """The closed range around all of the spans."""
+    return OffsetRange(0, min(s.lower for s in spans), max(s.upper for s in spans))
 
 
-def count_of(name: str, edges: Sequence, kind: OffsetType, inclusive: bool) -> Column:
-    """How many of the ascending ``edges`` lie below the column, or at it if
-    ``inclusive``."""
+def joined(spans: Sequence[OffsetRange]) -> list[OffsetRange]:
+    """The same offsets in as few ranges as possible."""
+    result: list[OffsetRange] = []
+    for span in sorted(spans, key=lambda s: s.lower):
+        before = result[-1] if result else None
+        if before and before.upper == span.lower and "=" in before.hi_op + span.lo_op:
+            result[-1] = replace(before, upper=span.upper, hi_op=span.hi_op)
+        else:
+            result.append(span)
+    return result
+
+
+def predicate_over(name: str, spans: Sequence[OffsetRange], kind: OffsetType) -> str:
+    """SQL condition for rows in any of the spans. The hull of several spans
+    comes first, since every source can prune by it."""
+    each = [s.predicate(name, kind) for s in joined(spans)]
+    if len(each) == 1:
+        return each[0]
+    return f"{hull(spans).predicate(name, kind)} AND ({' OR '.join(each)})"
+
+
+def with_index(df: DataFrame, out: str, name: str, lowers: Sequence, kind: OffsetType) -> DataFrame:
+    """Adds the position of the last of the ascending ``lowers`` that is <= the
+    column ``name``; values below the first one get position 0."""
+    return with_count(df, out, name, lowers[1:], kind, inclusive=True)
+
+
+def with_count(
+    df: DataFrame, out: str, name: str, edges: Sequence, kind: OffsetType, inclusive: bool
+) -> DataFrame:
+    """Adds how many of the ascending ``edges`` lie below the column ``name``, or
+    at it if ``inclusive``.
+
+    Few edges are compared in a decision tree. Many are searched by halving, one
+    projection per halving, which compiles to a short chain of array lookups.
+    """
     column, above = quoted(name), ">=" if inclusive else ">"
     literals = [kind.sql(edge) for edge in edges]
-    if len(literals) <= _TREE_EDGES:
-        return F.expr(_tree(column, above, literals, 0))
-    jumps = ", ".join(str(1 << bit) for bit in reversed(range(len(literals).bit_length())))
-    return F.expr(
-        f"aggregate(array({jumps}), 0, (at, jump) -> CASE WHEN at + jump <= {len(literals)} AND "
-        f"{column} {above} get(array({', '.join(literals)}), at + jump - 1) THEN at + jump ELSE at END)"
-    )
+    if len(literals) <= MOST_CONDITIONS:
+        return df.withColumn(out, F.expr(_tree(column, above, literals, 0)))
+    values, at = f"array({', '.join(literals)})", quoted(out)
+    df = df.withColumn(out, F.lit(0))
+    for bit in reversed(range(len(literals).bit_length())):
+        jump = 1 << bit
+        passed = f"{at} + {jump} <= {len(literals)} AND {column} {above} get({values}, {at} + {jump - 1})"
+        df = df.withColumn(out, F.expr(f"{at} + CASE WHEN {passed} THEN {jump} ELSE 0 END"))
+    return df
 
 
 def _tree(column: str, above: str, edges: list[str], base: int) -> str:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeload.plans.bounds import OffsetRange, index_of
+from rangeload.plans.bounds import MOST_CONDITIONS, OffsetRange, hull, predicate_over, with_index
 from rangeload.plans.offsets import OffsetType
 
 # Gives the rows inside some spans, with the offset as the column ``offset``.
@@ -28,16 +28,6 @@ MIN_BUCKETS = 16
 ENOUGH_BUCKETS = 256
 
 
-def predicate_over(name: str, spans: list[OffsetRange], kind: OffsetType) -> str:
-    """SQL condition for rows in any of the spans. The hull of several spans
-    comes first, since every source can prune by it."""
-    each = [s.predicate(name, kind) for s in spans]
-    if len(each) == 1:
-        return each[0]
-    hull = OffsetRange(0, min(s.lower for s in spans), max(s.upper for s in spans))
-    return f"{hull.predicate(name, kind)} AND ({' OR '.join(each)})"
-
-
 @dataclass
 class Bucket:
     """Rows whose offsets lie from ``first`` to ``last``, both present."""
@@ -62,7 +52,12 @@ def histogram(offsets: Offsets, kind: OffsetType, spans: list[OffsetRange], buck
 
     The spans ascend, and none holds the lower bound of a later one.
     """
-    which = index_of("offset", [s.lower for s in spans], kind)
+    many = len(spans) > MOST_CONDITIONS and all((s.lo_op, s.hi_op) == (">=", "<=") for s in spans)
+    rows = offsets([hull(spans)] if many else spans)
+    rows = with_index(rows, "span", "offset", [s.lower for s in spans], kind)
+    if many:
+        uppers = ", ".join(kind.sql(s.upper) for s in spans)
+        rows = rows.where(f"offset <= get(array({uppers}), span)")
     wide = [s for s in spans if s.lower < s.upper]
     place = "0"
     if wide:
@@ -71,9 +66,7 @@ def histogram(offsets: Offsets, kind: OffsetType, spans: list[OffsetRange], buck
         position = kind.within("offset", pairs, "span")
         place = f"greatest(least(CAST(floor({position} * {buckets}) AS INT), {buckets - 1}), 0)"
     counted = (
-        offsets(spans)
-        .withColumn("span", which)
-        .groupBy("span", F.expr(place).alias("place"))
+        rows.groupBy("span", F.expr(place).alias("place"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min("offset").alias("first"), F.max("offset").alias("last"))
         .select(
             "span",

@@ -33,13 +33,14 @@ from rangeload.operators.stats import OffsetStats, offset_stats
 from rangeload.options import LoadOptions
 from rangeload.plans.bounds import (
     OffsetRange,
-    index_of,
     planned_ranges,
+    predicate_over,
     recreate_ranges,
     split_range,
+    with_index,
 )
 from rangeload.plans.files import FileOffsets
-from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, predicate_over, refine_chunks
+from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, refine_chunks
 from rangeload.plans.offsets import OffsetType
 from rangeload.streaming.state import StateFiles
 
@@ -279,7 +280,8 @@ class IncrementalLoader:
         """Rows and last offset per range, from the files the step wrote."""
         written = self.spark.read.schema(T.StructType([T.StructField(self.offset, self.kind.data_type)])).parquet(path)
         counted = (
-            written.groupBy(index_of(self.offset, [p.lower for p in pieces], self.kind).alias("at"))
+            with_index(written, "__piece", self.offset, [p.lower for p in pieces], self.kind)
+            .groupBy(F.col("__piece").alias("at"))
             .agg(F.count(F.lit(1)).alias("rows"), F.max(self.offset).alias("last"))
             .select("at", "rows", self.kind.collectable("last").alias("last"))
             .collect()

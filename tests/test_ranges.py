@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import plans
 from rangeload import OffsetType, quantile_ranges, range_scan
 from rangeload.operators.stats import count_new, first_last, offset_stats
-from rangeload.plans.bounds import OffsetRange, count_of, index_of
+from rangeload.plans.bounds import OffsetRange, with_count, with_index
 from rangeload.plans.histogram import (
     chunks_of,
     histogram,
@@ -171,9 +171,9 @@ def test_search_and_tree_agree_with_counting(spark):
     for size in (0, 1, 2, 31, 32, 33, 64, 100):
         edges = sorted(random.Random(size).choices(range(380), k=size))
         for inclusive in (True, False):
-            for row in df.select("v", count_of("v", edges, kind, inclusive).alias("n")).collect():
+            for row in with_count(df, "n", "v", edges, kind, inclusive).collect():
                 assert row.n == sum(e <= row.v if inclusive else e < row.v for e in edges)
-    assert df.where("v = -5").select(index_of("v", [0, 10], kind)).first()[0] == 0
+    assert with_index(df.where("v = -5"), "n", "v", [0, 10], kind).first().n == 0
 
 
 def test_ordered_scan(spark):
