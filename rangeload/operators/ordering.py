@@ -7,21 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: any seed works, a constant one makes a retried task draw the same.
-_SALT_SEED = 17
+from rangeload.functions.spread import spread_key
 
 
 def order_output(df: DataFrame, order: Sequence[Column | str], offset: str) -> DataFrame:
     """The user's order with the offset column behind it.
 
-    A random last key spreads rows that tie on all others over several tasks of
-    the range shuffle, so one frequent key does not land in one task.
+    A last key spreads rows that tie on all others over several tasks of the range
+    shuffle, so one frequent key does not land in one task.
     """
     keys = [key if isinstance(key, Column) else F.col(key) for key in order]
     names = {key.lower() for key in order if isinstance(key, str)}
     if offset.lower() not in names:
         keys.append(F.col(offset))
-    return df.orderBy(*keys, F.rand(_SALT_SEED))
+    return df.orderBy(*keys, spread_key(df))
 
 
 def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:

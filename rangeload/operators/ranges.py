@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rangeload.functions.spread import spread_key
 from rangeload.operators.filters import apply_filters
 from rangeload.operators.stats import offset_stats
 from rangeload.plans.bounds import (
@@ -21,9 +22,6 @@ from rangeload.plans.bounds import (
 from rangeload.plans.histogram import quantile_cuts
 from rangeload.plans.offsets import OffsetType
 
-# Fixed value: any seed works, a constant one makes a retried task draw the same.
-_SALT_SEED = 17
-
 
 @dataclass(frozen=True)
 class RangeScan:
@@ -66,7 +64,8 @@ class RangeScan:
         cuts = quantile_cuts(rows, self.offset, whole, n, tolerance=0.1 / n)
         placed = with_count(rows, "__lowest", self.offset, cuts, self.kind, inclusive=False)
         placed = with_count(placed, "__highest", self.offset, cuts, self.kind, inclusive=True)
-        task = F.expr(f"__lowest + CAST(floor(rand({_SALT_SEED}) * (__highest - __lowest + 1)) AS INT)")
+        choices = F.col("__highest") - F.col("__lowest") + 1
+        task = (F.col("__lowest") + F.pmod(spread_key(rows), choices)).cast("int")
         return placed.repartitionById(n, task).drop("__lowest", "__highest").sortWithinPartitions(self.offset)
 
     def frame(self, spark: SparkSession) -> DataFrame:

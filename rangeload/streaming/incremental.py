@@ -18,6 +18,7 @@ turns up later at or below the largest offset seen is not loaded.
 
 from __future__ import annotations
 
+import importlib
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rangeload.operators.filters import all_of
+from rangeload.operators.filters import all_of, as_column
 from rangeload.operators.scan import check_columns
 from rangeload.operators.stats import OffsetStats, offset_stats
 from rangeload.options import LoadOptions
@@ -50,15 +51,31 @@ Reader = Callable[[SparkSession, Column | None], DataFrame]
 PROCESSING, WAITING, FINISHED = "PROCESSING_DATA", "WAITING_DATA", "FINISHED"
 
 
+def load_reader(name: str) -> Reader:
+    """The function or class of the dotted ``name``."""
+    module, _, attribute = name.rpartition(".")
+    try:
+        found = getattr(importlib.import_module(module), attribute)
+    except (ImportError, AttributeError, ValueError):
+        raise ValueError(f"Cannot load the reader '{name}'") from None
+    if isinstance(found, type):
+        found = found()
+    if not callable(found):
+        raise ValueError(f"The reader '{name}' cannot be called")
+    return found
+
+
 class IncrementalLoader:
     """Loads ``source`` into ``root`` step by step and picks up where it stopped.
 
     ``source`` is a DataFrame, a table name or Parquet path with a ``/`` (looked
     up again at every poll, so new files are seen), or ``reader(spark, range_predicate)``,
     which returns the rows of the table that meet the predicate (all of them for
-    None) and may narrow the read in its own way.
+    None) and may narrow the read in its own way. With None the reader is the one
+    that ``options.reader`` names.
 
-    ``where`` and ``columns`` narrow the load. The offset column is always
+    ``where`` and ``columns`` narrow the load, and ``deleted`` is the condition that
+    marks deleted rows, for ``options.include_deleted=False``. The offset column is always
     written, and hidden from :meth:`output` unless selected.
 
     Every row is loaded once: a cut takes all rows that share its offset, the
@@ -69,18 +86,21 @@ class IncrementalLoader:
     def __init__(
         self,
         spark: SparkSession,
-        source: DataFrame | str | Reader,
+        source: DataFrame | str | Reader | None,
         root: str,
         options: LoadOptions,
         where: Column | str | None = None,
         columns: Sequence[str] | None = None,
+        deleted: Column | str | None = None,
     ):
+        if not options.include_deleted and deleted is None:
+            raise ValueError("include_deleted=False needs the condition that marks deleted rows")
         self.spark = spark
         self.root = root.rstrip("/")
         self.options = options
         self.offset = options.offset_column
-        self._source = source
-        self._where = where
+        self._source = load_reader(options.reader) if source is None and options.reader else source
+        self._where = all_of([where, None if options.include_deleted else ~as_column(deleted)])
         self._documents = StateFiles(spark, self.root)
         self._files: FileOffsets | None = None
         self._looked_at_files = False

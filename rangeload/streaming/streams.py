@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from rangeload.operators.scan import scan
+from rangeload.options import LoadOptions
 from rangeload.sources.sinks import TEXT_TIMES
 
 
@@ -69,6 +70,23 @@ def load_once(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet")
     return query
 
 
+def stream_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    root: str,
+    options: LoadOptions,
+    columns: Sequence[str] | None = None,
+    where: Column | str | Sequence[Column | str] = (),
+    fmt: str = "parquet",
+) -> StreamingQuery:
+    """Stream a folder of files into ``root/data`` as the options say: once over
+    what is there, or on and on with a poll per interval."""
+    rows = read_stream(spark, path, schema, columns, where, max_files=options.max_batches)
+    interval = None if options.load_available else options.poll_interval_ms
+    return start_stream(rows, f"{root}/data", f"{root}/checkpoint", fmt, interval, options.query_name)
+
+
 def drop_replayed_stream(
     rows: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread: int = 16
 ) -> DataFrame:

@@ -242,6 +242,30 @@ def test_custom_reader(spark, folder):
     assert ids(loader.output()) == [i for i in range(500) if i != 13]
 
 
+def test_named_reader(spark, folder):
+    numbers(spark, range(30)).createOrReplaceTempView("named_reader")
+    loader = IncrementalLoader(spark, None, folder, options(reader="test_incremental.ViewReader"))
+    assert loader.load_available() == 30
+    for bad in ("no.such.Reader", "test_incremental.Missing", "json", "test_incremental.__doc__"):
+        with pytest.raises(ValueError, match="reader"):
+            IncrementalLoader(spark, None, f"{folder}/2", options(reader=bad))
+
+
+class ViewReader:
+    def __call__(self, session, predicate):
+        rows = session.table("named_reader")
+        return rows if predicate is None else rows.where(predicate)
+
+
+def test_deleted_rows(spark, folder):
+    df = numbers(spark, range(200)).withColumn("gone", F.col("id") >= 150)
+    loader = IncrementalLoader(spark, df, folder, options(include_deleted=False), deleted="gone", columns=["id"])
+    loader.load_available()
+    assert ids(loader.output()) == list(range(150))
+    with pytest.raises(ValueError, match="marks deleted"):
+        IncrementalLoader(spark, df, f"{folder}/2", options(include_deleted=False))
+
+
 def test_path_source_sees_new_files(spark, folder):
     path = f"{folder}/source"
     df = numbers(spark, range(200))
