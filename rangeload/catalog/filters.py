@@ -30,10 +30,12 @@ def filter_eq_null_safe(spark, folder):
     return _keep(spark, folder, ~F.col("kind").eqNullSafe("click"))
 
 
-@query(f"{_FROM} WHERE value < 400 AND value > 5 AND event_id <= 9000 AND event_id >= 10")
+@query(f"""{_FROM} WHERE value < 400 AND value > 5
+AND ts <= TIMESTAMP '2024-01-28 00:00:00' AND ts >= TIMESTAMP '2024-01-02 00:00:00'""")
 def filter_range_ops(spark, folder):
-    value, key = F.col("value"), F.col("event_id")
-    return _keep(spark, folder, value < 400, value > 5, key <= 9000, key >= 10)
+    value, ts = F.col("value"), F.col("ts")
+    low, high = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-02", "2024-01-28"))
+    return _keep(spark, folder, value < 400, value > 5, ts <= high, ts >= low)
 
 
 @query(f"{_FROM} WHERE kind IS NULL")

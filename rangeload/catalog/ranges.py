@@ -127,12 +127,18 @@ def range_scan_ordered(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, o_totalprice, CAST(least(3, (o_orderkey - 1000) // 500) AS INTEGER) AS range_id
-FROM orders WHERE o_orderkey >= 1000 AND o_orderkey <= 3003
+WITH b AS (
+  SELECT epoch_us(TIMESTAMP '1996-01-01 00:00:00') AS lo,
+         (epoch_us(TIMESTAMP '2000-12-31 12:00:00') - epoch_us(TIMESTAMP '1996-01-01 00:00:00')) // 4 AS step
+)
+SELECT o_orderkey, o_orderdate, CAST(least(3, (epoch_us(o_orderdate) - lo) // step) AS INTEGER) AS range_id
+FROM orders, b WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate <= TIMESTAMP '2000-12-31 12:00:00'
 """)
 def bounded_scan(spark, folder):
-    found = range_scan(table(spark, folder, "orders"), "o_orderkey", 4, lower=1000, upper=3003)
-    return found.rows().select("o_orderkey", "o_totalprice", "range_id")
+    """Both bounds are given, so none is looked up."""
+    orders = table(spark, folder, "orders")
+    found = range_scan(orders, "o_orderdate", 4, lower="1996-01-01", upper="2000-12-31T12:00:00Z")
+    return found.rows().select("o_orderkey", "o_orderdate", "range_id")
 
 
 @query("""

@@ -116,7 +116,9 @@ def _due(chunks: list[Chunk], span: OffsetRange) -> Chunk | None:
     """The chunk that holds the first rows left in ``span``."""
     search = bisect.bisect_left if span.lo_op == ">=" else bisect.bisect_right
     at = search(chunks, span.lower, key=lambda c: c.cut)
-    return chunks[at] if at < len(chunks) and chunks[at].first <= span.upper else None
+    if at == len(chunks) or chunks[at].first > span.upper:
+        return None
+    return None if chunks[at].first == span.upper and span.hi_op == "<" else chunks[at]
 
 
 def next_cut(chunks: list[Chunk], span: OffsetRange):

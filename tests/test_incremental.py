@@ -41,7 +41,7 @@ def test_cap_holds_and_every_row_is_loaded_once(spark, folder):
     assert loader.load_available() == 1000
     assert ids(loader.output()) == list(range(1000))
     for rows in steps(loader).values():
-        assert all(r.rows <= 100 for r in rows) and len(rows) <= 3
+        assert all(0 < r.rows <= 100 for r in rows) and len(rows) <= 3
     assert loader.status == "WAITING_DATA" and loader.max_offset == 999
     assert loader.step() is None and loader.load_available() == 0
 
