@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rangeload.catalog.registry import query, table
 from rangeload.operators.ranges import range_scan
 from rangeload.operators.replay import drop_replayed, replay_from
+from rangeload.operators.stats import offset_stats
 from rangeload.plans.offsets import OffsetType
 from rangeload.session import scratch_dir
 from rangeload.streaming.streams import drop_replayed_stream, load_once, read_stream, stream_progress
@@ -66,10 +67,9 @@ def _replayed(spark, folder, delivery):
     events = table(spark, folder, "events").select("event_id", "ts", "value")
     kind = OffsetType.of(events, "ts")
     whole = range_scan(events, "ts", 1).ranges[0]
-    middle = kind.literal((whole.lower + whole.upper) // 2)
-    first = events.where(F.col("ts") <= middle)
-    cursor = first.agg(F.max("ts")).first()[0]
-    return first.unionByName(replay_from(events, "ts", whole, cursor, delivery))
+    first = events.where(F.col("ts") <= kind.literal((whole.lower + whole.upper) // 2))
+    cursor = kind.to_python(offset_stats(first, "ts").last)
+    return first.unionByName(replay_from(events, "ts", whole, cursor, delivery)), cursor
 
 
 _HALVES = """
@@ -82,14 +82,21 @@ UNION ALL SELECT event_id, ts, value FROM events, c WHERE ts {op} seen
 
 @query(_HALVES.format(op=">="))
 def replay_at_least_once(spark, folder):
-    return _replayed(spark, folder, "at_least_once")
+    return _replayed(spark, folder, "at_least_once")[0]
 
 
 @query(_HALVES.format(op=">"))
 def replay_at_most_once(spark, folder):
-    return _replayed(spark, folder, "at_most_once")
+    return _replayed(spark, folder, "at_most_once")[0]
 
 
 @query("SELECT event_id, ts, value FROM events")
 def replay_dedup(spark, folder):
-    return drop_replayed(_replayed(spark, folder, "at_least_once"), "event_id")
+    rows, _ = _replayed(spark, folder, "at_least_once")
+    return drop_replayed(rows, "event_id")
+
+
+@query("SELECT event_id, ts, value FROM events")
+def replay_dedup_at_cursor(spark, folder):
+    rows, cursor = _replayed(spark, folder, "at_least_once")
+    return drop_replayed(rows, "event_id", offset="ts", cursors=[cursor])

@@ -42,6 +42,8 @@ class RangeScan:
         expression, and file splits, not ranges, decide the tasks. A range with
         most of the rows is therefore read by most of the tasks.
         """
+        if range_id.lower() in {c.lower() for c in self.df.columns}:
+            raise ValueError(f"The table has a column '{range_id}'; choose another name for the range id")
         if not self.ranges:
             return self.df.where(F.lit(False)).withColumn(range_id, F.lit(0))
         inside = self.df.where(predicate_over(self.offset, self.ranges, self.kind))
@@ -71,10 +73,10 @@ class RangeScan:
     def frame(self, spark: SparkSession) -> DataFrame:
         return ranges_frame(spark, self.ranges, self.kind)
 
-    def progress(self, key: str | None = None) -> DataFrame:
+    def progress(self) -> DataFrame:
         """Rows and last offset per range; empty ranges are there with zero rows."""
         spark = self.df.sparkSession
-        counted = self.rows().groupBy("range_id").agg(
+        counted = self.rows("__range").groupBy(F.col("__range").alias("range_id")).agg(
             F.count(F.lit(1)).alias("rows"), F.max(self.offset).alias("last_offset")
         )
         named = self.frame(spark).select("range_id", "lower", "upper")

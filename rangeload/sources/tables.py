@@ -19,16 +19,11 @@ SOURCE_TYPES = {
 
 
 def load(spark: SparkSession, query: str | None) -> DataFrame:
-    """One query or one bare table name.
-
-    A name loads the whole table. Only one query is taken per load.
-    """
+    """One query or one bare table name; a name loads the whole table."""
     if not isinstance(query, str) or not query.strip():
         raise ValueError("A query or a table name is required")
     text = query.strip().rstrip(";")
-    if ";" in text:
-        raise ValueError("Only one query should be given")
-    return spark.sql(text) if " " in text else spark.table(text)
+    return spark.sql(text) if len(text.split()) > 1 else spark.table(text)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:

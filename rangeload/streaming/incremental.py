@@ -34,6 +34,7 @@ from rangeload.operators.stats import OffsetStats, offset_stats
 from rangeload.options import LoadOptions
 from rangeload.plans.bounds import (
     OffsetRange,
+    hull,
     planned_ranges,
     predicate_over,
     recreate_ranges,
@@ -132,7 +133,9 @@ class IncrementalLoader:
             rows = self._source(self.spark, predicate)
         else:
             if not self._looked_at_files:
-                self._look_at_files(self._table)
+                # Started again: look only where ranges are open.
+                left = hull(self._state["ranges"]).predicate(self.offset, self.kind)
+                self._look_at_files(self._table.where(left))
             rows = self._files.narrow(self._table, spans) if self._files else self._table
         return rows.where(all_of([predicate, self._where]))
 
@@ -147,9 +150,16 @@ class IncrementalLoader:
     # -- state ---------------------------------------------------------------
 
     def _begin(self) -> dict:
-        stats = self._look_at_files(self._table)
-        low = stats.first if self.options.initial_offset is None else self.kind.parse(self.options.initial_offset)
-        high = stats.last if self.options.end_offset is None else self.kind.parse(self.options.end_offset)
+        given = [self.options.initial_offset, self.options.end_offset]
+        low, high = (None if value is None else self.kind.parse(value) for value in given)
+        table, column = self._table, F.col(self.offset)
+        if low is not None:
+            table = table.where(column >= self.kind.literal(low))
+        if high is not None:
+            table = table.where(column <= self.kind.literal(high))
+        stats = self._look_at_files(table)
+        low = stats.first if low is None else low
+        high = stats.last if high is None else high
         ranges = []
         if low is not None and high is not None:
             ranges = split_range(low, high, self.options.num_ranges, self.kind)

@@ -341,4 +341,8 @@ def test_replay(spark):
     seen = df.where("v <= 15 AND v >= 10").unionByName(replay_from(df, "v", span, 15))
     assert Counter(ids(seen)) == {0: 1, 1: 1, 2: 2, 3: 2, 4: 1}
     assert ids(drop_replayed(seen, "id")) == [0, 1, 2, 3, 4]
+    assert ids(drop_replayed(seen, "id", offset="v", cursors=[15])) == [0, 1, 2, 3, 4]
+    assert ids(drop_replayed(seen, "id", offset="v")) == ids(seen)
+    empty = seen.unionByName(numbers(spark, [None]))
+    assert drop_replayed(empty, "id", offset="v", cursors=[15]).count() == 6
     assert OffsetType.of(df, "V").kind == "integer"

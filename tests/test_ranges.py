@@ -230,6 +230,15 @@ def test_empty_table(spark):
     assert tuple(first_last(df, "v").first()) == (None, None)
 
 
+def test_range_id_never_replaces_a_column(spark):
+    df = spark.createDataFrame([(1, 5), (2, 6)], "v int, range_id int")
+    found = range_scan(df, "v", 2)
+    with pytest.raises(ValueError, match="choose another name"):
+        found.rows()
+    assert found.rows("part").columns == ["v", "range_id", "part"]
+    assert sum(r.rows for r in found.progress().collect()) == 2
+
+
 def test_nan_belongs_to_no_range(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
     stats = offset_stats(df, "v")

@@ -5,7 +5,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,9 +130,12 @@ def test_load_by_query_or_name(spark, users):
     users.createOrReplaceTempView("users_view")
     assert ids(load(spark, "users_view")) == list("abcde")
     assert ids(load(spark, "SELECT Id FROM users_view WHERE Name = 'alex'")) == ["a", "e"]
-    for bad in (None, " ", "SELECT 1; SELECT 2"):
+    assert ids(load(spark, "SELECT Id\nFROM users_view WHERE Name <> 'a;b' AND Name IS NOT NULL;")) == ["a", "b", "c", "e"]
+    for bad in (None, " "):
         with pytest.raises(ValueError, match="query"):
             load(spark, bad)
+    with pytest.raises(ParseException):
+        load(spark, "SELECT 1; SELECT 2")
 
 
 def test_describe_and_declared_types(users):
