@@ -19,10 +19,10 @@ turns up later at or below the largest offset seen is not loaded.
 from __future__ import annotations
 
 import importlib
-import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, replace
+from time import sleep, time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,7 +173,7 @@ class IncrementalLoader:
             "cuts": None,
             "without_offset": stats.without_offset,
             "done": [],
-            "started_ms": int(time.time() * 1000),
+            "started_ms": int(time() * 1000),
             "took_ms": 0,
         }
         return self._save(state)
@@ -269,7 +269,7 @@ class IncrementalLoader:
         state = self._state
         if not state["ranges"]:
             return None
-        number, start = state["step"] + 1, time.time()
+        number, start = state["step"] + 1, time()
         pieces = self._next_pieces(number)
         path = self._data_path(number)
         hidden = [] if self._selects_offset() else [self.offset]
@@ -301,7 +301,7 @@ class IncrementalLoader:
             "rows": state["rows"] + loaded,
             "done": done,
             "started_ms": int(start * 1000),
-            "took_ms": int((time.time() - start) * 1000),
+            "took_ms": int((time() - start) * 1000),
         }
         self._state = self._save(saved)
         return loaded
@@ -367,7 +367,7 @@ class IncrementalLoader:
                 if self.poll():
                     self.load_available()
                 elif turn < max_polls - 1:
-                    time.sleep(self.options.poll_interval_ms / 1000)
+                    sleep(self.options.poll_interval_ms / 1000)
         return self._state["rows"] - before
 
     # -- results -------------------------------------------------------------

