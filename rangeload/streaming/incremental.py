@@ -336,7 +336,12 @@ class IncrementalLoader:
             return 0
         self._refresh()
         after = state["max_offset"]
-        rows = self._table if after is None else self._table.where(F.col(self.offset) > self.kind.literal(after))
+        column, start = F.col(self.offset), self.options.initial_offset
+        rows = self._table
+        if after is not None:
+            rows = rows.where(column > self.kind.literal(after))
+        elif start is not None:
+            rows = rows.where(column >= self.kind.literal(self.kind.parse(start)))
         new = self._look_at_files(rows)
         if not new.rows:
             return 0

@@ -151,6 +151,23 @@ def test_given_bounds(spark, folder):
     assert loader.poll() == 50
 
 
+def test_first_offset_past_the_table(spark, folder):
+    df = numbers(spark, range(100))
+    early = IncrementalLoader(spark, df.where("v < 50"), folder, options(initial_offset=60))
+    assert early.load_available() == 0 and early.poll() == 0
+    later = IncrementalLoader(spark, df, folder, options(initial_offset=60))
+    later.run(max_polls=1)
+    assert ids(later.output()) == list(range(60, 100))
+
+
+def test_last_offset_before_the_table(spark, folder):
+    df = numbers(spark, range(100))
+    loader = IncrementalLoader(spark, df, folder, options(end_offset=-5))
+    assert loader.load_available() == 0
+    loader.run(max_polls=1)
+    assert ids(loader.output()) == list(range(100))
+
+
 def test_empty_table_then_rows(spark, folder):
     df = numbers(spark, range(10))
     empty = IncrementalLoader(spark, df.where("id < 0"), folder, options())
