@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangeload.catalog.registry import query, table
-from rangeload.functions.casts import format_iso_timestamp, parse_iso_timestamp
+from rangeload.functions.casts import format_iso_timestamp, parse_iso_timestamp, utc_clock
 from rangeload.operators.conform import apply_schema, conform, drop_compound
 from rangeload.operators.scan import scan
 from rangeload.session import scratch_dir
@@ -137,7 +137,7 @@ def typed_load_from_text(spark, folder):
     return typed.withColumns(
         {
             "price": F.col("price").cast("double"),
-            "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz"),
+            "o_orderdate": utc_clock(F.col("o_orderdate")),
             "day": F.col("day").cast("string"),
         }
     )
@@ -147,14 +147,14 @@ def typed_load_from_text(spark, folder):
 def cast_iso_timestamp(spark, folder):
     events = table(spark, folder, "events")
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return events.select("event_id", parse_iso_timestamp(text).cast("timestamp_ntz").alias("ts"))
+    return events.select("event_id", utc_clock(parse_iso_timestamp(text)).alias("ts"))
 
 
 @query("SELECT event_id, date_trunc('second', ts) AS ts FROM events")
 def cast_iso_timestamp_seconds(spark, folder):
     events = table(spark, folder, "events")
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return events.select("event_id", parse_iso_timestamp(text, True).cast("timestamp_ntz").alias("ts"))
+    return events.select("event_id", utc_clock(parse_iso_timestamp(text, True)).alias("ts"))
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts_text FROM events", name="format_iso_timestamp")

@@ -50,9 +50,17 @@ def parse_iso_timestamp(text: Column, truncate_seconds: bool = False) -> Column:
     return F.date_trunc("second", parsed) if truncate_seconds else parsed
 
 
+def utc_clock(instant: Column) -> Column:
+    """The UTC date and time of a ``timestamp`` as ``timestamp_ntz``, whatever the
+    time zone of the session."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") * F.expr("0.000001BD")).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+
+
 def format_iso_timestamp(value: Column) -> Column:
     """Timestamp to ISO-8601 text with milliseconds and a ``Z``.
 
-    The text is in the session time zone, which this library keeps at UTC.
+    Takes ``timestamp_ntz``; put a ``timestamp`` through :func:`utc_clock` first,
+    unless the session time zone is UTC.
     """
     return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

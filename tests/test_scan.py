@@ -1,7 +1,7 @@
 """Scans, schemas, filters and casts on a small table."""
 
 
-from datetime import date
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -22,7 +22,7 @@ from rangeload import (
     top_k,
     typed_load,
 )
-from rangeload.functions.casts import format_iso_timestamp, parse_iso_timestamp
+from rangeload.functions.casts import format_iso_timestamp, parse_iso_timestamp, utc_clock
 from rangeload.functions.durations import format_duration
 from rangeload.sources.tables import declared_schema
 
@@ -229,6 +229,19 @@ def test_iso_timestamps(spark):
     assert tuple(row) == (1603460385123456, 1603460385000000, "2020-10-23T13:39:45.123Z")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_clock_in_any_session_zone(spark, zone):
+    """Also through the hour that New York has twice, and before 1970."""
+    starts = [1604206800000000 + 1800_000_000 * i for i in range(8)] + [-1, -86_400_000_001, 0]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instants = spark.createDataFrame([(s,) for s in starts], "s bigint").select("s", F.timestamp_micros("s").alias("t"))
+        rows = instants.select("s", utc_clock(F.col("t")).alias("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(r.t == datetime(1970, 1, 1) + timedelta(microseconds=r.s) for r in rows)
+
+
 @pytest.mark.parametrize(
     ("millis", "units", "text"),
     [
