@@ -96,7 +96,7 @@ def predict_language(
     key: str = "doc_id",
     text: str = "text",
     margin: float = 0.02,
-    level: int = 3,
+    level: int = 9,
     piece_bytes: int = 4_096,
 ) -> DataFrame:
     """``key``, ``lang_pred``, ``score`` and ``accepted`` of every row.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, sharding, tokens
+from rangeload.llm import language, packing, sharding, simhash, tokens
 from rangeload.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,17 @@ def op9_compression_language(spark: SparkSession, folder: str) -> DataFrame:
     learned = language.learn_dictionaries(docs.where(id_remainder("doc_id", 4) != 2))
     predicted = language.predict_language(docs, learned)
     return predicted.withColumn("held_out", id_remainder("doc_id", 4) == 2)
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+@query
+def op10_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
+    )
