@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, packing, sharding, simhash, tokens
+from rangeload.llm import language, linededup, packing, sharding, simhash, tokens
 from rangeload.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,30 @@ def op10_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+@query
+def op6_levelled_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    batches = [batch.select("doc_id", "text") for batch in linededup.file_batches(docs, 4)]
+    kept = linededup.drop_shared_lines(docs.select("doc_id", "text"), batches=batches)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op6_levelled_line_runs"] = """
+WITH split AS (
+  SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+\\z', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split
+), shared AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT doc_id, pos, line, coalesce(doc_id <> last, false) AS lost FROM keyed LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
