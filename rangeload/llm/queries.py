@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, linededup, packing, sharding, simhash, tokens
+from rangeload.llm import language, linededup, packing, sharding, simhash, tokens, topk, vectordedup
 from rangeload.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op7_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLES["op7_pivot_top_k"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op8_quantised_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return vectordedup.near_duplicates(vectors).select("vec_id", "n_links", "component_id", "kept")
