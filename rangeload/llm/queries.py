@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, linededup, packing, sharding, simhash, tokens, topk, vectordedup
+from rangeload.llm import language, linededup, mixing, packing, quality, sharding, simhash, tokens, topk, vectordedup
 from rangeload.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,8 +99,8 @@ def op7_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op7_pivot_top_k"] = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
-  FROM embeddings WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
@@ -115,3 +115,60 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op8_quantised_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
     return vectordedup.near_duplicates(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op1_pfair_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+    parts = mixing.tempered_parts(docs, "source", size, 1000)
+    mixed = mixing.mix_sources(docs, parts, size=size)
+    return mixed.select("doc_id", "source", "block", "slot", "start", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+ORACLES["op1_pfair_mixture"] = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, text, strlen(coalesce(text, '')) + 1 AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS mix_key
+  FROM documents
+), roots AS (
+  SELECT source, floor(sqrt(sum(size)))::BIGINT AS root FROM sized GROUP BY source
+), shares AS (
+  SELECT source, greatest(1, root * 1000 // (SELECT sum(root) FROM roots))::BIGINT AS parts,
+         row_number() OVER (ORDER BY source NULLS FIRST) AS nr
+  FROM roots
+), cycle AS (
+  SELECT list(parts ORDER BY nr) AS parts, sum(parts)::BIGINT AS len, count(*) AS n FROM shares
+), schedule AS (
+  SELECT 0::BIGINT AS slot, list_transform(parts, lambda p: 0::BIGINT) AS done, 0::BIGINT AS nr, 0::BIGINT AS nth FROM cycle
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda d, i: CASE WHEN i = pick THEN d + 1 ELSE d END), pick, done[pick]
+  FROM (
+    SELECT slot, done, list_position(due, list_min(due)) AS pick
+    FROM (
+      SELECT s.slot, s.done, list_transform(range(1, c.n + 1), lambda i:
+               CASE WHEN s.done[i] < c.parts[i] AND s.done[i] * c.len // c.parts[i] <= s.slot
+                    THEN ((s.done[i] + 1) * c.len + c.parts[i] - 1) // c.parts[i] END) AS due
+      FROM schedule s, cycle c WHERE s.slot < c.len
+    )
+  )
+), slots AS (
+  SELECT nr, nth, slot - 1 AS first FROM schedule WHERE slot > 0
+), placed AS (
+  SELECT *, (coalesce(sum(size) OVER (PARTITION BY source ORDER BY mix_key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
+  FROM sized
+)
+SELECT doc_id, p.source, start // 65536 AS block,
+       (start // 65536) // h.parts * c.len + s.first AS slot, start, sha256(coalesce(text, '')) AS text_sha256
+FROM placed p JOIN shares h ON p.source IS NOT DISTINCT FROM h.source CROSS JOIN cycle c
+JOIN slots s ON s.nr = h.nr AND s.nth = (start // 65536) % h.parts
+"""
+
+
+@query
+def op3_byte_network_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    held_out = id_remainder("doc_id", 3) == 1
+    network = quality.fit_quality(docs.where(~held_out), read(spark, folder, "labels"))
+    scored = quality.score_quality(docs, network)
+    return scored.withColumn("held_out", held_out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
