@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -204,3 +205,16 @@ def score_quality(df: DataFrame, network: ByteNetwork, *, key: str = "doc_id", t
     narrow = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     return narrow.mapInArrow(judge, f"key {kind}, score double").withColumnRenamed("key", key)
+
+
+def keep_likely(df: DataFrame, network: ByteNetwork, *, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``df`` whose text scores ``least`` or more, as they are."""
+    shared = df.sparkSession.sparkContext.broadcast(network)
+
+    @F.pandas_udf("boolean")
+    def likely(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        pairs = shared.value.paired()
+        for texts in parts:
+            yield pd.Series([shared.value.score((value or "").encode(), pairs) >= least for value in texts], dtype=bool)
+
+    return df.where(likely(F.col(text)))

@@ -79,14 +79,34 @@ def unit_rows(ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return ids, matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
-def linked_pairs(unit: np.ndarray, keys: np.ndarray, table: int, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of rows link and have no earlier table in common, so that each counts once."""
-    found = np.zeros(len(left), bool)
-    for at in range(0, len(left), 16_384):
-        part = slice(at, at + 16_384)
-        close = np.nonzero(np.einsum("ij,ij->i", unit[left[part]], unit[right[part]]) >= threshold)[0]
-        a, b = left[part][close], right[part][close]
-        found[at + close] = ~(keys[a, :table] == keys[b, :table]).any(axis=1)
+def close_pairs(unit: np.ndarray, starts: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one unit whose cosine reaches ``threshold``; units begin at ``starts``, which ends with the last row's end."""
+    sizes = np.diff(starts)
+    for size in np.unique(sizes).tolist():
+        firsts = starts[:-1][sizes == size]
+        if size <= 16:  # all small units of one size at once
+            a, b = np.triu_indices(size, 1)
+            for at in range(0, len(firsts), 1024):
+                some = firsts[at : at + 1024, None]
+                x, y = (some + a).ravel(), (some + b).ravel()
+                near = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
+                yield x[near], y[near]
+        else:
+            for first in firsts.tolist():
+                rows = unit[first : first + size]
+                a, b = np.nonzero(np.triu(rows @ rows.T >= threshold, 1))
+                yield a + first, b + first
+
+
+def first_meeting(keys: np.ndarray, tab: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs share no table before the one of their unit, so that each pair counts once."""
+    alive = np.arange(len(a))
+    for t in range(int(tab[a].max(initial=0))):
+        x, y = a[alive], b[alive]
+        met = (tab[x] > t) & (keys[t, x] == keys[t, y])
+        alive = alive[~met]
+    found = np.zeros(len(a), bool)
+    found[alive] = True
     return found
 
 
@@ -196,26 +216,22 @@ def near_duplicates(
             weight, tab, sub, low, high, own = (part[c].to_numpy() for c in ("weight", "tab", "sub", "low", "high", "own"))
             first = np.concatenate([[True], (tab[1:] != tab[:-1]) | (sub[1:] != sub[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
             starts = np.append(np.nonzero(first)[0], len(ids))
-            keys = np.concatenate([shared.value[n].keys(unit[at : at + 4096]) for at in range(0, len(unit), 4096)])
-            counts: dict[int, int] = {}
-            links = set()
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                a, b = np.triu_indices(e - s, 1)
-                a, b = a + s, b + s
-                if low[s] != high[s]:  # a block's own pairs are counted in its unit with itself
-                    mixed = own[a] != own[b]
-                    a, b = a[mixed], b[mixed]
-                hit = linked_pairs(unit, keys, int(tab[s]), a, b, threshold)
-                a, b = a[hit], b[hit]
-                for x, y in ((a, b), (b, a)):
-                    for row, more in zip(*sums(x, weight[y]), strict=True):
-                        counts[int(ids[row])] = counts.get(int(ids[row]), 0) + more
-                links.update(forest(ids, a, b))
+            keys = np.concatenate([shared.value[n].keys(unit[at : at + 4096]) for at in range(0, len(unit), 4096)]).T.copy()
+            counts = np.zeros(len(ids), np.int64)
+            ends = []
+            for a, b in close_pairs(unit, starts, threshold):
+                # a block's own pairs are counted in its unit with itself
+                mine = ((low[a] == high[a]) | (own[a] != own[b])) & first_meeting(keys, tab, a, b)
+                a, b = a[mine], b[mine]
+                counts += np.bincount(a, weight[b], len(ids)).astype(np.int64) + np.bincount(b, weight[a], len(ids)).astype(np.int64)
+                ends.append(np.array(list(forest(ids, a, b)), np.int64).reshape(-1, 2))
+            links = np.concatenate(ends) if ends else np.zeros((0, 2), np.int64)
+            some = counts > 0
             yield pa.RecordBatch.from_pydict(
                 {
-                    "a": pa.array([*counts, *(x for x, _ in links)], pa.int64()),
-                    "n": pa.array([*counts.values(), *[0] * len(links)], pa.int64()),
-                    "b": pa.array([*[None] * len(counts), *(y for _, y in links)], pa.int64()),
+                    "a": pa.array(np.concatenate([ids[some], links[:, 0]])),
+                    "n": pa.array(np.concatenate([counts[some], np.zeros(len(links), np.int64)])),
+                    "b": pa.array(np.concatenate([np.full(some.sum(), -1), links[:, 1]]), mask=np.arange(some.sum() + len(links)) < some.sum()),
                 }
             )
 
@@ -247,14 +263,6 @@ def usable(vector: str):
     return F.col(vector).isNotNull() & whole_numbers & F.exists(vector, lambda x: x != 0)
 
 
-def sums(rows: np.ndarray, values: np.ndarray) -> tuple[list[int], list[int]]:
-    """Sum of ``values`` for each of ``rows``."""
-    if not len(rows):
-        return [], []
-    found, at = np.unique(rows, return_inverse=True)
-    return found.tolist(), np.bincount(at, values).astype(np.int64).tolist()
-
-
 def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
     """Links from every linked row to the least id it reaches."""
     parent: dict[int, int] = {}

@@ -29,20 +29,25 @@ def byte_level(text: str) -> str:
 class WordTable(dict):
     """Words to what ``value`` makes of their ids; missing words are encoded and kept.
 
-    Starts from ``given`` and goes back to it when it holds ``most`` words, so a
-    worker's memory is bounded whatever it meets.
+    Starts from ``given``. When it holds ``most`` words, it becomes the elder generation
+    and starts again, taking what it meets again from there; the generation before that
+    goes. So a worker's memory is bounded whatever it meets, and frequent words stay.
     """
 
     def __init__(self, path: str, value, given: dict, most: int = 400_000, lower: bool = False):
         super().__init__(given)
         self.given, self.most, self.value, self.lower = given, most, value, lower
+        self.elder: dict = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: str):
-        found = self.value(self._encode(word))
+        found = self.elder.get(word)
+        if found is None:
+            found = self.value(self._encode(word))
         if len(self) >= self.most:
+            self.elder = dict(self)
             self.clear()
             self.update(self.given)
         self[word] = found
