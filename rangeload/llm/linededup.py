@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,12 +125,18 @@ def line_summary(df: DataFrame, key: str, text: str, min_length: int) -> DataFra
 
 
 def file_batches(df: DataFrame, batches: int) -> list[DataFrame]:
-    """``df``, read from files, cut by files into at most ``batches`` parts; else as one part."""
-    files = sorted(df.inputFiles())
-    if len(files) < 2 or "_metadata" in df.columns:
+    """``df``, a scan of files, cut by files into at most ``batches`` parts; anything else as one part.
+
+    The last part takes every row that no other does.
+    """
+    try:
+        files = sorted(row[0] for row in df.select("_metadata.file_path").distinct().collect())
+    except AnalysisException:
         return [df]
     groups = [files[i::batches] for i in range(min(batches, len(files)))]
-    return [df.where(F.col("_metadata.file_path").isin(group)) for group in groups]
+    path = F.col("_metadata.file_path")
+    parts = [df.where(path.isin(group)) for group in groups[:-1]]
+    return [*parts, df.where(~path.isin([file for group in groups[:-1] for file in group])) if parts else df]
 
 
 def drop_shared_lines(
