@@ -1,0 +1,95 @@
+import random
+from collections import Counter
+
+import pytest
+from fixtures import documents
+
+from rangeload.llm.linededup import LineRuns, drop_shared_lines, file_batches, line_summary
+
+SPACE = " \t\n\x0b\f\r"
+
+
+def plainly(rows, min_length=40, min_docs=5):
+    """Kept text and counts of every (id, text), line by line."""
+
+    def key(line):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(SPACE))
+
+    seen = {}
+    for doc, text in rows:
+        for k in {key(line) for line in (text or "").split("\n")}:
+            seen.setdefault(k, []).append(doc)
+    order = lambda doc: (doc is not None, doc or 0)
+    lost = {k: max(docs, key=order) for k, docs in seen.items() if len(docs) >= min_docs and len(k) >= min_length}
+    made = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = [line for line in lines if key(line) not in lost or lost[key(line)] == doc]
+        made.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return made
+
+
+def corpus(rng, many):
+    shared = [f"  Shared line number {i} that is much longer than forty characters é{i}. " for i in range(8)]
+    rows = []
+    for doc in range(many):
+        lines = [rng.choice(shared) if rng.random() < 0.5 else f"own line {rng.random()} {'x' * rng.randint(0, 60)}" for _ in range(rng.randint(0, 12))]
+        lines = [rng.choice([line, line.upper() if line.isascii() else line, line.strip(), "\t" + line + "\x0b"]) for line in lines]
+        rows.append((doc, rng.choice(["\n", "\n\n", "\r\n"]).join(lines), "en", "s", 0))
+    return rows
+
+
+@pytest.mark.parametrize("many_batches", [1, 2, 9])
+def test_same_as_line_by_line(spark, many_batches):
+    rows = corpus(random.Random(many_batches), 90)
+    docs = documents(spark, rows, clash="n_lines")
+    batches = [docs.where(f"doc_id % {many_batches} = {i}") for i in range(many_batches)]
+    made = drop_shared_lines(docs, batches=batches, fanout=2)
+    assert made.columns.count("n_lines") == 1
+    assert {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in made.collect()} == set(plainly([(r[0], r[1]) for r in rows]))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_runs")]
+
+
+def test_odd_rows(spark):
+    line = "a line that is certainly longer than forty characters"
+    rows = [(i if i < 6 else None, f"{line}\nown {i}", "en", "s", 0) for i in range(7)] + [(9, line, "en", "s", 0)] * 2
+    rows += [(20, None, None, None, None), (21, "", "en", "s", 0), (22, "\n\n", "en", "s", 2), (23, (line + "\n") * 3000, "en", "s", 0)]
+    found = Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in drop_shared_lines(documents(spark, rows)).collect())
+    assert found == Counter(plainly([(r[0], r[1]) for r in rows]))
+    assert drop_shared_lines(documents(spark, [])).collect() == []
+
+
+def test_runs_are_levelled(spark):
+    rows = corpus(random.Random(3), 60)
+    docs = documents(spark, rows)
+    runs = LineRuns(spark, fanout=2)
+    sizes = []
+    for i in range(6):
+        runs.add(line_summary(docs.where(f"doc_id % 6 = {i}"), "doc_id", "text", 40))
+        sizes.append([len(level) for level in runs.levels])
+    assert sizes == [[1], [0, 1], [1, 1], [0, 0, 1], [1, 0, 1], [0, 1, 1]]
+    tables = [spark.table(run) for level in runs.levels for run in level]
+    hashes = [tuple(r) for t in tables for r in t.select("h1", "h2").collect()]
+    assert len(hashes) == len(set(hashes))
+    joined = tables[0].hint("merge").join(tables[1].select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "LeftAnti" in plan
+    runs.clear()
+
+
+def test_file_batches(spark, folder):
+    documents(spark, corpus(random.Random(1), 30), parts=5).write.parquet(f"{folder}/d")
+    docs = spark.read.parquet(f"{folder}/d")
+    parts = [part.select("doc_id").collect() for part in file_batches(docs, 3)]
+    assert len(parts) == 3 and sorted(r["doc_id"] for part in parts for r in part) == list(range(30))
+    assert len(file_batches(docs.repartition(2).groupBy("doc_id").count(), 3)) == 1
+    assert [part.count() for part in file_batches(spark.read.schema(docs.schema).parquet(f"{folder}/d").where("doc_id < 0"), 3)] == [0]
+
+
+def test_files_of_a_table(spark, folder):
+    rows = corpus(random.Random(8), 80)
+    documents(spark, rows, parts=6).write.parquet(f"{folder}/d")
+    docs = spark.read.parquet(f"{folder}/d")
+    made = drop_shared_lines(docs, batches=file_batches(docs, 4))
+    found = {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in made.collect()}
+    assert found == set(plainly([(r[0], r[1]) for r in rows])) and any(r[3] for r in found)

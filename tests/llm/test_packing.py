@@ -1,0 +1,93 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from fixtures import documents, words
+from tokenizers import Tokenizer
+
+from rangeload.llm.packing import RemainingCapacities, best_fit_plan, pack, pack_documents
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def plainly(lengths, capacity):
+    """Bins as best-fit decreasing fills them, one piece after the other."""
+    left = []
+    for length in sorted(lengths, reverse=True):
+        fits = [r for r in left if r >= length]
+        left.remove(min(fits)) if fits else None
+        left.append((min(fits) if fits else capacity) - length)
+    return sorted(left)
+
+
+def test_tightest():
+    tree = RemainingCapacities(10)
+    assert tree.tightest(1) is None
+    for remaining in (3, 7, 10):
+        tree.add(remaining, 1)
+    assert [tree.tightest(n) for n in range(1, 11)] == [3, 3, 3, 7, 7, 7, 7, 10, 10, 10]
+    tree.add(7, -1)
+    assert tree.tightest(4) == 10
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_is_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([1, 7, 30, 100])
+    lengths = [min(capacity, rng.randint(1, capacity) if rng.random() < 0.6 else rng.randint(1, max(1, capacity // 5))) for _ in range(rng.randint(1, 300))]
+    plan = best_fit_plan({n: lengths.count(n) for n in set(lengths)}, capacity)
+    bins = {}
+    for length, _, pieces, per_bin, first, offset in plan.tolist():
+        for i in range(pieces):
+            bins.setdefault(first + i // per_bin, []).append((offset + i % per_bin * length, length))
+    assert sorted(bins) == list(range(len(bins)))
+    left = []
+    for placed in bins.values():
+        end = 0
+        for at, length in sorted(placed):
+            assert at == end
+            end += length
+        left.append(capacity - end)
+    assert min(left) >= 0 and sorted(left) == plainly(lengths, capacity)
+    assert sorted(n for placed in bins.values() for _, n in placed) == sorted(lengths)
+
+
+def check(made, docs, capacity):
+    tokenizer = Tokenizer.from_file(PATH)
+    expected = []
+    for row in docs.collect():
+        ids = [*tokenizer.encode(row["text"] or "", add_special_tokens=False).ids, 0]
+        for at in range(0, len(ids), capacity):
+            part = ids[at : at + capacity]
+            expected.append((row["doc_id"] or -1, at // capacity, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes()), part))
+    rows = made.collect()
+    assert sorted((r["doc_id"] or -1, r["piece"], r["start"], r["length"], r["ids_crc32"], r["ids"]) for r in rows) == sorted(expected)
+    bins = {}
+    for row in rows:
+        bins.setdefault(row["sequence_id"], []).append((row["offset"], row["length"]))
+    for placed in bins.values():
+        placed.sort()
+        assert [at for at, _ in placed] == [sum(n for _, n in placed[:i]) for i in range(len(placed))]
+        assert sum(n for _, n in placed) <= capacity
+    assert sorted(bins) == list(range(len(bins)))
+    assert sorted(capacity - sum(n for _, n in placed) for placed in bins.values()) == plainly([r["length"] for r in rows], capacity)
+
+
+def test_documents(spark):
+    docs = documents(spark, clash="block")
+    check(pack_documents(docs, PATH, 64, keep_ids=True), docs, 64)
+    rng = random.Random(2)
+    rows = [(i, words(rng, rng.choice([0, 1, 3, 30, 200])), "en", "s", 0) for i in range(150)]
+    more = documents(spark, rows, parts=7)
+    check(pack_documents(more, PATH, 100, keep_ids=True), more, 100)
+
+
+def test_edges(spark):
+    assert pack_documents(documents(spark, []), PATH, 8).collect() == []
+    rows = spark.createDataFrame([(0, 9, 0)], "block int, length long, rank long")
+    with pytest.raises(ValueError):
+        pack(rows, 8)
+    kept = pack(rows.selectExpr("*", "'x' as offset"), 9).first()
+    assert kept["offset"] == 0 and kept["sequence_id"] == 0

@@ -1,0 +1,105 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rangeload.llm.topk import top_k
+from rangeload.llm.vectordedup import MultiIndex, near_duplicates
+
+NAN, INF = float("nan"), float("inf")
+ODD = [(None, [1.0, 2.0]), (0, None), (50, [NAN, 1.0]), (100, [1.0, None]), (150, [INF, 1.0]), (200, []), (250, [0.0, 0.0]), (51, [1.0, 2.0, 3.0]), (300, [1.0, -0.5, 2.0])]
+
+
+def table(spark, rows, kind="float"):
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").selectExpr("*", "1 as id", "2 as vector", "'x' as score").repartition(3)
+
+
+def best(rows, k=5):
+    usable = [(i, np.floor(256 * np.array(v, np.float64)).astype(object)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    found = []
+    for q, v in usable:
+        if q % 50 == 0:
+            scores = sorted((-int(sum(int(a) * int(b) for a, b in zip(v, w, strict=True))), i) for i, w in usable if i != q and len(w) == len(v))
+            found += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("spread", [0.05, 1.0])
+def test_top_k(spark, spread):
+    draw = np.random.default_rng(3)
+    centres = draw.normal(size=(5, 12))
+    rows = [(i, np.float32(centres[i % 5] + spread * draw.normal(size=12)).tolist()) for i in range(400)]
+    rows += [(400 + i, rows[0][1]) for i in range(9)]  # ties
+    found = top_k(table(spark, rows), F.col("vec_id") % 50 == 0, query_rows=3, block_rows=37, pivots=6, sample_rows=40)
+    assert sorted(map(tuple, found.collect())) == best(rows)
+
+
+def test_top_k_odd_rows(spark):
+    rows = [*ODD, (350, [3.0, 4.0]), (1, [3e30, -4.0]), (2, [1e7, 1.0])]
+    rows = [r for r in rows if r[0] != 1] + [(1, [3.0e6, -4.0])]
+    assert sorted(map(tuple, top_k(table(spark, rows), F.col("vec_id") % 50 == 0).collect())) == best(rows)
+    assert top_k(table(spark, []), F.col("vec_id") % 50 == 0).collect() == []
+    huge = [(0, [3e30, 1.0]), (1, [2e30, 1.0])]
+    assert [tuple(r) for r in top_k(table(spark, huge), F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1, 2**63 - 1)]
+
+
+def linked(rows, threshold=0.9):
+    """Links and least reachable ids of (id, vector), all against all."""
+    def unit(v):
+        if v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
+            return None
+        return np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64))
+
+    units = [unit(v) if i is not None else None for i, v in rows]
+    links = [[b for b in range(len(rows)) if b != a and units[a] is not None and units[b] is not None and len(units[a]) == len(units[b]) and units[a] @ units[b] >= threshold] for a in range(len(rows))]
+    least = [i for i, _ in rows]
+    for _ in rows:
+        for a, others in enumerate(links):
+            for b in others:
+                least[a] = least[b] = min(least[a], least[b])
+    return [(i, len(links[a]), least[a], i is None or i == least[a]) for a, (i, _) in enumerate(rows)]
+
+
+def found_by(spark, rows, **options):
+    made = near_duplicates(table(spark, rows).withColumnRenamed("score", "kept"), **options)
+    return [tuple(r) for r in made.select("vec_id", "n_links", "component_id", "kept").collect()]
+
+
+def order(rows):
+    return sorted(rows, key=repr)
+
+
+def test_near_duplicates(spark):
+    draw = np.random.default_rng(9)
+    rows = [(i, np.float32(draw.normal(size=16)).tolist()) for i in range(150)]
+    centre = draw.normal(size=16)
+    rows += [(200 + i, np.float32(centre + 0.1 * draw.normal(size=16)).tolist()) for i in range(120)]  # all near each other
+    rows += [(400 + i, np.float32(3 * np.array(rows[i][1])).tolist()) for i in range(10)] + [(500 + i, rows[0][1]) for i in range(40)]
+    assert order(found_by(spark, rows, block_rows=16)) == order(linked(rows))
+
+
+def test_odd_vectors(spark):
+    rows = [*ODD, *ODD, (1, [2.0, 4.0]), (3, [1e-30, 2e-30]), (4, [1.0, -2.0]), (5, [-0.0, 0.0])]
+    assert order(found_by(spark, rows)) == order(linked(rows))
+    assert found_by(spark, []) == []
+
+
+def test_recall_at_the_threshold(spark):
+    draw = np.random.default_rng(4)
+    one = draw.normal(size=(600, 32)) + 0.5
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    noise = draw.normal(size=one.shape)
+    noise -= (noise * one).sum(axis=1, keepdims=True) * one
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    two = 0.905 * one + np.sqrt(1 - 0.905**2) * noise
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([one, two]))]
+    found = sum(r[1] for r in found_by(spark, rows))
+    true = sum(r[1] for r in linked(rows))
+    assert 0.9 * true <= found <= true
+
+
+def test_codes_are_balanced():
+    sample = np.random.default_rng(1).normal(size=(2000, 32)) + 1.0
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    index = MultiIndex(sample, 2000, 0.9, 0.95)
+    signs = (sample - index.mean) @ index.rotations[0] >= 0
+    assert abs(signs.mean(axis=0) - 0.5).max() < 0.1
