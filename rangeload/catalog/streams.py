@@ -6,9 +6,10 @@ from rangeload.catalog.registry import query, table
 from rangeload.operators.ranges import range_scan
 from rangeload.operators.replay import drop_replayed, replay_from
 from rangeload.operators.stats import offset_stats
+from rangeload.options import LoadOptions
 from rangeload.plans.offsets import OffsetType
 from rangeload.session import scratch_dir
-from rangeload.streaming.streams import drop_replayed_stream, load_once, read_stream, stream_progress
+from rangeload.streaming.streams import drop_replayed_stream, load_once, read_stream, stream_progress, stream_table
 
 
 def _streamed(spark, folder, fmt="parquet", **narrow):
@@ -41,25 +42,56 @@ def stream_empty(spark, folder):
     return _streamed(spark, folder, columns=["event_id"], where="value < 0")[0]
 
 
+def _in_files(spark, folder, parts, copies=1):
+    """``events`` as a folder of files, with several copies of each row in files of their own."""
+    path = f"{scratch_dir(spark, 'files')}/events"
+    for _ in range(copies):
+        table(spark, folder, "events").repartition(parts, "event_id").write.mode("append").parquet(path)
+    return path
+
+
 @query("SELECT count(*) AS rows FROM events")
 def stream_progress_rows(spark, folder):
-    _, done = _streamed(spark, folder)
+    """Eight micro-batches, of which Spark itself remembers two."""
+    schema = table(spark, folder, "events").schema
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        root = scratch_dir(spark, "stream")
+        rows = read_stream(spark, _in_files(spark, folder, 8), schema, max_files=1)
+        done = load_once(rows, f"{root}/out", f"{root}/checkpoint")
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
     return stream_progress(spark, done).agg(F.sum("rows").alias("rows"))
 
 
 @query("SELECT event_id, ts FROM events")
 def stream_drop_replayed(spark, folder):
-    """The stream is joined with itself end to end, then repeats are dropped."""
+    """Every row comes twice, in different micro-batches."""
     schema = table(spark, folder, "events").schema
-    path = f"{folder}/events.parquet"
-    twice = read_stream(spark, path, schema, ["event_id", "ts"]).union(
-        read_stream(spark, path, schema, ["event_id", "ts"])
+    rows = read_stream(spark, _in_files(spark, folder, 2, copies=2), schema, ["event_id", "ts"], max_files=1)
+    root = scratch_dir(spark, "stream")
+    load_once(drop_replayed_stream(rows, ["event_id"], "1 hour"), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
+@query(
+    "SELECT event_id, ts FROM events, (SELECT min(event_id) + 10 AS low, max(event_id) - 10 AS high FROM events) "
+    "WHERE event_type <> 'error' AND event_id BETWEEN low AND high"
+)
+def stream_by_options(spark, folder):
+    """Deleted rows and both bounds are left out as the options say."""
+    events = table(spark, folder, "events")
+    stats = offset_stats(events, "event_id")
+    options = LoadOptions(
+        "event_id", str(stats.first + 10), str(stats.last - 10), include_deleted=False, load_available=True
     )
-    timed = twice.withColumn("ts", F.col("ts").cast("timestamp"))
     root = scratch_dir(spark, "stream")
-    load_once(drop_replayed_stream(timed, ["event_id"], "ts", "60 days"), f"{root}/out", f"{root}/checkpoint")
-    kept = spark.read.parquet(f"{root}/out")
-    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    path = f"{folder}/events.parquet"
+    stream_table(
+        spark, path, events.schema, root, options, ["event_id", "ts"], deleted="event_type = 'error'"
+    ).awaitTermination()
+    return spark.read.schema(events.select("event_id", "ts").schema).parquet(f"{root}/data")
 
 
 def _replayed(spark, folder, delivery):

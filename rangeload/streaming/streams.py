@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from rangeload.operators.filters import all_of, as_column
 from rangeload.operators.scan import scan
 from rangeload.options import LoadOptions
+from rangeload.plans.offsets import OffsetType
 from rangeload.sources.sinks import TEXT_TIMES
 
 
@@ -50,8 +54,9 @@ def start_stream(
     """Append the stream to files.
 
     Without an interval all that is available is loaded and the query ends,
-    else it keeps polling.
+    else it keeps polling. Progress is recorded from the start.
     """
+    session_progress(rows.sparkSession)
     writer = rows.writeStream.outputMode("append").format(fmt)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if fmt in ("json", "csv"):
@@ -79,61 +84,134 @@ def stream_table(
     columns: Sequence[str] | None = None,
     where: Column | str | Sequence[Column | str] = (),
     fmt: str = "parquet",
+    deleted: Column | str | None = None,
 ) -> StreamingQuery:
     """Stream a folder of files into ``root/data`` as the options say: once over
-    what is there, or on and on with a poll per interval."""
-    rows = read_stream(spark, path, schema, columns, where, max_files=options.max_batches)
+    what is there, or on and on with a poll per interval.
+
+    Both bounds and ``include_deleted`` narrow the rows; ``deleted`` is the condition
+    that marks deleted ones. A file stream has neither ranges nor another reader, so
+    options that ask for these are refused.
+    """
+    if options.reader is not None or options.num_ranges != 1:
+        raise ValueError("A stream of files has no ranges and no reader of its own; use IncrementalLoader")
+    if not options.include_deleted and deleted is None:
+        raise ValueError("include_deleted=False needs the condition that marks deleted rows")
+    conditions = [where] if isinstance(where, (Column, str)) else list(where)
+    if not options.include_deleted:
+        conditions.append(~as_column(deleted))
+    offset = F.col(options.offset_column)
+    kind = OffsetType.of(spark.createDataFrame([], schema), options.offset_column)
+    if options.initial_offset is not None:
+        conditions.append(offset >= kind.literal(kind.parse(options.initial_offset)))
+    if options.end_offset is not None:
+        conditions.append(offset <= kind.literal(kind.parse(options.end_offset)))
+    rows = read_stream(spark, path, schema, columns, [] if not conditions else all_of(conditions), max_files=options.max_batches)
     interval = None if options.load_available else options.poll_interval_ms
     return start_stream(rows, f"{root}/data", f"{root}/checkpoint", fmt, interval, options.query_name)
 
 
-def drop_replayed_stream(
-    rows: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread: int = 16
-) -> DataFrame:
-    """One row per key, for repeats that come within ``delay`` of each other.
+def drop_replayed_stream(rows: DataFrame, keys: Sequence[str], delay: str, spread: int = 16) -> DataFrame:
+    """One row per key, for repeats that arrive within ``delay`` of each other.
+
+    What counts is when a row arrives, not a time it carries: no row is late, so a row
+    whose key is new is never dropped, however old it is, while the state holds only
+    the keys of the last ``delay``. Rows that are replayed after a restart meet the
+    state as it was when the stream stopped.
 
     Repeats are first dropped within ``spread`` groups of input tasks, so that a
     key with very many of them sends only a few rows to the task that owns it.
     """
-    timed = rows.withWatermark(event_time, delay).withColumn("__group", F.spark_partition_id() % spread)
-    return timed.dropDuplicatesWithinWatermark([*keys, "__group"]).drop("__group").dropDuplicatesWithinWatermark(list(keys))
+    names = rows.columns
+    # one hidden struct, so that no column of the rows is in its way
+    hidden = "__arrival"
+    while hidden in names:
+        hidden += "_"
+    timed = rows.withColumn(hidden, F.current_timestamp()).withColumn(f"{hidden}_group", F.spark_partition_id() % spread)
+    timed = timed.withWatermark(hidden, delay)
+    once = timed.dropDuplicatesWithinWatermark([*keys, f"{hidden}_group"])
+    return once.dropDuplicatesWithinWatermark(list(keys)).select(*[F.col(f"`{name}`") for name in names])
 
 
-def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Micro-batches of a query: rows, time and rate."""
-    batches = [
-        (str(query.id), query.name, p["batchId"], p["timestamp"], p["numInputRows"], p["batchDuration"])
-        for p in query.recentProgress
-    ]
-    schema = "query_id string, query_name string, batch_id bigint, at string, rows bigint, took_ms bigint"
-    return spark.createDataFrame(batches, schema).withColumn("at", F.col("at").cast("timestamp"))
+# States of a stream.
+STARTING, PROCESSING, WAITING, FINISHED, FAILED = "STARTING", "PROCESSING_DATA", "WAITING_DATA", "FINISHED", "FAILED"
 
 
 class ProgressListener(StreamingQueryListener):
-    """Latest state of every stream of the session, by query id.
+    """State, totals and micro-batches of every stream of the session, by query id.
 
-    Register with ``spark.streams.addListener``.
+    Register with ``spark.streams.addListener``. Totals are summed as batches end, so
+    they are whole however many there were; one small row per batch is kept.
     """
 
     def __init__(self):
         self.queries: dict[str, dict] = {}
+        self.batches: dict[str, list[tuple]] = {}
+        self._changed = threading.Condition()
+
+    def _seen(self, query_id: str, name: str | None) -> dict:
+        self.batches.setdefault(query_id, [])
+        return self.queries.setdefault(query_id, {"name": name, "status": STARTING, "rows": 0, "batches": 0, "last_batch": -1})
 
     def onQueryStarted(self, event):
-        self.queries[str(event.id)] = {"name": event.name, "status": "STARTING", "rows": 0, "batches": 0}
+        with self._changed:
+            self._seen(str(event.id), event.name)["status"] = STARTING
+            self._changed.notify_all()
 
     def onQueryProgress(self, event):
         progress = event.progress
-        seen = self.queries.setdefault(
-            str(progress.id), {"name": progress.name, "status": "STARTING", "rows": 0, "batches": 0}
-        )
-        seen["status"] = "PROCESSING_DATA" if progress.numInputRows else "WAITING_DATA"
-        seen["rows"] += progress.numInputRows
-        seen["batches"] += 1 if progress.numInputRows else 0
+        with self._changed:
+            seen = self._seen(str(progress.id), progress.name)
+            seen["status"] = PROCESSING if progress.numInputRows else WAITING
+            seen["rows"] += progress.numInputRows
+            seen["batches"] += 1 if progress.numInputRows else 0
+            seen["last_batch"] = progress.batchId
+            if progress.numInputRows:
+                batch = (progress.batchId, progress.timestamp, progress.numInputRows, progress.batchDuration)
+                self.batches[str(progress.id)].append(batch)
+            self._changed.notify_all()
 
     def onQueryIdle(self, event):
-        if str(event.id) in self.queries:
-            self.queries[str(event.id)]["status"] = "WAITING_DATA"
+        with self._changed:
+            self._seen(str(event.id), None)["status"] = WAITING
 
     def onQueryTerminated(self, event):
-        if str(event.id) in self.queries:
-            self.queries[str(event.id)]["status"] = "FAILED" if event.exception else "FINISHED"
+        with self._changed:
+            self._seen(str(event.id), None)["status"] = FAILED if event.exception else FINISHED
+            self._changed.notify_all()
+
+    def wait_for(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until all that the query has done so far was heard of; events come a little later."""
+        last = query.lastProgress
+        heard = last["batchId"] if last else -1
+
+        def caught_up() -> bool:
+            seen = self.queries.get(str(query.id))
+            if seen is None:
+                return False
+            return seen["last_batch"] >= heard if query.isActive else seen["status"] in (FINISHED, FAILED)
+
+        with self._changed:
+            if not self._changed.wait_for(caught_up, seconds):
+                raise TimeoutError(f"no end of the progress of query {query.id} after {seconds} seconds")
+
+
+_LISTENERS: WeakKeyDictionary[SparkSession, ProgressListener] = WeakKeyDictionary()
+
+
+def session_progress(spark: SparkSession) -> ProgressListener:
+    """The listener that hears of all streams of the session from now on."""
+    if spark not in _LISTENERS:
+        _LISTENERS[spark] = ProgressListener()
+        spark.streams.addListener(_LISTENERS[spark])
+    return _LISTENERS[spark]
+
+
+def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Micro-batches with rows of a query that ``start_stream`` began: rows and time of every one."""
+    listener = session_progress(spark)
+    listener.wait_for(query)
+    name = listener.queries[str(query.id)]["name"]
+    batches = [(str(query.id), name, *batch) for batch in listener.batches[str(query.id)]]
+    schema = "query_id string, query_name string, batch_id bigint, at string, rows bigint, took_ms bigint"
+    return spark.createDataFrame(batches, schema).withColumn("at", F.col("at").cast("timestamp"))

@@ -59,6 +59,30 @@ def test_stream_by_options(spark, folder, source):
     assert spark.read.parquet(f"{folder}/data").count() == 100
 
 
+def test_stream_honours_or_refuses_options(spark, folder, source):
+    schema = spark.read.parquet(source).schema
+    options = LoadOptions("id", "13", "70", include_deleted=False, load_available=True)
+    query = stream_table(spark, source, schema, folder, options, ["id"], "id <> 20", deleted="id % 2 = 0")
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{folder}/data").collect()) == list(range(13, 71, 2))
+    for refused in (LoadOptions("id", reader="a.b"), LoadOptions("id", num_ranges=2), options):
+        with pytest.raises(ValueError):
+            stream_table(spark, source, schema, folder, refused)
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark, folder, source):
+    schema = spark.read.parquet(source).schema
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1)
+    try:
+        query = load_once(read_stream(spark, source, schema, max_files=1), f"{folder}/out", f"{folder}/c")
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    progress = stream_progress(spark, query)
+    assert len(query.recentProgress) <= 1 and progress.count() == 5
+    assert progress.agg(F.sum("rows")).first()[0] == 100
+
+
 def test_polling_stream(spark, folder, source):
     schema = spark.read.parquet(source).schema
     listener = ProgressListener()
@@ -103,12 +127,23 @@ def test_replayed_rows_are_dropped(spark, folder, source):
     spark.read.parquet(source).where("id = 5").crossJoin(spark.range(500)).drop(spark.range(1).id).select(
         F.lit(5).cast("bigint").alias("id"), "at", "name"
     ).write.mode("append").parquet(source)
-    rows = drop_replayed_stream(read_stream(spark, source, schema, max_files=4), ["id"], "at", "1 hour")
+    rows = drop_replayed_stream(read_stream(spark, source, schema, max_files=4), ["id"], "1 hour")
     load_once(rows, f"{folder}/out", f"{folder}/c")
     out = spark.read.parquet(f"{folder}/out")
     assert sorted(r.id for r in out.collect()) == list(range(100))
 
 
+def test_late_rows_are_kept_and_replays_after_a_restart_are_not(spark, folder):
+    rows = spark.createDataFrame([(1, "2024-01-01 00:00:00")], "id long, at string").withColumn("at", F.col("at").cast("timestamp"))
+    late = spark.createDataFrame([(2, "2020-01-01 00:00:00"), (1, "2020-01-01 00:00:00")], "id long, at string").withColumn("at", F.col("at").cast("timestamp"))
+    for more in (rows, late, rows):
+        more.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = read_stream(spark, f"{folder}/in", rows.schema)
+        load_once(drop_replayed_stream(stream, ["id"], "1 hour"), f"{folder}/out", f"{folder}/c")
+    found = [(r.id, r["at"].year) for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert sorted(found) == [(1, 2024), (2, 2020)]
+
+
 def test_sinks_keep_every_value(spark, folder):
     df = spark.createDataFrame(
         [(1, 'a "quoted", text', 1.5), (2, " space ", None), (3, None, 1e-300), (4, "back\\slash", -0.0)],
