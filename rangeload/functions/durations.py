@@ -16,7 +16,7 @@ UNITS = {
 
 
 def format_duration(millis: Column, units: tuple[str, ...] = ("d", "h", "min", "sec", "millis")) -> Column:
-    """Milliseconds as text such as ``11d 13h 47min 0sec 1millis``.
+    """Milliseconds as text such as ``23d 3h 33min 51sec 7millis``.
 
     ``units`` are neighbours, largest first. The largest unit is not wrapped,
     leading units of zero are left out and the last unit is always there.

@@ -55,12 +55,13 @@ class RangeScan:
         The edges of the tasks come from a histogram of the offset column, which
         is read alone for it, so the full rows are read just once. Rows that
         share one frequent offset spread over all tasks that end or start there,
-        so no task gets more than about two even shares.
+        so no task gets more than about two even shares. ``partitions`` is their number;
+        if not given, it follows from the size of the scan.
         """
         rows = self.rows(range_id)
         if not self.ranges:
             return rows
-        n = partitions or int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or tasks_for(rows)
         first, last = self.ranges[0], self.ranges[-1]
         whole = OffsetRange(0, first.lower, last.upper, first.lo_op, last.hi_op)
         cuts = quantile_cuts(rows, self.offset, whole, n, tolerance=0.1 / n)
@@ -116,10 +117,12 @@ def quantile_ranges(
     offset: str,
     n: int,
     where: Column | str | Sequence[Column | str] = (),
-    tolerance: float = 0.0,
+    tolerance: float | None = None,
 ) -> RangeScan:
     """Ranges that hold about equally many rows, for skewed offsets.
 
+    ``tolerance`` is the share of all rows by which an edge may be off; a twentieth of
+    an even range if not given, which mostly takes a single pass. Zero is exact.
     Fewer than ``n`` come back when single values hold more than their share.
     """
     filters = [where] if isinstance(where, (Column, str)) else list(where)
@@ -128,10 +131,22 @@ def quantile_ranges(
     if stats.first is None:
         return RangeScan(rows, offset, [])
     whole = OffsetRange(0, stats.first, stats.last)
-    cuts = quantile_cuts(rows, offset, whole, n, tolerance)
+    cuts = quantile_cuts(rows, offset, whole, n, 0.05 / n if tolerance is None else tolerance)
     return RangeScan(rows, offset, ranges_from_edges([stats.first, *cuts, stats.last]))
 
 
+# Fixed value: about what one task sorts in memory.
+BYTES_OF_TASK = 256 << 20
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks for a shuffle of all of ``df``: the session's number, more if its scan is large."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 1 << 60  # else a guess for a source that does not tell
+    return max(least, -(-size // BYTES_OF_TASK)) if known else least
+
+
 def ranges_frame(spark: SparkSession, ranges: Sequence[OffsetRange], kind: OffsetType) -> DataFrame:
     """The ranges as a DataFrame; bounds have the type of the offset column."""
     rows = [f"({r.id}, {kind.sql(r.lower)}, {kind.sql(r.upper)}, '{r.lo_op}', '{r.hi_op}')" for r in ranges]

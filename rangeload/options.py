@@ -48,9 +48,9 @@ class LoadOptions:
     def __post_init__(self):
         for name in ("num_ranges", "max_records", "max_batches"):
             if getattr(self, name) < 1:
-                raise ValueError(f"Option '{OPTION_NAMES[name]}' should be at least 1.")
+                raise ValueError(f"{OPTION_NAMES[name]}={getattr(self, name)}: less than 1")
         if self.poll_interval_ms < 0:
-            raise ValueError(f"Option '{OPTION_NAMES['poll_interval_ms']}' should not be negative.")
+            raise ValueError(f"{OPTION_NAMES['poll_interval_ms']}={self.poll_interval_ms}: less than 0")
 
     @classmethod
     def from_conf(cls, spark: SparkSession, **given) -> LoadOptions:
@@ -65,16 +65,17 @@ class LoadOptions:
                 raise ValueError(f"Unknown option '{name}'; known: {sorted(OPTION_NAMES.values())}")
             values[field] = value
         conf = {name.lower(): value for name, value in spark.sparkContext.getConf().getAll()}
+        conf |= {name.lower(): value for name, value in spark.conf.getAll.items()}
         for field, option in OPTION_NAMES.items():
             if field in values:
                 continue
             for name in (option, CONF_PREFIX + option):
-                value = spark.conf.get(name, None) or conf.get(name.lower())
+                value = conf.get(name.lower())
                 if value is not None:
                     values[field] = value
                     break
         if "offset_column" not in values:
-            raise ValueError("Option 'offsetColumn' is required.")
+            raise ValueError("A load needs offsetColumn")
         types = {field.name: field.type for field in fields(cls)}
         return cls(**{name: _checked(name, types[name], value) for name, value in values.items()})
 
@@ -84,10 +85,10 @@ def _checked(field: str, kind: str, value):
         try:
             return int(str(value))
         except ValueError:
-            raise ValueError(f"Option '{OPTION_NAMES[field]}' should be Int.") from None
+            raise ValueError(f"{OPTION_NAMES[field]}={value}: no whole number") from None
     if kind == "bool":
         text = str(value).lower()
         if text not in ("true", "false"):
-            raise ValueError(f"Option '{OPTION_NAMES[field]}' should be Boolean.")
+            raise ValueError(f"{OPTION_NAMES[field]}={value}: neither true nor false")
         return text == "true"
     return value

@@ -16,23 +16,27 @@ def test_call_beats_conf_and_prefix_is_last(spark):
         spark.conf.set("loadNumPartitions", "5")
         assert LoadOptions.from_conf(spark, offset_column="ts").num_ranges == 5
         assert LoadOptions.from_conf(spark, offset_column="ts", LOADNUMPARTITIONS="6").num_ranges == 6
+        spark.conf.unset("loadNumPartitions")
+        spark.conf.set("LOADNUMPARTITIONS", "9")
+        assert LoadOptions.from_conf(spark, offset_column="ts").num_ranges == 9
     finally:
+        spark.conf.unset("LOADNUMPARTITIONS")
         spark.conf.unset("loadNumPartitions")
         spark.conf.unset("spark.rangeload.loadNumPartitions")
 
 
 def test_offset_column_is_required(spark):
-    with pytest.raises(ValueError, match="'offsetColumn' is required"):
+    with pytest.raises(ValueError, match="needs offsetColumn"):
         LoadOptions.from_conf(spark)
 
 
 @pytest.mark.parametrize(
     ("given", "message"),
     [
-        ({"loadNumPartitions": "abc"}, "'loadNumPartitions' should be Int"),
-        ({"isQueryAll": "maybe"}, "'isQueryAll' should be Boolean"),
-        ({"loadNumPartitions": 0}, "at least 1"),
-        ({"poll_interval_ms": -1}, "not be negative"),
+        ({"loadNumPartitions": "abc"}, "loadNumPartitions=abc: no whole number"),
+        ({"isQueryAll": "maybe"}, "isQueryAll=maybe: neither"),
+        ({"loadNumPartitions": 0}, "less than 1"),
+        ({"poll_interval_ms": -1}, "less than 0"),
         ({"colour": "red"}, "Unknown option"),
     ],
 )
