@@ -76,6 +76,20 @@ def incremental_poll_new(spark, folder):
     return loader.output()
 
 
+@query("SELECT * FROM orders")
+def incremental_poll_files(spark, folder):
+    """A folder that gains files while it is loaded; polls open only the new ones."""
+    orders = table(spark, folder, "orders")
+    path = f"{scratch_dir(spark, 'files')}/orders"
+    middle = _middle(orders, "o_orderkey")
+    orders.where(F.col("o_orderkey") <= middle).write.parquet(path)
+    loader = _loader(spark, path, "o_orderkey", rows=orders.count(), share=4)
+    loader.load_available()
+    orders.where(F.col("o_orderkey") > middle).write.mode("append").parquet(path)
+    loader.run(max_polls=1)
+    return loader.output()
+
+
 @query("SELECT * FROM orders")
 def incremental_restart(spark, folder):
     """Stopped after a step with ranges open; a new loader goes on."""

@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeload.plans.offsets import OffsetType, quoted
+from rangeload.plans.offsets import OffsetType, finite, quoted
 
 # Fixed value: above this many edges a search replaces the decision tree, whose
 # generated code would grow past what the JVM compiles.
@@ -52,13 +52,16 @@ def renumber(ranges: Iterable[OffsetRange]) -> list[OffsetRange]:
 
 def edges_between(lower, upper, n: int, kind: OffsetType) -> list:
     """The n + 1 equal-width edges; the last is exactly ``upper``."""
-    width = upper - lower
     if kind.kind == "double":
-        if math.isinf(width):
-            raise ValueError("The offsets span too wide an interval to divide")
-        step = width / n
-    else:
-        step = width // n
+        # infinities fall into the outer ranges; the finite part is divided
+        low, high = finite(lower), finite(upper)
+        if not math.isinf(high - low):
+            step = (high - low) / n
+            inner = [low + step * i for i in range(1, n)]
+        else:
+            inner = [low * ((n - i) / n) + high * (i / n) for i in range(1, n)]
+        return [lower, *inner, upper]
+    step = (upper - lower) // n
     return [lower + step * i for i in range(n)] + [upper]
 
 

@@ -7,6 +7,8 @@ every file at hand the scan is planned over the files that can hold the slice.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,35 +18,40 @@ from rangeload.operators.stats import OffsetStats
 from rangeload.plans.bounds import OffsetRange
 from rangeload.plans.offsets import OffsetType
 
-# Fixed value: with more files than this a slice is no longer narrow, and the
-# scan is left to row group statistics alone.
-MOST_FILES = 2_000
-
-
 class FileOffsets:
     """Offsets per file, kept as a small written table."""
 
     def __init__(self, table: DataFrame, kind: OffsetType):
         self._table = table
         self._kind = kind
-        self._few: list[tuple] | bool | None = None
+        self._all: list[tuple] | None = None
 
     @classmethod
     def collect(
-        cls, df: DataFrame, offset: str, path: str, where: Column | str | None = None
+        cls,
+        df: DataFrame,
+        offset: str,
+        path: str,
+        where: Column | str | None = None,
+        known: Mapping[str, int] | None = None,
     ) -> FileOffsets | None:
         """One pass over the offset column; None if ``df`` is no scan of files.
 
-        ``where`` only narrows which rows are counted.
+        ``where`` only narrows which rows are counted. Files that are ``known``, by
+        name and time of change, are not opened.
         """
         kind = OffsetType.of(df, offset)
         try:
-            files = df.withColumn("__file", F.col("_metadata.file_path"))
+            changed = F.unix_micros("_metadata.file_modification_time")
+            if known:
+                named = F.concat(F.col("_metadata.file_path"), F.lit("|"), changed.cast("string"))
+                df = df.where(~named.isin([f"{name}|{at}" for name, at in known.items()]))
+            files = df.withColumn("__file", F.col("_metadata.file_path")).withColumn("__changed", changed)
         except AnalysisException:
             return None
         column = kind.usable(F.col(offset))
         matches = F.lit(True) if where is None else as_column(where)
-        per_file = files.groupBy("__file").agg(
+        per_file = files.groupBy("__file", "__changed").agg(
             F.min(column).alias("first"),
             F.max(column).alias("last"),
             F.count_if(matches & column.isNotNull()).alias("rows"),
@@ -73,30 +80,17 @@ class FileOffsets:
 
     def narrow(self, df: DataFrame, spans: list[OffsetRange]) -> DataFrame:
         """``df`` without the files that hold none of the spans."""
-        found = self._overlapping(spans)
-        return df if found is None else df.where(F.col("_metadata.file_path").isin(found))
+        return df.where(F.col("_metadata.file_path").isin(self.overlapping(spans)))
 
-    def _overlapping(self, spans: list[OffsetRange]) -> list[str] | None:
-        if self._few is None:
-            self._few = self._fetch(self._table)
-        if self._few is not False:
-            return [
-                name
-                for name, first, last in self._few
-                if first is not None and any(first <= s.upper and last >= s.lower for s in spans)
-            ]
-        overlap = " OR ".join(
-            f"(first <= {self._kind.sql(s.upper)} AND last >= {self._kind.sql(s.lower)})" for s in spans
-        )
-        fetched = self._fetch(self._table.where(overlap))
-        return None if fetched is False else [name for name, _, _ in fetched]
+    def names(self) -> dict[str, int]:
+        """Each file with its time of change."""
+        return {row[0]: row[1] for row in self._table.select("__file", "__changed").collect()}
 
-    def _fetch(self, table: DataFrame) -> list[tuple] | bool:
-        """The files of ``table``, or False if they are more than ``MOST_FILES``."""
-        rows = table.select(
-            "__file", self._kind.collectable("first").alias("first"), self._kind.collectable("last").alias("last")
-        )
-        found = rows.limit(MOST_FILES + 1).collect()
-        if len(found) > MOST_FILES:
-            return False
-        return [(r[0], self._kind.collected(r[1]), self._kind.collected(r[2])) for r in found]
+    def overlapping(self, spans: list[OffsetRange]) -> list[str]:
+        """Files that can hold any of the spans: a part of the listing the driver plans scans from."""
+        if self._all is None:
+            rows = self._table.where("first IS NOT NULL").select(
+                "__file", self._kind.collectable("first").alias("first"), self._kind.collectable("last").alias("last")
+            )
+            self._all = [(r[0], self._kind.collected(r[1]), self._kind.collected(r[2])) for r in rows.collect()]
+        return [name for name, first, last in self._all if any(first <= s.upper and last >= s.lower for s in spans)]

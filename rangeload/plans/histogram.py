@@ -1,8 +1,8 @@
 """Distributed histograms of the offset column, and what is cut from them.
 
-A histogram counts rows per bucket with map-side aggregation: at most
-``MAX_BUCKETS`` small groups are shuffled and collected, however large the table
-or however skewed its offsets. Buckets that are too full are looked at again, on
+A histogram counts rows per bucket with map-side aggregation: about
+``MAX_BUCKETS`` small groups are shuffled and collected at most, however large the
+table or however skewed its offsets. Buckets that are too full are looked at again, on
 their own, so cuts are exact and one frequent value costs nothing extra.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +21,17 @@ from rangeload.plans.offsets import OffsetType
 # Gives the rows inside some spans, with the offset as the column ``offset``.
 Offsets = Callable[[list[OffsetRange]], DataFrame]
 
-# Groups of one histogram in all, the least of one interval, and
-# the number that fills chunks well even where rows crowd.
+# Groups of one histogram in all, and the number that fills chunks
+# well even where rows crowd.
 MAX_BUCKETS = 1 << 16
-MIN_BUCKETS = 16
 ENOUGH_BUCKETS = 256
 
 
+def share(spans: int) -> int:
+    """Buckets of each of so many spans; two at least, else nothing is told apart."""
+    return max(2, MAX_BUCKETS // spans)
+
+
 @dataclass
 class Bucket:
     """Rows whose offsets lie from ``first`` to ``last``, both present."""
@@ -84,12 +88,14 @@ def histogram(offsets: Offsets, kind: OffsetType, spans: list[OffsetRange], buck
 
 @dataclass
 class Chunk:
-    """Rows from ``first`` up to ``cut``; ``full`` if it should be cut further."""
+    """Rows from ``first`` up to ``cut``; ``full`` if it should be cut further, ``finer``
+    if it came from cutting another."""
 
     first: object
     cut: object
     rows: int
     full: bool = False
+    finer: bool = False
 
 
 def chunks_of(buckets: list[Bucket], cap: int) -> list[Chunk]:
@@ -108,7 +114,7 @@ def chunks_of(buckets: list[Bucket], cap: int) -> list[Chunk]:
 def plan_chunks(offsets: Offsets, kind: OffsetType, ranges: list[OffsetRange], cap: int, total: int) -> list[Chunk]:
     """Chunks of all rows in ``ranges``, found with one pass over the offsets."""
     wanted = max(ENOUGH_BUCKETS, 16 * -(-total // cap))
-    buckets = max(MIN_BUCKETS, min(wanted, MAX_BUCKETS // len(ranges)))
+    buckets = min(wanted, share(len(ranges)))
     return [c for found in histogram(offsets, kind, ranges, buckets) for c in chunks_of(found, cap)]
 
 
@@ -153,19 +159,40 @@ def refine_chunks(
             return chunks, changed
         parts = [due[cut] for cut in sorted(due)]
         spans = [OffsetRange(i, c.first, c.cut) for i, c in enumerate(parts)]
-        found = histogram(offsets, kind, spans, max(MIN_BUCKETS, MAX_BUCKETS // len(spans)))
+        found = histogram(offsets, kind, spans, share(len(spans)))
         cut = []
         for part, buckets in zip(parts, found, strict=True):
             pieces = chunks_of(buckets, cap)
             if len(pieces) == 1 and (pieces[0].first, pieces[0].cut) == (part.first, part.cut):
                 # The values are closer than a bucket can tell apart.
                 pieces[0].full = False
-            cut.extend(pieces)
+            cut.extend(replace(piece, finer=True) for piece in pieces)
         kept = [c for c in chunks if c.cut not in due]
         chunks = sorted(kept + cut, key=lambda c: c.cut)
         changed = True
 
 
+def still_open(chunks: list[Chunk], ranges: list[OffsetRange]) -> list[Chunk]:
+    """Chunks of which some range has anything left."""
+    return [
+        c
+        for c in chunks
+        if any((c.cut > r.lower or (c.cut == r.lower and r.lo_op == ">=")) and c.first <= r.upper for r in ranges)
+    ]
+
+
+def with_finer(chunks: list[Chunk], finer: list[Chunk]) -> list[Chunk]:
+    """``chunks`` with what is left of those that were cut finer in their place."""
+    cuts = sorted(c.cut for c in finer)
+    first = {c.cut: c.first for c in finer}
+
+    def replaced(chunk: Chunk) -> bool:
+        at = bisect.bisect_left(cuts, chunk.first)
+        return at < len(cuts) and first[cuts[at]] <= chunk.cut
+
+    return sorted([c for c in chunks if not replaced(c)] + finer, key=lambda c: c.cut)
+
+
 def quantile_cuts(df: DataFrame, offset: str, whole: OffsetRange, parts: int, tolerance: float = 0.0) -> list:
     """Offsets of the rows ranked ``ceil(i * rows / parts)`` for i = 1 .. parts - 1.
 
@@ -194,6 +221,5 @@ def quantile_cuts(df: DataFrame, offset: str, whole: OffsetRange, parts: int, to
                 below += bucket.rows
         active = narrowed
         if active:
-            each = max(MIN_BUCKETS, MAX_BUCKETS // len(active))
-            found = histogram(offsets, kind, [span for span, _, _ in active], each)
+            found = histogram(offsets, kind, [span for span, _, _ in active], share(len(active)))
     return [answers[i] for i in sorted(answers)]

@@ -15,6 +15,7 @@ string     str
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from decimal import Context, Decimal
@@ -190,11 +191,17 @@ class OffsetType:
             else:
                 distance = f"(CAST({column} AS DOUBLE) - CAST({low} AS DOUBLE))"
         else:
+            if self.kind == "double":
+                # halves of finite values, so that no difference is infinite
+                halves = [(finite(low) / 2, finite(high) / 2) for low, high in spans]
+                value = f"greatest(least(CAST({quoted(name)} AS DOUBLE), {_double(LARGEST)}), {_double(-LARGEST)})"
+                low = _item([_double(low) for low, _ in halves], which)
+                # infinity and the largest number are one place
+                width = _item([_double((high - low) or 1.0) for low, high in halves], which)
+                return f"({value} / 2 - {low}) / {width}"
             widths = [float(high - low) for low, high in spans]
-            if any(math.isinf(width) for width in widths):
-                raise ValueError("The offsets span too wide an interval to divide")
             value = self._collectable(name)
-            if self.kind == "double" or max(high - low for low, high in spans) >= _SAFE_SPAN:
+            if max(high - low for low, high in spans) >= _SAFE_SPAN:
                 distance = f"(CAST({value} AS DOUBLE) - {_item([_double(low) for low in lows], which)})"
             else:
                 distance = f"CAST({value} - {_item([f'{low}L' for low in lows], which)} AS DOUBLE)"
@@ -216,6 +223,15 @@ class OffsetType:
         return f"({number} - {_item(lows, which)}) / {_item(widths, which)}"
 
 
+#: The largest finite double.
+LARGEST = sys.float_info.max
+
+
+def finite(number: float) -> float:
+    """The number, or the finite one next to an infinity."""
+    return max(-LARGEST, min(LARGEST, number))
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -8,8 +8,8 @@ largest offset seen.
 
 The cuts come from a histogram made once when ranges are planned, and the files a
 step has to open from the offsets each file was found to hold, so steps read
-little more than the rows they load. Only ranges, cuts, counts and the names of a
-bounded number of files reach the driver.
+little more than the rows they load. Only ranges, cuts, counts and names of files
+reach the driver; cuts that were passed are forgotten.
 
 Rows whose offset is null or NaN belong to no range. A load works on the files
 that were there when its ranges were planned or it was started again: a row that
@@ -21,6 +21,7 @@ from __future__ import annotations
 import importlib
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, replace
 from time import sleep, time
 
@@ -42,14 +43,17 @@ from rangeload.plans.bounds import (
     with_index,
 )
 from rangeload.plans.files import FileOffsets
-from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, refine_chunks
+from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, refine_chunks, still_open, with_finer
 from rangeload.plans.offsets import OffsetType
-from rangeload.streaming.state import StateFiles
+from rangeload.streaming.state import ConcurrentLoad, StateFiles
 
 Reader = Callable[[SparkSession, Column | None], DataFrame]
 
 # States of a load.
-PROCESSING, WAITING, FINISHED = "PROCESSING_DATA", "WAITING_DATA", "FINISHED"
+PROCESSING, WAITING, FINISHED, FAILED = "PROCESSING_DATA", "WAITING_DATA", "FINISHED", "FAILED"
+
+# Fixed value: the column that tells the folders of steps apart.
+STEP = "load_step"
 
 
 def load_reader(name: str) -> Reader:
@@ -81,7 +85,10 @@ class IncrementalLoader:
 
     Every row is loaded once: a cut takes all rows that share its offset, the
     next step continues behind it, and a step that failed is repeated as planned
-    into the same folder.
+    into the same folder. A root belongs to one load: offset column, columns, filter
+    and reader have to be the same when it is continued. One loader works on it at a
+    time: a second one that steps or polls takes over, if it knows the latest state,
+    and the first is refused from then on.
     """
 
     def __init__(
@@ -105,14 +112,52 @@ class IncrementalLoader:
         self._documents = StateFiles(spark, self.root)
         self._files: FileOffsets | None = None
         self._looked_at_files = False
+        self._known: dict[str, int] = {}
+        self._scattered = False
+        self._owner: int | None = None
+        self._failed = False
         self._refresh()
         self.kind = OffsetType.of(self._table, self.offset)
         if columns is not None:
             check_columns(self._table, columns)
         self.columns = list(columns) if columns is not None else self._table.columns
+        if STEP in {name.lower() for name in [*self.columns, self.offset]}:
+            raise ValueError(f"A column cannot be named '{STEP}', which tells the steps of a load apart; rename it")
+        self._check_definition()
         self._chunks: list[Chunk] | None = None
         self._state = self._restore() or self._begin()
 
+    # -- what is loaded, and by whom ---------------------------------------
+
+    def _check_definition(self) -> None:
+        """Refuse to go on with a load that was begun as another."""
+        definition = {
+            "offset": self.offset.lower(),
+            "type": self.kind.data_type.simpleString(),
+            "columns": [name.lower() for name in self.columns],
+            "where": str(self._where),
+            "reader": self.options.reader,
+        }
+        begun = self._documents.read("load", 0)
+        if begun is None:
+            self._documents.write("load", 0, definition)
+            return
+        differing = [f"{name} {begun[name]} is now {value}" for name, value in definition.items() if begun[name] != value]
+        if differing:
+            raise ValueError(f"{self.root} holds another load: {'; '.join(differing)}")
+
+    def _claim(self) -> None:
+        """Become or stay the loader of this root."""
+        documents, version = self._documents, self._state["version"]
+        if documents.exists(documents.path("state", version + 1)):
+            raise ConcurrentLoad(f"another loader has gone on with {self.root}")
+        if self._owner is None:
+            owners = documents.numbers("owner")
+            self._owner = owners[-1] + 1 if owners else 0
+            documents.write("owner", self._owner, {"from_version": version})
+        elif documents.exists(documents.path("owner", self._owner + 1)):
+            raise ConcurrentLoad(f"another loader has taken over {self.root}")
+
     # -- source ------------------------------------------------------------
 
     def _refresh(self) -> None:
@@ -136,7 +181,10 @@ class IncrementalLoader:
                 # Started again: look only where ranges are open.
                 left = hull(self._state["ranges"]).predicate(self.offset, self.kind)
                 self._look_at_files(self._table.where(left))
-            rows = self._files.narrow(self._table, spans) if self._files else self._table
+            rows = self._table
+            if self._files:
+                self._scattered = len(self._files.overlapping(spans)) > 2 * len(spans)
+                rows = self._files.narrow(rows, spans)
         return rows.where(all_of([predicate, self._where]))
 
     def _look_at_files(self, rows: DataFrame) -> OffsetStats:
@@ -144,7 +192,7 @@ class IncrementalLoader:
         self._files, self._looked_at_files = None, True
         if not callable(self._source):
             path = f"{self.root}/files/{uuid.uuid4().hex}"
-            self._files = FileOffsets.collect(rows, self.offset, path, self._where)
+            self._files = FileOffsets.collect(rows, self.offset, path, self._where, self._known)
         return self._files.stats() if self._files else offset_stats(rows, self.offset, self._where)
 
     # -- state ---------------------------------------------------------------
@@ -158,6 +206,8 @@ class IncrementalLoader:
         if high is not None:
             table = table.where(column <= self.kind.literal(high))
         stats = self._look_at_files(table)
+        if self._files and high is None:
+            self._known = self._files.names()
         low = stats.first if low is None else low
         high = stats.last if high is None else high
         ranges = []
@@ -171,8 +221,12 @@ class IncrementalLoader:
             "rows": 0,
             "planned_rows": stats.rows,
             "cuts": None,
+            "finer": None,
             "without_offset": stats.without_offset,
+            "initial_offset": self.kind.to_text(low),
+            "left": stats.rows,
             "done": [],
+            "begun_ms": int(time() * 1000),
             "started_ms": int(time() * 1000),
             "took_ms": 0,
         }
@@ -220,25 +274,28 @@ class IncrementalLoader:
         """Cuts for the open ranges, made once and kept in a file of their own."""
         state, cap = self._state, self.options.max_records
         if self._chunks is None and state["cuts"] is not None:
-            saved = self._documents.read("cuts", state["cuts"])
-            self._chunks = [
-                Chunk(self.kind.parse(c["first"]), self.kind.parse(c["cut"]), c["rows"], c["full"])
-                for c in saved["chunks"]
-            ]
-        changed = False
+            self._chunks = with_finer(self._saved("cuts", state["cuts"]), self._saved("finer", state.get("finer")))
         if self._chunks is None:
             self._chunks = []
             if state["planned_rows"] > cap:
                 self._chunks = plan_chunks(self._offsets, self.kind, state["ranges"], cap, state["planned_rows"])
-                changed = True
+            state["cuts"], state["finer"] = self._keep("cuts", self._chunks), None
+        self._chunks = still_open(self._chunks, state["ranges"])
         self._chunks, refined = refine_chunks(self._offsets, self.kind, self._chunks, state["ranges"], cap)
-        if changed or refined or state["cuts"] is None:
-            text = self.kind.to_text
-            chunks = [{**asdict(c), "first": text(c.first), "cut": text(c.cut)} for c in self._chunks]
-            self._documents.write("cuts", state["step"] + 1, {"chunks": chunks})
-            state["cuts"] = state["step"] + 1
+        if refined:  # only what was cut since the planning is written again
+            state["finer"] = self._keep("finer", [c for c in self._chunks if c.finer])
         return self._chunks
 
+    def _saved(self, kind: str, number: int | None) -> list[Chunk]:
+        saved = [] if number is None else self._documents.read(kind, number)["chunks"]
+        return [Chunk(**{**c, "first": self.kind.parse(c["first"]), "cut": self.kind.parse(c["cut"])}) for c in saved]
+
+    def _keep(self, kind: str, chunks: list[Chunk]) -> int:
+        text, number = self.kind.to_text, self._state["step"] + 1
+        kept = [{**asdict(c), "first": text(c.first), "cut": text(c.cut)} for c in chunks]
+        self._documents.write(kind, number, {"chunks": kept}, replace=True)
+        return number
+
     def _offsets(self, spans: list[OffsetRange]) -> DataFrame:
         return self._rows(spans).select(F.col(self.offset).alias("offset"))
 
@@ -247,7 +304,7 @@ class IncrementalLoader:
         so a step that is run again loads exactly the same rows."""
         plan = self._documents.read("plan", number)
         if plan is not None:
-            self._state["cuts"] = plan["cuts"]
+            self._state["cuts"], self._state["finer"] = plan["cuts"], plan.get("finer")
             return [self._range(r) for r in plan["pieces"]]
         chunks = self._planned_chunks()
         pieces = []
@@ -256,7 +313,8 @@ class IncrementalLoader:
             pieces.append(replace(span, done=True) if cut is None else replace(span, upper=cut, hi_op="<="))
         text = self.kind.to_text
         saved = [{**asdict(p), "lower": text(p.lower), "upper": text(p.upper)} for p in pieces]
-        self._documents.write("plan", number, {"pieces": saved, "cuts": self._state["cuts"]})
+        kept = {"cuts": self._state["cuts"], "finer": self._state.get("finer")}
+        self._documents.write("plan", number, {"pieces": saved, **kept})
         return pieces
 
     # -- running -------------------------------------------------------------
@@ -266,14 +324,29 @@ class IncrementalLoader:
 
         Returns the number of rows, or None when no range is open.
         """
-        state = self._state
-        if not state["ranges"]:
+        if not self._state["ranges"]:
             return None
+        with self._working():
+            return self._step()
+
+    @contextmanager
+    def _working(self):
+        """The load counts as failed until what begins here has ended well."""
+        self._failed = True
+        self._claim()
+        yield
+        self._failed = False
+
+    def _step(self) -> int:
+        state = self._state
         number, start = state["step"] + 1, time()
         pieces = self._next_pieces(number)
         path = self._data_path(number)
         hidden = [] if self._selects_offset() else [self.offset]
-        self._rows(pieces).select(*self.columns, *hidden).write.mode("overwrite").parquet(path)
+        rows = self._rows(pieces).select(*self.columns, *hidden)
+        if self._scattered:  # a few rows from each of many files would be as many files again
+            rows = rows.hint("rebalance")
+        rows.write.mode("overwrite").parquet(path)
         counted = self._count(path, pieces)
 
         ranges, done = [], []
@@ -291,6 +364,7 @@ class IncrementalLoader:
                     "cursor": self.kind.to_text(last),
                     "rows": loaded,
                     "done": piece.done,
+                    "over_cap": loaded > self.options.max_records,
                 }
             )
         loaded = sum(d["rows"] for d in done)
@@ -299,6 +373,7 @@ class IncrementalLoader:
             "step": number,
             "ranges": recreate_ranges(ranges, self.options.num_ranges, self.kind),
             "rows": state["rows"] + loaded,
+            "left": state.get("left", loaded) - loaded,
             "done": done,
             "started_ms": int(start * 1000),
             "took_ms": int((time() - start) * 1000),
@@ -331,19 +406,30 @@ class IncrementalLoader:
         Count and last offset come from one pass. Returns the number of new rows;
         with none, or while ranges are still open, nothing changes.
         """
-        state = self._state
-        if state["ranges"]:
+        if self._state["ranges"]:
             return 0
+        with self._working():
+            return self._poll()
+
+    def _poll(self) -> int:
+        state = self._state
         self._refresh()
         after = state["max_offset"]
         column, start = F.col(self.offset), self.options.initial_offset
         rows = self._table
         if after is not None:
-            rows = rows.where(column > self.kind.literal(after))
+            rows = rows.where((column > self.kind.literal(after)) | column.isNull())
         elif start is not None:
-            rows = rows.where(column >= self.kind.literal(self.kind.parse(start)))
+            rows = rows.where((column >= self.kind.literal(self.kind.parse(start))) | column.isNull())
+        looked_before = bool(self._known)
         new = self._look_at_files(rows)
+        if self._files:
+            self._known |= self._files.names()
+        # known files were counted before; otherwise the whole table was counted anew
+        without = state["without_offset"] + new.without_offset if looked_before and self._files else new.without_offset
         if not new.rows:
+            if without != state["without_offset"]:
+                self._state = self._save({**state, "without_offset": without, "done": []})
             return 0
         n = planned_ranges(new.rows, self.options.max_records, self.options.num_ranges, self.kind)
         if after is None:
@@ -356,7 +442,10 @@ class IncrementalLoader:
             "ranges": ranges,
             "max_offset": new.last,
             "planned_rows": new.rows,
+            "left": new.rows,
+            "without_offset": without,
             "cuts": None,
+            "finer": None,
             "done": [],
         }
         self._state = self._save(planned)
@@ -388,10 +477,10 @@ class IncrementalLoader:
 
     @property
     def status(self) -> str:
-        return self._status(self._state)
+        return FAILED if self._failed else self._status(self._state)
 
     def _data_path(self, number: int) -> str:
-        return f"{self.root}/data/load_step={number:06d}"
+        return f"{self.root}/data/{STEP}={number:06d}"
 
     def _selects_offset(self) -> bool:
         return self.offset.lower() in {c.lower() for c in self.columns}
@@ -404,16 +493,17 @@ class IncrementalLoader:
         steps = self._state["step"]
         if not steps:
             return self.spark.createDataFrame([], T.StructType(fields)).select(*self.columns)
-        written = T.StructType([*fields, T.StructField("load_step", T.IntegerType())])
+        written = T.StructType([*fields, T.StructField(STEP, T.IntegerType())])
         rows = self.spark.read.schema(written).parquet(f"{self.root}/data")
-        return rows.where(F.col("load_step") <= steps).select(*self.columns)
+        return rows.where(F.col(STEP) <= steps).select(*self.columns)
 
     def progress(self) -> DataFrame:
-        """One row per range and step: bounds, cursor, rows, and the step's time."""
-        piece = "range_id int, lower string, lo_op string, upper string, hi_op string, cursor string, rows bigint, done boolean"
-        schema = f"step int, done array<struct<{piece}>>, started_ms bigint, took_ms bigint"
+        """One row per range and step: bounds, cursor, rows, and the step's time; whether
+        more rows than the cap shared the offsets of a cut, and the sum of all rows so far."""
+        piece = "range_id int, lower string, lo_op string, upper string, hi_op string, cursor string, rows bigint, done boolean, over_cap boolean"
+        schema = f"step int, rows bigint, done array<struct<{piece}>>, started_ms bigint, took_ms bigint"
         steps = self.spark.read.schema(schema).json(f"{self.root}/state/*.json")
-        each = steps.select("step", F.explode("done").alias("r"), "started_ms", "took_ms")
+        each = steps.select("step", F.col("rows").alias("rows_so_far"), F.explode("done").alias("r"), "started_ms", "took_ms")
         return each.select(
             "step",
             "r.range_id",
@@ -422,6 +512,8 @@ class IncrementalLoader:
             "r.hi_op",
             "r.rows",
             "r.done",
+            F.coalesce("r.over_cap", F.lit(False)).alias("over_cap"),
+            "rows_so_far",
             F.timestamp_millis("started_ms").alias("started"),
             "took_ms",
         )
@@ -438,9 +530,16 @@ class IncrementalLoader:
             state["without_offset"],
             len(state["ranges"]),
             self.status,
+            state.get("initial_offset"),
+            state.get("left", 0),
+            state.get("begun_ms"),
+            state["started_ms"],
+            state["took_ms"],
         )
-        return self.spark.createDataFrame(
+        made = self.spark.createDataFrame(
             [row],
             "query_name string, offset_column string, max_offset string, steps int, rows bigint, "
-            "rows_without_offset bigint, open_ranges int, status string",
+            "rows_without_offset bigint, open_ranges int, status string, initial_offset string, rows_left bigint, "
+            "begun bigint, last_step bigint, last_took_ms bigint",
         )
+        return made.withColumns({name: F.timestamp_millis(name) for name in ("begun", "last_step")})

@@ -7,10 +7,15 @@ all. Goes through the Hadoop file system, hence to wherever the data lies.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
 
+class ConcurrentLoad(RuntimeError):
+    """Another loader works on the same root."""
+
+
 class StateFiles:
     """Numbered documents of a few kinds under one folder."""
 
@@ -26,18 +31,22 @@ class StateFiles:
         hadoop_path = self._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path, hadoop_path.getFileSystem(self._conf)
 
-    def write(self, kind: str, number: int, document: dict) -> None:
-        """Replaces a document of the same number."""
+    def write(self, kind: str, number: int, document: dict, replace: bool = False) -> None:
+        """A new document; one of the same number is replaced only if asked for, else
+        another loader has written it."""
         target, fs = self._open(self.path(kind, number))
-        draft, _ = self._open(f"{self._root}/{kind}/.{number:06d}.tmp")
+        draft, _ = self._open(f"{self._root}/{kind}/.{number:06d}.{uuid.uuid4().hex}.tmp")
         out = fs.create(draft, True)
         try:
             out.write(bytearray(json.dumps(document).encode()))
         finally:
             out.close()
-        fs.delete(target, False)
-        if not fs.rename(draft, target):
-            raise OSError(f"cannot rename {draft} to {target}")
+        if replace:
+            fs.delete(target, False)
+        # a rename onto a file that is there fails on a cluster's file system, and would replace it on a local one
+        if fs.exists(target) or not fs.rename(draft, target):
+            fs.delete(draft, False)
+            raise ConcurrentLoad(f"{target.toString()} was written by another loader")
 
     def read(self, kind: str, number: int) -> dict | None:
         path, fs = self._open(self.path(kind, number))

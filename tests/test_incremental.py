@@ -13,6 +13,7 @@ import plans
 from rangeload import IncrementalLoader, LoadOptions, OffsetRange, drop_replayed, replay_from
 from rangeload.plans.files import FileOffsets
 from rangeload.plans.offsets import OffsetType
+from rangeload.streaming.state import ConcurrentLoad, StateFiles
 
 
 def options(offset="v", **given):
@@ -324,14 +325,140 @@ def test_steps_open_only_the_files_they_need(spark, folder):
     assert ids(loader.output()) == list(range(2000))
 
 
-@pytest.mark.parametrize("most", [0, 3])
-def test_many_files_are_looked_up_in_the_written_index(spark, folder, monkeypatch, most):
-    monkeypatch.setattr("rangeload.plans.files.MOST_FILES", most)
+def test_few_of_very_many_files(spark, folder):
+    """A slice of a fiftieth of the files opens just these, however many there are."""
     path = f"{folder}/source"
-    numbers(spark, range(1000)).repartitionByRange(8, "v").write.parquet(path)
-    loader = IncrementalLoader(spark, path, f"{folder}/load", options(num_ranges=2))
+    numbers(spark, range(3000)).repartitionByRange(150, "v").write.parquet(path)
+    df = spark.read.parquet(path)
+    narrowed = FileOffsets.collect(df, "v", f"{folder}/index").narrow(df, [OffsetRange(0, 1000, 1050)])
+    assert plans.scan_metrics(narrowed)["numFiles"] <= 5
+    assert narrowed.where("v BETWEEN 1000 AND 1050").count() == 51
+
+
+def test_polls_open_only_new_files(spark, folder):
+    path = f"{folder}/source"
+    df = numbers(spark, [*range(300), None, None], "bigint")
+    df.where("id < 200").repartition(4).write.parquet(path)
+    loader = IncrementalLoader(spark, path, f"{folder}/load", options())
     loader.load_available()
-    assert ids(loader.output()) == list(range(1000))
+    known = dict(loader._known)
+    assert len(known) == 4
+    assert loader.poll() == 0 and loader._files.names() == {}
+    df.where("id >= 200").coalesce(1).write.mode("append").parquet(path)
+    assert loader.poll() == 100
+    assert len(loader._files.names()) == 1 and not loader._files.names().keys() & known.keys()
+    assert loader.summary().first().rows_without_offset == 2, "those that came later count as well"
+    loader.load_available()
+    assert loader.poll() == 0 and loader.summary().first().rows_without_offset == 2
+    assert ids(loader.output()) == list(range(300))
+
+
+def test_rows_past_the_last_offset_in_old_files_are_found(spark, folder):
+    path = f"{folder}/source"
+    numbers(spark, range(100)).write.parquet(path)
+    loader = IncrementalLoader(spark, path, f"{folder}/load", options(end_offset="49"))
+    loader.load_available()
+    assert loader.poll() == 50
+
+
+def test_scattered_steps_write_few_files(spark, folder):
+    path = f"{folder}/source"
+    numbers(spark, range(4000)).repartition(40).write.parquet(path)
+    loader = IncrementalLoader(spark, path, f"{folder}/load", options(num_ranges=2, max_records=250))
+    loader.load_available()
+    written = list(Path(folder, "load", "data").glob("*/part-*.parquet"))
+    assert ids(loader.output()) == list(range(4000))
+    assert len(written) <= 4 * loader.summary().first().steps
+
+
+def test_what_the_driver_keeps_does_not_grow(spark, folder, monkeypatch):
+    monkeypatch.setattr("rangeload.plans.histogram.MAX_BUCKETS", 32)
+    values = [int(1.01**i) for i in range(2000)]
+    loader = IncrementalLoader(spark, numbers(spark, values), folder, options(num_ranges=2, max_records=40))
+    held = []
+    while loader.step() is not None:
+        held.append(len(loader._chunks))
+    sizes = [p.stat().st_size for p in sorted(Path(folder, "finer").glob("*.json"))]
+    assert ids(loader.output()) == list(range(2000))
+    assert len(held) > 10 and max(held) <= 3 * 32 and len(sizes) > 3 and max(sizes[len(sizes) // 2 :]) <= 2 * max(sizes[: len(sizes) // 2])
+
+
+def test_restart_between_finer_cuts(spark, folder, monkeypatch):
+    monkeypatch.setattr("rangeload.plans.histogram.MAX_BUCKETS", 16)
+    df = numbers(spark, [int(1.02**i) for i in range(900)])
+    while True:
+        loader = IncrementalLoader(spark, df, folder, options(num_ranges=2, max_records=40))
+        if loader.step() is None:
+            break
+    assert ids(loader.output()) == list(range(900))
+    assert all(r.rows <= 40 or r.over_cap for r in loader.progress().collect())
+
+
+def test_another_load_on_the_same_root_is_refused(spark, folder):
+    df = numbers(spark, range(100)).withColumn("w", F.col("id") % 7)
+    IncrementalLoader(spark, df, folder, options(), where="id > 3").step()
+    for given, narrow in ((options("id"), {"where": "id > 3"}), (options(), {"where": "id > 4"}), (options(), {"where": "id > 3", "columns": ["id"]})):
+        with pytest.raises(ValueError, match="another load"):
+            IncrementalLoader(spark, df, folder, given, **narrow)
+    again = IncrementalLoader(spark, df, folder, options(), where="id > 3")
+    again.load_available()
+    assert ids(again.output()) == list(range(4, 100))
+
+
+def test_columns_that_would_be_overwritten_are_refused(spark, folder):
+    df = numbers(spark, range(3)).withColumn("Load_Step", F.lit(99))
+    with pytest.raises(ValueError, match="load_step"):
+        IncrementalLoader(spark, df, folder, options())
+    assert IncrementalLoader(spark, df, folder, options(), columns=["id"]).load_available() == 3
+
+
+def test_two_loaders_on_one_root(spark, folder):
+    df = numbers(spark, range(1000))
+    one, two = (IncrementalLoader(spark, df, folder, options()) for _ in range(2))
+    one.step()
+    with pytest.raises(ConcurrentLoad):
+        two.step()
+    three = IncrementalLoader(spark, df, folder, options())
+    three.step()
+    with pytest.raises(ConcurrentLoad):
+        one.step()
+    three.load_available()
+    assert ids(three.output()) == list(range(1000))
+    assert (one.status, three.status) == ("FAILED", "WAITING_DATA")
+
+
+def test_documents_are_not_replaced(spark, folder):
+    documents = StateFiles(spark, folder)
+    documents.write("state", 1, {"a": 1})
+    with pytest.raises(ConcurrentLoad):
+        documents.write("state", 1, {"a": 2})
+    assert documents.read("state", 1) == {"a": 1} and documents.numbers("state") == [1]
+    documents.write("state", 1, {"a": 3}, replace=True)
+    assert documents.read("state", 1) == {"a": 3}
+
+
+def test_failed_until_a_step_ends_well(spark, folder, monkeypatch):
+    loader = IncrementalLoader(spark, numbers(spark, range(500)), folder, options())
+
+    def crash(*_):
+        raise Crash
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loader, "_count", crash)
+        with pytest.raises(Crash):
+            loader.step()
+    assert loader.status == "FAILED" and loader.summary().first().status == "FAILED"
+    loader.step()
+    assert loader.status == "PROCESSING_DATA"
+
+
+def test_infinite_offsets(spark, folder):
+    inf = float("inf")
+    values = [inf, -inf, None, float("nan"), 1e308, -1e308, *[i / 3 for i in range(500)]]
+    loader = IncrementalLoader(spark, numbers(spark, values, "double"), folder, options())
+    loader.load_available()
+    assert ids(loader.output()) == [i for i in range(506) if i not in (2, 3)]
+    assert all(r.rows <= 100 for rows in steps(loader).values() for r in rows)
 
 
 def test_no_file_offsets_without_files(spark, folder):
@@ -348,6 +475,8 @@ def test_progress_times_and_cursors(spark, folder):
     summary = loader.summary().first()
     assert (summary.query_name, summary.max_offset, summary.rows) == ("numbers", "999", 1000)
     assert summary.steps == len({r.step for r in rows})
+    assert (summary.initial_offset, summary.rows_left) == ("0", 0) and summary.begun <= summary.last_step
+    assert max(r.rows_so_far for r in rows) == 1000 and not any(r.over_cap for r in rows)
 
 
 def test_replay(spark):
