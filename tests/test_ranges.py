@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import plans
 from rangeload import OffsetType, order_output, quantile_ranges, range_scan
+from rangeload.operators.ranges import tasks_for
 from rangeload.operators.stats import count_new, first_last, offset_stats
 from rangeload.plans.bounds import OffsetRange, with_count, with_index
 from rangeload.plans.histogram import (
@@ -187,6 +188,28 @@ def test_search_and_tree_agree_with_counting(spark):
     assert with_index(df.where("v = -5"), "n", "v", [0, 10], kind).first().n == 0
 
 
+def test_ordered_scan_reads_only_what_it_returns(spark, folder):
+    rows = spark.range(2000).selectExpr("id", "id % 3 AS v", "repeat('x', 50) AS text", "array(id) AS list")
+    rows.repartition(4).write.parquet(f"{folder}/t")
+    stored = spark.read.parquet(f"{folder}/t")
+    found = range_scan(stored, "v", 2).ordered(5).select("id", "v", F.spark_partition_id().alias("task"))
+    schemas = plans.read_schema(found)
+    assert "text" not in schemas and "list" not in schemas
+    sizes = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert len(sizes) == 5 and max(sizes) <= 2 * 2000 / 5, "ties are spread"
+    assert sorted(r.id for r in found.collect()) == list(range(2000))
+
+
+def test_tasks_follow_the_size(spark, folder, monkeypatch):
+    spark.range(20_000).selectExpr("id", "uuid() AS u").write.parquet(f"{folder}/t")
+    stored = spark.read.parquet(f"{folder}/t")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tasks_for(stored) == least
+    monkeypatch.setattr("rangeload.operators.ranges.BYTES_OF_TASK", 10_000)
+    assert tasks_for(stored) > 20
+    assert tasks_for(spark.createDataFrame([(1,)], "a int")) >= least
+
+
 def test_ordered_scan(spark):
     values = skewed(lambda p: p)
     df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(4)
