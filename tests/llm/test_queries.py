@@ -4,6 +4,7 @@ import os
 
 import oracle
 import pytest
+from fixtures import documents
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -62,3 +63,29 @@ def test_pipeline(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r["doc_id"] for r in packed} == set(mixed)
     assert all(len(r["ids"]) == r["length"] <= 2048 for r in packed)
+
+
+@pytest.mark.parametrize("clash", ["slot", "n_lines", "fp", "row", "label", "length"])
+def test_stages_take_odd_rows(spark, folder, clash):
+    labels = spark.createDataFrame([(4, 1, 0), (8, 1, 0), (5, 1, 0), (10, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    docs = documents(spark, clash=clash)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns, name
+        gone = {6} if name == "SimHash near-dedup" else set()
+        if gone:
+            # 1, 2 and 3 have no word; 6 is a copy of 5
+            gone |= {2, 3}
+        assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in docs.collect() if r["doc_id"] not in gone), name
+    judged = corpus_pipeline.STAGES[0][1](spark, docs, folder)
+    assert judged.columns == docs.columns and {r["doc_id"] for r in judged.collect()} <= {None, *range(1, 11)}
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()} == {None, *range(1, 11)}
+
+
+def test_stages_take_empty_tables(spark, folder):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    documents(spark, []).write.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, documents(spark, []), folder).collect() == []
+    assert corpus_pipeline.run(spark, folder).collect() == []
