@@ -73,7 +73,9 @@ def fingerprint_links(distinct: DataFrame, crowd: int = 8) -> DataFrame:
     Up to ``crowd`` fingerprints of one variant are compared pair by pair.
     """
     key = "bit * 4294967296L + if(bit < 32, left_out & 4294967295L, shiftrightunsigned(left_out, 32))"
-    left_out = distinct.selectExpr("fp", "explode(sequence(0, 63)) as bit").selectExpr("*", "fp & ~shiftleft(1L, bit) as left_out")
+    # dealt out before each becomes 64 rows
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    left_out = spread.selectExpr("fp", "explode(sequence(0, 63)) as bit").selectExpr("*", "fp & ~shiftleft(1L, bit) as left_out")
     variants = left_out.selectExpr("fp", f"{key} as variant")
     counted = variants.groupBy("variant").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     several = settle(counted.where("n > 1"))
