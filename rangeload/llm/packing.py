@@ -134,7 +134,7 @@ def pack(df: DataFrame, capacity: int, *, length: str = "length", block: str = "
 
 
 def token_pieces(
-    df: DataFrame, path: str, capacity: int, *, key: str = "doc_id", text: str = "text", end_id: int = 0, keep_ids: bool = False
+    df: DataFrame, path: str, capacity: int, *, key: str = "doc_id", text: str = "text", end_id: int = 0, keep_ids: bool = False, most_words: int = 800_000
 ) -> DataFrame:
     """Every text as token ids with ``end_id`` behind, cut into pieces of ``capacity`` ids.
 
@@ -142,7 +142,8 @@ def token_pieces(
     ``start``, ``length``, ``ids_crc32`` (of little-endian unsigned 32-bit ids), ``ids``
     if asked for, and what ``pack`` needs: ``block``, the task that made the piece, and
     ``rank``, its number among the task's pieces of that length. A task's words are
-    looked up in a bounded cache that its worker keeps; no text is shuffled.
+    looked up in a cache of twice ``most_words`` at most that its worker keeps; no text is
+    shuffled.
 
     A null text counts as empty and gives one piece of the end id. Repeated rows give
     repeated pieces; an empty table gives none; other columns are not read.
@@ -151,7 +152,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _WORDS:
             _WORDS.clear()
-            _WORDS[path] = WordTable(path, lambda ids: np.array(ids, "<u4").tobytes(), {}, lower=True)
+            _WORDS[path] = WordTable(path, lambda ids: np.array(ids, "<u4").tobytes(), {}, most_words, lower=True)
         words = _WORDS[path]
         lookup = words.__getitem__
         block = TaskContext.get().partitionId()
@@ -162,10 +163,11 @@ def token_pieces(
             keys, pieces, starts, lengths, crcs, ids, rank = [], [], [], [], [], [], []
             for i, value in enumerate(batch.column(1)):
                 value = value.as_py() or ""
-                if words.whole_only(value):
+                small = value.encode().lower().decode()  # A to Z; fewer words to tell apart, as the tokenizer lowers all
+                if words.whole_only(small):
                     data = np.array(words.ids(value), "<u4").tobytes() + end
                 else:
-                    data = b"".join(map(lookup, value.split())) + end
+                    data = b"".join(map(lookup, small.split())) + end
                 for n, at in enumerate(range(0, len(data), step)):
                     part = data[at : at + step]
                     length = len(part) // 4
