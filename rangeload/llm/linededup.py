@@ -166,10 +166,12 @@ def drop_shared_lines(
     input columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
     runs = LineRuns(df.sparkSession, fanout)
-    for batch in batches or [df]:
-        runs.add(line_summary(batch, key, text, min_length))
-    shared = runs.frequent(min_docs)
-    runs.clear()
+    try:
+        for batch in batches or [df]:
+            runs.add(line_summary(batch, key, text, min_length))
+        shared = runs.frequent(min_docs)
+    finally:
+        runs.clear()
     columns = df.columns
     split = F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n")
     lines = df.select(F.col(key).cast("long").alias("doc"), F.posexplode(split).alias("at", "line")).withColumn("line", line_key(F.col("line")))
