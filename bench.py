@@ -43,6 +43,14 @@ def queries(spark):
     def capped(offset, name):
         return lambda: _loader(spark, table(name), offset, ranges=4, share=12).load_available()
 
+    def scattered():
+        path = f"{scratch_dir(spark, 'bench')}/events"
+        table("events").repartition(40).write.parquet(path)
+        return lambda: _loader(spark, path, "ts", ranges=4, share=12, rows=table("events").count()).load_available()
+
+    def quantiles(tolerance):
+        return lambda: consume(quantile_ranges(table("lineitem"), "l_extendedprice", 16, tolerance=tolerance).rows())
+
     return {
         "full_scan": lambda: consume(scan(table("lineitem"))),
         "pruned_filtered_scan": filtered,
@@ -51,12 +59,15 @@ def queries(spark):
         "range_scan_16": ranges(16),
         "range_scan_256": ranges(256),
         "range_scan_ordered": lambda: consume(range_scan(table("lineitem"), "l_shipdate", 4).ordered()),
-        "quantile_ranges": lambda: consume(quantile_ranges(table("lineitem"), "l_extendedprice", 16).rows()),
+        "quantile_ranges": quantiles(None),
+        "quantile_ranges_exact": quantiles(0.0),
         "range_progress": lambda: consume(range_scan(table("lineitem"), "l_shipdate", 16).progress()),
         "stream_load_once": streamed,
         "incremental_capped": capped("ts", "events"),
         "incremental_skewed": capped("value", "events"),
         "incremental_lineitem": capped("l_orderkey", "lineitem"),
+        "incremental_text": capped("c_name", "customer"),
+        "incremental_scattered": scattered(),
     }
 
 
