@@ -66,7 +66,7 @@ def queries(spark):
         "incremental_capped": capped("ts", "events"),
         "incremental_skewed": capped("value", "events"),
         "incremental_lineitem": capped("l_orderkey", "lineitem"),
-        "incremental_text": capped("c_name", "customer"),
+        "incremental_text": lambda: _loader(spark, table("customer"), "c_name", ranges=1, share=3).load_available(),
         "incremental_scattered": scattered(),
     }
 
