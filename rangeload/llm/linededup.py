@@ -155,13 +155,14 @@ def drop_shared_lines(
     ``min_length`` characters or more and occurs in ``min_docs`` rows or more is dropped
     everywhere but in the row with the largest ``key`` that has it; what is left is
     joined by line feeds again. ``batches`` is how ``df`` comes in: parts that make it
-    up. ``key`` is an integer that tells rows apart.
+    up. ``key`` is an integer.
 
     Texts are read once to fill the index and once to drop lines; only hashes, keys and
     positions of long lines are shuffled for the decision, and texts once to be
     rewritten. A null text counts as one empty line and becomes empty. Rows with one
     key, such as repeated rows, count as so many documents; all of those with the
-    largest key keep the line, and each loses what any of them does. A null key is
+    largest key keep the line, and each loses lines of its own text only: rows are told
+    apart by key and a hash of the text. A null key is
     smaller than any other and equal to itself. An empty table gives an empty result;
     input columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
@@ -173,12 +174,15 @@ def drop_shared_lines(
     finally:
         runs.clear()
     columns = df.columns
-    split = F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n")
-    lines = df.select(F.col(key).cast("long").alias("doc"), F.posexplode(split).alias("at", "line")).withColumn("line", line_key(F.col("line")))
-    lines = lines.where(F.length("line") >= min_length).select("doc", "at", *_hashed(F.col("line")))
-    lost = lines.join(shared, HASH).where(~F.col("doc").eqNullSafe(F.col("last"))).groupBy("doc").agg(F.collect_set("at").alias("lost"))
-    packed = df.select(whole(df).alias("row"), F.col(key).cast("long").alias("doc"))
-    joined = packed.join(lost.withColumnRenamed("doc", "of"), F.col("doc").eqNullSafe(F.col("of")), "left")
+    written = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    row = [F.col(key).cast("long").alias("doc"), *[h.alias(name) for h, name in zip(_hashed(written), ("t1", "t2"), strict=True)]]
+    lines = df.select(*row, F.posexplode(F.split(written, "\n")).alias("at", "line")).withColumn("line", line_key(F.col("line")))
+    lines = lines.where(F.length("line") >= min_length).select("doc", "t1", "t2", "at", *_hashed(F.col("line")))
+    lost = lines.join(shared, HASH).where(~F.col("doc").eqNullSafe(F.col("last")))
+    lost = lost.groupBy(F.col("doc").alias("of"), F.col("t1").alias("o1"), F.col("t2").alias("o2")).agg(F.collect_set("at").alias("lost"))
+    packed = df.select(whole(df).alias("row"), *row)
+    same = F.col("doc").eqNullSafe(F.col("of")) & (F.col("t1") == F.col("o1")) & (F.col("t2") == F.col("o2"))
+    joined = packed.join(lost, same, "left")
     split = F.split(F.coalesce(F.col(f"row.`{text}`"), F.lit("")), "\n")
 
     def without_lost(parts: Column) -> Column:

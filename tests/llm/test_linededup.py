@@ -93,3 +93,13 @@ def test_files_of_a_table(spark, folder):
     made = drop_shared_lines(docs, batches=file_batches(docs, 4))
     found = {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in made.collect()}
     assert found == set(plainly([(r[0], r[1]) for r in rows])) and any(r[3] for r in found)
+
+
+def test_rows_with_one_key_lose_their_own_lines(spark):
+    line = "a line that is certainly longer than forty characters"
+    rows = [(i, f"own {i}\n{line}", "en", "s", 0) for i in range(5)]
+    rows += [(None, f"first\n{line}", "en", "s", 0), (None, "second\na clean line that nobody shares and that is long", "en", "s", 0)]
+    rows += [(3, "third\nanother clean line that nobody shares and that is long", "en", "s", 0), (None, "short", "en", "s", 0)]
+    found = Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in drop_shared_lines(documents(spark, rows)).collect())
+    assert found == Counter(plainly([(r[0], r[1]) for r in rows]))
+    assert (None, "first", 2, 1) in found and (None, rows[6][1], 2, 0) in found
