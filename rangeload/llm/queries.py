@@ -23,7 +23,7 @@ def query(function):
 @query
 def op2_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    placed = sharding.shuffle_into_shards(docs, 24, settled=True)
+    placed = sharding.shuffle_into_shards(docs, 24)
     text = F.coalesce("text", F.lit(""))
     return placed.select(
         "doc_id",

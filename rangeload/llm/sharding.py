@@ -51,10 +51,12 @@ def shuffle_into_shards(
     counts, then exchanged, then permuted within their cell of at most ``cell_rows``
     rows, so no task orders a whole shard.
 
-    ``settled`` says that reading ``df`` again gives the same rows in the same
-    partitions and order, as a scan of unchanging files does; otherwise it is written
-    to the shared folder first, so that a repeated task draws the same. The driver
-    gets one count per input partition.
+    Rows are written to the shared folder first, each with its partition and place, so
+    that neither a repeated task nor another cut of the scan, which follows the cores
+    registered when it is planned, draws otherwise. ``settled`` says that ``df`` has the
+    same rows in the same partitions and order whenever it is planned, as a checkpoint
+    does and a scan of files need not, and saves the write. The driver gets one count per
+    input partition.
 
     Nulls and texts of any length move like other values, repeated rows are rows of
     their own, an empty table gives an empty result, and input columns named ``shard``
@@ -62,10 +64,12 @@ def shuffle_into_shards(
     """
     if shards < 1 or cell_rows < 1:
         raise ValueError("shards and cell_rows must be positive")
-    if not settled:
-        df = written(df, "shards")
     columns = df.columns
-    counted = df.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    # monotonically_increasing_id is the partition in the upper and the row's place in the lower 33 bits
+    placed = df.select(whole(df).alias("row"), F.monotonically_increasing_id().alias("place"))
+    if not settled:
+        placed = written(placed, "shards")
+    counted = placed.groupBy(F.shiftright("place", 33).alias("part")).count().collect()
     counts = np.zeros(1 + max((row["part"] for row in counted), default=0), dtype=np.int64)
     for row in counted:
         counts[row["part"]] = row["count"]
@@ -78,15 +82,18 @@ def shuffle_into_shards(
         part, cell = None, None
         for place in places:
             place = place.to_numpy()
-            if part is None and len(place):
-                part = int(place[0] >> 33)
-                row = matrix_row(cell_sizes(rows, shards, cells), known.value, part, seed)
-                cell = np.repeat(np.arange(len(row), dtype=np.int32), row)
-                np.random.default_rng([seed, part]).shuffle(cell)
-            yield pd.Series(cell[place & ((1 << 33) - 1)] if len(place) else np.zeros(0, np.int32))
+            found = np.zeros(len(place), np.int32)
+            # a task may read several written partitions, one after another
+            cuts = np.flatnonzero(np.diff(place >> 33)) + 1
+            for some in np.split(np.arange(len(place)), cuts) if len(place) else ():
+                if part != int(place[some[0]] >> 33):
+                    part = int(place[some[0]] >> 33)
+                    row = matrix_row(cell_sizes(rows, shards, cells), known.value, part, seed)
+                    cell = np.repeat(np.arange(len(row), dtype=np.int32), row)
+                    np.random.default_rng([seed, part]).shuffle(cell)
+                found[some] = cell[place[some] & ((1 << 33) - 1)]
+            yield pd.Series(found)
 
-    # monotonically_increasing_id is the partition in the upper and the row's place in the lower 33 bits
-    placed = df.select(whole(df).alias("row"), F.monotonically_increasing_id().alias("place"))
     placed = placed.withColumn("cell", cell_of("place"))
     local = Window.partitionBy("cell").orderBy(F.xxhash64("place", F.lit(seed)), "place")
     ranked = placed.withColumn("n", F.row_number().over(local) - 1)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from fixtures import documents
 
+from rangeload.llm.queries import op2_hypergeometric_shards
 from rangeload.llm.sharding import cell_sizes, matrix_row, shuffle_into_shards
 
 
@@ -55,3 +56,20 @@ def test_empty_and_clashing(spark):
     assert made.columns.count("slot") == 1 and made.schema["slot"].dataType.simpleString() == "bigint"
     with pytest.raises(ValueError):
         shuffle_into_shards(documents(spark), 0)
+
+
+def test_scan_cut_anew(spark, folder):
+    # the result is planned again when the scan is cut into other partitions than it was counted in
+    documents(spark, [(i, f"text {i}", "en", "s", 0) for i in range(600)], parts=12).write.parquet(f"{folder}/documents.parquet")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    try:
+        for first, then in (("1g", "1k"), ("1k", "1g")):
+            spark.conf.set(size, first)
+            made = op2_hypergeometric_shards(spark, folder)
+            spark.conf.set(size, then)
+            rows = made.collect()
+            assert sorted(r["doc_id"] for r in rows) == list(range(600))
+            assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, n) for s in range(24) for n in range(25)]
+    finally:
+        spark.conf.set(size, before)
