@@ -20,9 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rangeload.llm.common import unpacked, whole, written
-from rangeload.llm.words import WordTable
-
-_WORDS: dict = {}
+from rangeload.llm.words import each_text, id_table, packed
 
 
 class RemainingCapacities:
@@ -150,24 +148,15 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _WORDS:
-            _WORDS.clear()
-            _WORDS[path] = WordTable(path, lambda ids: np.array(ids, "<u4").tobytes(), {}, most_words, lower=True)
-        words = _WORDS[path]
-        lookup = words.__getitem__
+        words = id_table(path, most_words)
         block = TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
+        end = packed([end_id])
         step = 4 * capacity
         ranks: dict[int, int] = {}
         for batch in batches:
             keys, pieces, starts, lengths, crcs, ids, rank = [], [], [], [], [], [], []
-            for i, value in enumerate(batch.column(1)):
-                value = value.as_py() or ""
-                small = value.encode().lower().decode()  # A to Z; fewer words to tell apart, as the tokenizer lowers all
-                if words.whole_only(small):
-                    data = np.array(words.ids(value), "<u4").tobytes() + end
-                else:
-                    data = b"".join(map(lookup, small.split())) + end
+            for i, data in enumerate(each_text(words, batch.column(1))):
+                data += end
                 for n, at in enumerate(range(0, len(data), step)):
                     part = data[at : at + step]
                     length = len(part) // 4
