@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import tempfile
 import zipfile
 from pathlib import Path
@@ -55,6 +56,12 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ascii_lower(text: Column) -> Column:
+    """``text`` with A-Z in small letters and everything else as it is."""
+    by_letter = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(by_letter)
+
+
 def whole(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, out of the way of added names."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

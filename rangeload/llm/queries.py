@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, linededup, mixing, packing, quality, sharding, simhash, tokens, topk, vectordedup
-from rangeload.llm.common import id_remainder, read
+from rangeload.llm import language, linededup, manifest, mixing, packing, quality, sharding, simhash, tokens, topk, vectordedup
+from rangeload.llm.common import ascii_lower, id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,3 +172,81 @@ def op3_byte_network_quality(spark: SparkSession, folder: str) -> DataFrame:
     network = quality.fit_quality(docs.where(~held_out), read(spark, folder, "labels"))
     scored = quality.score_quality(docs, network)
     return scored.withColumn("held_out", held_out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op12_postorder_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    columns = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = manifest.row_digest([*columns[:-1], ascii_lower(F.col("text"))])
+    some = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = docs.select("doc_id", "source", manifest.row_digest(columns).alias("leaf"), F.when(some, tampered).alias("tampered"))
+    built = manifest.build_manifest(rows, part="source", order=["doc_id"], leaf="leaf")
+    return built.proofs("tampered").select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        F.lit(built.root).alias("root"),
+        F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.lit(built.root)).alias("verified"),
+        "position",
+    )
+
+
+ORACLES["op12_postorder_manifest"] = """
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, crc % 5 = 0 AS tampered,
+         sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS changed
+  FROM (
+    SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+           xor(list_reduce(
+             list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT) AS crc
+    FROM documents
+  )
+), placed AS (
+  SELECT *, coalesce('=' || source, '') AS part, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth
+  FROM leaves
+), tree AS (
+  SELECT part, 0 AS level, nth AS spot, leaf AS digest, count(*) OVER (PARTITION BY part) AS many FROM placed
+  UNION ALL
+  SELECT part, level + 1, spot // 16, sha256(string_agg(digest, '' ORDER BY spot)), (many + 15) // 16
+  FROM tree WHERE many > 1 GROUP BY part, level, spot // 16, many
+), ends AS (
+  SELECT part, level, digest, row_number() OVER (ORDER BY part) - 1 AS nth FROM tree WHERE many = 1
+), top AS (
+  SELECT 0 AS level, nth AS spot, digest, count(*) OVER () AS many FROM ends
+  UNION ALL
+  SELECT level + 1, spot // 16, sha256(string_agg(digest, '' ORDER BY spot)), (many + 15) // 16
+  FROM top WHERE many > 1 GROUP BY level, spot // 16, many
+), steps AS (
+  SELECT p.part, p.nth, t.level AS step,
+         coalesce(string_agg(t.digest, '' ORDER BY t.spot) FILTER (t.spot < (p.nth >> (4 * t.level))), '') AS l,
+         coalesce(string_agg(t.digest, '' ORDER BY t.spot) FILTER (t.spot > (p.nth >> (4 * t.level))), '') AS r
+  FROM placed p JOIN tree t ON p.part = t.part AND t.many > 1 AND t.spot // 16 = (p.nth >> (4 * t.level + 4))
+  GROUP BY p.part, p.nth, t.level
+  UNION ALL
+  SELECT p.part, p.nth, e.level + t.level,
+         coalesce(string_agg(t.digest, '' ORDER BY t.spot) FILTER (t.spot < (e.nth >> (4 * t.level))), ''),
+         coalesce(string_agg(t.digest, '' ORDER BY t.spot) FILTER (t.spot > (e.nth >> (4 * t.level))), '')
+  FROM placed p JOIN ends e ON p.part = e.part JOIN top t ON t.many > 1 AND t.spot // 16 = (e.nth >> (4 * t.level + 4))
+  GROUP BY p.part, p.nth, e.level, t.level
+), folds AS (
+  SELECT part, nth, 0 AS step, CASE WHEN tampered THEN changed ELSE leaf END AS digest FROM placed
+  UNION ALL
+  SELECT f.part, f.nth, f.step + 1, sha256(s.l || f.digest || s.r) FROM folds f JOIN steps s ON s.part = f.part AND s.nth = f.nth AND s.step = f.step
+), paths AS (
+  SELECT part, nth, count(*) AS many, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY part, nth
+)
+SELECT p.doc_id, p.leaf, e.digest AS subroot, t.digest AS root, coalesce(s.proof_sha256, sha256('')) AS proof_sha256,
+       f.digest AS folded_root, f.digest = t.digest AS verified,
+       (p.nth + p.nth // 16 + p.nth // 256 + p.nth // 4096 + p.nth // 65536 + p.nth // 1048576)::BIGINT AS position
+FROM placed p JOIN ends e ON p.part = e.part JOIN top t ON t.many = 1
+LEFT JOIN paths s ON s.part = p.part AND s.nth = p.nth
+JOIN folds f ON f.part = p.part AND f.nth = p.nth AND f.step = coalesce(s.many, 0)
+"""

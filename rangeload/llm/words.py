@@ -111,7 +111,7 @@ def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def text_ids(table: WordTable, texts: pa.Array, most_bytes: int = 8 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def text_ids(table: WordTable, texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Ids of whole texts one after another, and where each text's ids end, for runs of the rows.
 
     For word BPE files that drop white space and lower all letters. A run holds about
@@ -129,11 +129,13 @@ def text_ids(table: WordTable, texts: pa.Array, most_bytes: int = 8 << 20) -> It
         each = [table[word] for word in coded.dictionary.to_pylist()]
         flat = np.frombuffer(b"".join(each), "<u4")
         sizes = np.fromiter(map(len, each), np.int32, len(each)) >> 2
-        first = np.cumsum(sizes, dtype=np.int64) - sizes
+        first = np.cumsum(sizes, dtype=np.int32) - sizes
         index = coded.indices.to_numpy()
         many = sizes[index]
-        ends = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
-        ids = flat[np.repeat(first[index] - ends[:-1], many) + np.arange(ends[-1])]
+        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(many, dtype=np.int32)])
+        place = np.repeat(first[index] - ends[:-1], many)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = flat[place]
         offsets = words.offsets.to_numpy()
         ends = ends[offsets[1:] - offsets[0]]
         if whole.any():

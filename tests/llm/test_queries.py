@@ -22,6 +22,7 @@ COLUMNS = {
     "op7_pivot_top_k": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op8_quantised_near_duplicates": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op9_compression_language": "doc_id bigint, lang_pred string, score double, accepted boolean, held_out boolean",
+    "op12_postorder_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean, position bigint",
     "op10_simhash_near_duplicates": "doc_id bigint, fingerprint string, component_id bigint",
 }
 
@@ -39,7 +40,7 @@ def test_columns(spark, name):
     assert df.count() >= spark.read.parquet(f"{oracle.DATA}/{table}.parquet").count()
 
 
-def test_ten_queries():
+def test_all_queries():
     assert sorted(QUERIES) == sorted(COLUMNS)
     assert {*QUERIES, "pipeline"} <= contract.queries().keys()
 
