@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, linededup, manifest, mixing, packing, quality, sharding, simhash, tokens, topk, vectordedup
+from rangeload.llm import language, linededup, manifest, mixing, packing, quality, sharding, simhash, tokenfiles, tokens, topk, vectordedup
 from rangeload.llm.common import ascii_lower, id_remainder, read
+from rangeload.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,6 +175,13 @@ def op3_byte_network_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", held_out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query
+def op11_perfect_hash_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    files = tokenfiles.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_dir(spark, "token-files"))
+    return files.fetch(files.keys()).select(F.col("key").alias("doc_id"), "start", F.col("length").alias("n_tokens"), "ids_crc32")
+
+
 @query
 def op12_postorder_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
