@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm import language, linededup, manifest, mixing, packing, quality, sharding, simhash, tokenfiles, tokens, topk, vectordedup
+from rangeload.llm import alignment, language, linededup, manifest, mixing, packing, quality, sharding, simhash, tokenfiles, tokens, topk, vectordedup
 from rangeload.llm.common import ascii_lower, id_remainder, read
 from rangeload.session import scratch_dir
 
@@ -258,3 +258,10 @@ FROM placed p JOIN ends e ON p.part = e.part JOIN top t ON t.many = 1
 LEFT JOIN paths s ON s.part = p.part AND s.nth = p.nth
 JOIN folds f ON f.part = p.part AND f.nth = p.nth AND f.step = coalesce(s.many, 0)
 """
+
+
+@query
+def op13_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    aligned = alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return aligned.scored().withColumnRenamed("key", "doc_id")

@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_quantised_near_duplicates": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op9_compression_language": "doc_id bigint, lang_pred string, score double, accepted boolean, held_out boolean",
     "op11_perfect_hash_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op13_pair_bitmaps": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
     "op12_postorder_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean, position bigint",
     "op10_simhash_near_duplicates": "doc_id bigint, fingerprint string, component_id bigint",
 }
