@@ -354,7 +354,7 @@ def write_token_files(
     text: str = "text",
     end_id: int = 2,
     shard_bytes: int = 32 << 20,
-    most_words: int = 500_000,
+    most_words: int = 250_000,
 ) -> TokenFiles:
     """Write the ids of every text of ``df``, by the word BPE file at ``path``, with their index, to ``folder``.
 

@@ -144,6 +144,7 @@ def text_ids(table: WordTable, texts: pa.Array, most_bytes: int = 4 << 20) -> It
                 parts[i] = np.array(table.ids(texts[start + i].as_py()), np.uint32)
             ids, ends = np.concatenate(parts), np.cumsum([len(part) for part in parts])
         yield ids, ends
+        pa.default_memory_pool().release_unused()
 
 
 def each_text(table: WordTable, texts: pa.Array) -> Iterator[bytes]:
