@@ -19,9 +19,18 @@ from rangeload.plans.offsets import OffsetType, finite, quoted
 MOST_CONDITIONS = 32
 
 
+# A row's place among rows that share an offset: its file and its number there.
+Place = tuple[str, int]
+
+
 @dataclass(frozen=True)
 class OffsetRange:
-    """Offsets from ``lower`` to ``upper`` (units of :class:`OffsetType`)."""
+    """Offsets from ``lower`` to ``upper`` (units of :class:`OffsetType`).
+
+    Of the rows at ``lower`` only those behind the place ``after`` belong to it, of those at
+    ``upper`` only those up to ``until``; None is no such limit. Places order rows by
+    file and row number, which scans of Parquet files have.
+    """
 
     id: int
     lower: object
@@ -30,15 +39,27 @@ class OffsetRange:
     hi_op: str = "<="
     loaded: int = 0
     done: bool = False
+    after: Place | None = None
+    until: Place | None = None
 
     def predicate(self, name: str, kind: OffsetType) -> str:
-        """SQL condition on the offset column."""
-        column = quoted(name)
-        return f"({column} {self.lo_op} {kind.sql(self.lower)} AND {column} {self.hi_op} {kind.sql(self.upper)})"
-
-    def moved_to(self, cursor, lo_op: str = ">") -> OffsetRange:
-        """What is left of the range once everything up to ``cursor`` is loaded."""
-        return replace(self, lower=cursor, lo_op=lo_op)
+        """SQL condition on the offset column, and on files and rows if places limit the range."""
+        column, lower, upper = quoted(name), kind.sql(self.lower), kind.sql(self.upper)
+        parts = [f"{column} {self.lo_op} {lower}", f"{column} {self.hi_op} {upper}"]
+        for place, end, behind in ((self.after, lower, ""), (self.until, upper, "NOT ")):
+            if place is None:
+                continue
+            file, row = f"CAST(X'{place[0].encode().hex()}' AS STRING)", place[1]
+            path = "_metadata.file_path"
+            parts.append(f"({column} <> {end} OR {behind}({path} > {file} OR ({path} = {file} AND _metadata.row_index > {row})))")
+            if self.lower == self.upper:  # other files need not be opened
+                parts.append(f"{path} {'<=' if behind else '>='} {file}")
+        return f"({' AND '.join(parts)})"
+
+    def moved_to(self, cursor, lo_op: str = ">", after: Place | None = None) -> OffsetRange:
+        """What is left of the range once everything up to ``cursor`` is loaded, or of the
+        rows at it those up to the place ``after``."""
+        return replace(self, lower=cursor, lo_op=">=" if after else lo_op, after=after)
 
     def holds_nothing(self) -> bool:
         if self.lower == self.upper:
@@ -119,7 +140,8 @@ def rebuild_ranges(ranges: Sequence[OffsetRange], n: int, kind: OffsetType) -> l
             break
         alone = position == len(ranges) - 1
         pieces = missing + 1 if alone else 2
-        result.extend(split_range(span.lower, span.upper, pieces, kind, span.lo_op, span.hi_op))
+        first, *rest = split_range(span.lower, span.upper, pieces, kind, span.lo_op, span.hi_op)
+        result.extend([replace(first, after=span.after), *rest])
         missing -= pieces - 1
     return renumber(result)
 
@@ -156,8 +178,9 @@ def joined(spans: Sequence[OffsetRange]) -> list[OffsetRange]:
     result: list[OffsetRange] = []
     for span in sorted(spans, key=lambda s: s.lower):
         before = result[-1] if result else None
-        if before and before.upper == span.lower and "=" in before.hi_op + span.lo_op:
-            result[-1] = replace(before, upper=span.upper, hi_op=span.hi_op)
+        touching = before and before.upper == span.lower and "=" in before.hi_op + span.lo_op
+        if touching and before.until is None and span.after is None:
+            result[-1] = replace(before, upper=span.upper, hi_op=span.hi_op, until=span.until)
         else:
             result.append(span)
     return result

@@ -7,10 +7,11 @@ every file at hand the scan is planned over the files that can hold the slice.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangeload.operators.filters import as_column
@@ -25,6 +26,7 @@ class FileOffsets:
         self._table = table
         self._kind = kind
         self._all: list[tuple] | None = None
+        self._ends: tuple[list, list] | None = None
 
     @classmethod
     def collect(
@@ -60,6 +62,11 @@ class FileOffsets:
         per_file.write.mode("overwrite").parquet(path)
         return cls(df.sparkSession.read.schema(per_file.schema).parquet(path), kind)
 
+    @classmethod
+    def written(cls, spark: SparkSession, path: str, kind: OffsetType) -> FileOffsets:
+        """What :meth:`collect` has written to ``path``."""
+        return cls(spark.read.parquet(path), kind)
+
     def stats(self) -> OffsetStats:
         """The same as a pass over the table itself would give."""
         row = self._table.agg(
@@ -86,11 +93,25 @@ class FileOffsets:
         """Each file with its time of change."""
         return {row[0]: row[1] for row in self._table.select("__file", "__changed").collect()}
 
+    def count(self) -> int:
+        return len(self._listed())
+
+    def many_overlapping(self, lower, upper) -> int:
+        """How many files can hold offsets from ``lower`` to ``upper``."""
+        if self._ends is None:
+            self._ends = (sorted(first for _, first, _ in self._listed()), sorted(last for _, _, last in self._listed()))
+        firsts, lasts = self._ends
+        return bisect.bisect_right(firsts, upper) - bisect.bisect_left(lasts, lower)
+
     def overlapping(self, spans: list[OffsetRange]) -> list[str]:
         """Files that can hold any of the spans: a part of the listing the driver plans scans from."""
+        return [name for name, first, last in self._listed() if any(first <= s.upper and last >= s.lower for s in spans)]
+
+    def _listed(self) -> list[tuple]:
+        """Name, first and last offset of each file that has any."""
         if self._all is None:
             rows = self._table.where("first IS NOT NULL").select(
                 "__file", self._kind.collectable("first").alias("first"), self._kind.collectable("last").alias("last")
             )
             self._all = [(r[0], self._kind.collected(r[1]), self._kind.collected(r[2])) for r in rows.collect()]
-        return [name for name, first, last in self._all if any(first <= s.upper and last >= s.lower for s in spans)]
+        return self._all

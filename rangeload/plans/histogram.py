@@ -12,10 +12,11 @@ import bisect
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeload.plans.bounds import MOST_CONDITIONS, OffsetRange, hull, predicate_over, with_index
+from rangeload.plans.bounds import MOST_CONDITIONS, OffsetRange, Place, hull, predicate_over, with_index
 from rangeload.plans.offsets import OffsetType
 
 # Gives the rows inside some spans, with the offset as the column ``offset``.
@@ -88,14 +89,24 @@ def histogram(offsets: Offsets, kind: OffsetType, spans: list[OffsetRange], buck
 
 @dataclass
 class Chunk:
-    """Rows from ``first`` up to ``cut``; ``full`` if it should be cut further, ``finer``
-    if it came from cutting another."""
+    """Rows from ``first`` up to ``cut``, of those at ``cut`` only up to ``place`` if it is given;
+    ``full`` if it should be cut further, ``finer`` if it came from cutting another."""
 
     first: object
     cut: object
     rows: int
     full: bool = False
     finer: bool = False
+    place: Place | None = None
+
+    @property
+    def end(self) -> tuple:
+        """Where it ends, in the order of chunks."""
+        return (self.cut, (1,) if self.place is None else (0, *self.place))
+
+
+# Gives the chunks of the rows in a range of one offset, or None if their places are not known.
+Ties = Callable[[OffsetRange, int], list[Chunk] | None]
 
 
 def chunks_of(buckets: list[Bucket], cap: int) -> list[Chunk]:
@@ -106,8 +117,35 @@ def chunks_of(buckets: list[Bucket], cap: int) -> list[Chunk]:
             chunks[-1].cut = bucket.last
             chunks[-1].rows += bucket.rows
         else:
-            full = bucket.rows > cap and bucket.first < bucket.last
-            chunks.append(Chunk(bucket.first, bucket.last, bucket.rows, full))
+            chunks.append(Chunk(bucket.first, bucket.last, bucket.rows, bucket.rows > cap))
+    return chunks
+
+
+def tied_chunks(rows: DataFrame, value, cap: int) -> list[Chunk] | None:
+    """Chunks of at most ``cap`` of the ``rows``, which all have the offset ``value``, by their places.
+
+    Rows are counted in windows of a sixteenth of the cap, so none has more, and of
+    the windows in order only the first are fetched; what lies behind them is one chunk,
+    to be cut in its turn. None if ``rows`` is no scan of Parquet files.
+    """
+    width = max(1, cap // 16)
+    try:
+        placed = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        return None
+    windows = placed.groupBy("file", F.floor(F.col("row") / width).alias("window")).agg(F.count(F.lit(1)).alias("rows"), F.max("row").alias("last"))
+    found = windows.orderBy("file", "window").limit(MAX_BUCKETS).collect()
+    chunks: list[Chunk] = []
+    for window in found:
+        if chunks and chunks[-1].rows + window.rows <= cap:
+            chunks[-1].rows += window.rows
+            chunks[-1].place = (window.file, window.last)
+        else:
+            chunks.append(Chunk(value, value, window.rows, finer=True, place=(window.file, window.last)))
+    if len(found) < MAX_BUCKETS:
+        chunks[-1].place = None
+    else:
+        chunks.append(Chunk(value, value, cap + 1, full=True, finer=True))
     return chunks
 
 
@@ -118,67 +156,74 @@ def plan_chunks(offsets: Offsets, kind: OffsetType, ranges: list[OffsetRange], c
     return [c for found in histogram(offsets, kind, ranges, buckets) for c in chunks_of(found, cap)]
 
 
+def _start(span: OffsetRange) -> tuple:
+    """Where the rows of ``span`` start, in the order of chunks' ends."""
+    if span.after is not None:
+        return (span.lower, (0, *span.after))
+    return (span.lower, (-1,) if span.lo_op == ">=" else (1,))
+
+
 def _due(chunks: list[Chunk], span: OffsetRange) -> Chunk | None:
     """The chunk that holds the first rows left in ``span``."""
-    search = bisect.bisect_left if span.lo_op == ">=" else bisect.bisect_right
-    at = search(chunks, span.lower, key=lambda c: c.cut)
+    at = bisect.bisect_right(chunks, _start(span), key=lambda c: c.end)
     if at == len(chunks) or chunks[at].first > span.upper:
         return None
     return None if chunks[at].first == span.upper and span.hi_op == "<" else chunks[at]
 
 
-def next_cut(chunks: list[Chunk], span: OffsetRange):
-    """Where to stop when loading from the start of ``span``.
+def next_cut(chunks: list[Chunk], span: OffsetRange) -> tuple[object, Place | None] | None:
+    """The offset, and the place among its rows, where to stop when loading from the start of ``span``.
 
     None is the end of the span: no planned row of it lies behind the chunk.
     """
     chunk = _due(chunks, span)
-    if chunk is None or chunk.cut >= span.upper:
+    if chunk is None or chunk.cut > span.upper or (chunk.cut == span.upper and chunk.place is None):
         return None
-    following = _due(chunks, span.moved_to(chunk.cut))
-    return None if following is None else chunk.cut
+    following = _due(chunks, span.moved_to(chunk.cut, after=chunk.place))
+    return None if following is None else (chunk.cut, chunk.place)
 
 
 def refine_chunks(
-    offsets: Offsets, kind: OffsetType, chunks: list[Chunk], ranges: list[OffsetRange], cap: int
+    offsets: Offsets, kind: OffsetType, chunks: list[Chunk], ranges: list[OffsetRange], cap: int, ties: Ties | None = None
 ) -> tuple[list[Chunk], bool]:
     """Cut the chunks that ``ranges`` are about to load down to ``cap`` rows.
 
     Only chunks that are next in line are looked at, so a step costs at most a
-    few passes over a narrow part of the offset column. Returns the chunks and
-    whether they changed.
+    few passes over a narrow part of the offset column. A chunk of a single offset is cut by ``ties``.
+    Returns the chunks and whether they changed.
     """
     changed = False
     while True:
-        due = {}
+        due: dict[tuple, Chunk] = {}
+        cut: list[Chunk] = []
         for span in ranges:
             chunk = _due(chunks, span)
-            if chunk and chunk.full:
-                due[chunk.cut] = chunk
+            if not chunk or not chunk.full or chunk.end in due:
+                continue
+            due[chunk.end] = chunk
+            if chunk.first == chunk.cut:
+                after = span.after if span.lower == chunk.cut else None
+                found = ties(OffsetRange(0, chunk.cut, chunk.cut, after=after), cap) if ties else None
+                cut.extend(found or [replace(chunk, full=False, finer=True)])
         if not due:
             return chunks, changed
-        parts = [due[cut] for cut in sorted(due)]
+        parts = [due[end] for end in sorted(due) if due[end].first < due[end].cut]
         spans = [OffsetRange(i, c.first, c.cut) for i, c in enumerate(parts)]
-        found = histogram(offsets, kind, spans, share(len(spans)))
-        cut = []
+        found = histogram(offsets, kind, spans, share(len(spans))) if spans else []
         for part, buckets in zip(parts, found, strict=True):
             pieces = chunks_of(buckets, cap)
             if len(pieces) == 1 and (pieces[0].first, pieces[0].cut) == (part.first, part.cut):
                 # The values are closer than a bucket can tell apart.
                 pieces[0].full = False
             cut.extend(replace(piece, finer=True) for piece in pieces)
-        kept = [c for c in chunks if c.cut not in due]
-        chunks = sorted(kept + cut, key=lambda c: c.cut)
+        kept = [c for c in chunks if c.end not in due]
+        chunks = sorted(kept + cut, key=lambda c: c.end)
         changed = True
 
 
 def still_open(chunks: list[Chunk], ranges: list[OffsetRange]) -> list[Chunk]:
     """Chunks of which some range has anything left."""
-    return [
-        c
-        for c in chunks
-        if any((c.cut > r.lower or (c.cut == r.lower and r.lo_op == ">=")) and c.first <= r.upper for r in ranges)
-    ]
+    return [c for c in chunks if any(c.end > _start(r) and c.first <= r.upper for r in ranges)]
 
 
 def with_finer(chunks: list[Chunk], finer: list[Chunk]) -> list[Chunk]:
@@ -190,7 +235,7 @@ def with_finer(chunks: list[Chunk], finer: list[Chunk]) -> list[Chunk]:
         at = bisect.bisect_left(cuts, chunk.first)
         return at < len(cuts) and first[cuts[at]] <= chunk.cut
 
-    return sorted([c for c in chunks if not replaced(c)] + finer, key=lambda c: c.cut)
+    return sorted([c for c in chunks if not replaced(c)] + finer, key=lambda c: c.end)
 
 
 def quantile_cuts(df: DataFrame, offset: str, whole: OffsetRange, parts: int, tolerance: float = 0.0) -> list:

@@ -25,15 +25,17 @@ from contextlib import contextmanager
 from dataclasses import asdict, replace
 from time import sleep, time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangeload.operators.filters import all_of, as_column
+from rangeload.operators.ranges import RangeScan
 from rangeload.operators.scan import check_columns
 from rangeload.operators.stats import OffsetStats, offset_stats
 from rangeload.options import LoadOptions
 from rangeload.plans.bounds import (
+    MOST_CONDITIONS,
     OffsetRange,
     hull,
     planned_ranges,
@@ -43,7 +45,7 @@ from rangeload.plans.bounds import (
     with_index,
 )
 from rangeload.plans.files import FileOffsets
-from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, refine_chunks, still_open, with_finer
+from rangeload.plans.histogram import Chunk, next_cut, plan_chunks, refine_chunks, still_open, tied_chunks, with_finer
 from rangeload.plans.offsets import OffsetType
 from rangeload.streaming.state import ConcurrentLoad, StateFiles
 
@@ -83,9 +85,11 @@ class IncrementalLoader:
     marks deleted rows, for ``options.include_deleted=False``. The offset column is always
     written, and hidden from :meth:`output` unless selected.
 
-    Every row is loaded once: a cut takes all rows that share its offset, the
-    next step continues behind it, and a step that failed is repeated as planned
-    into the same folder. A root belongs to one load: offset column, columns, filter
+    Every row is loaded once: the next step continues behind a cut, and a step that failed is
+    repeated as planned into the same folder. Of rows that share an offset and are more than the
+    cap, a step takes some by their place (file and row number), if the source is a scan of Parquet files; a reader's
+    rows are taken all at once. Files that most steps would have to open
+    are first copied in offset order into the root, and the copy goes when it is loaded. A root belongs to one load: offset column, columns, filter
     and reader have to be the same when it is continued. One loader works on it at a
     time: a second one that steps or polls takes over, if it knows the latest state,
     and the first is refused from then on.
@@ -114,6 +118,7 @@ class IncrementalLoader:
         self._looked_at_files = False
         self._known: dict[str, int] = {}
         self._scattered = False
+        self._staged: tuple[str, FileOffsets] | None = None
         self._owner: int | None = None
         self._failed = False
         self._refresh()
@@ -174,6 +179,9 @@ class IncrementalLoader:
     def _rows(self, spans: list[OffsetRange]) -> DataFrame:
         """Rows of the load inside ``spans``."""
         predicate = F.expr(predicate_over(self.offset, spans, self.kind))
+        if self._state["staged"] is not None:
+            copy, files = self._staged_copy()
+            return files.narrow(copy, spans).where(predicate)
         if callable(self._source):
             rows = self._source(self.spark, predicate)
         else:
@@ -195,6 +203,41 @@ class IncrementalLoader:
             self._files = FileOffsets.collect(rows, self.offset, path, self._where, self._known)
         return self._files.stats() if self._files else offset_stats(rows, self.offset, self._where)
 
+    # -- a copy in offset order ------------------------------------------------
+
+    def _staged_copy(self) -> tuple[DataFrame, FileOffsets]:
+        """The staged copy, and the offsets of its files."""
+        path = self._state["staged"]
+        if self._staged is None or self._staged[0] != path:
+            self._staged = (path, FileOffsets.written(self.spark, f"{path}/offsets", self.kind))
+        rows = self.spark.read.schema(T.StructType(self._fields())).parquet(f"{path}/rows")
+        return rows, self._staged[1]
+
+    def _stage(self) -> str:
+        """Write the rows of the open ranges anew in offset order; where they are.
+
+        One shuffle by edges from a histogram. Each file then holds a narrow slice of the offsets, so
+        all steps together open it about once.
+        """
+        state, path = self._state, f"{self.root}/staged/{self._state['version']:06d}"
+        hidden = [] if self._selects_offset() else [self.offset]
+        rows = self._rows(state["ranges"]).select(*self.columns, *hidden)
+        whole = RangeScan(rows, self.offset, [hull(state["ranges"])])
+        whole.ordered(range_id="__staged").drop("__staged").write.mode("overwrite").parquet(f"{path}/rows")
+        FileOffsets.collect(self.spark.read.parquet(f"{path}/rows"), self.offset, f"{path}/offsets")
+        return path
+
+    def _opened_often(self) -> bool:
+        """Whether the steps planned would open the files more than three times as often as if they were in order."""
+        if not self._files or not self._chunks:
+            return False
+        opened, files = 0, self._files.count()
+        by_range = [[c for c in self._chunks if r.lower <= c.cut <= r.upper] for r in self._state["ranges"]]
+        for step in range(max(map(len, by_range))):
+            due = [chunks[step] for chunks in by_range if step < len(chunks)]
+            opened += min(files, sum(self._files.many_overlapping(c.first, c.cut) for c in due))
+        return opened > 3 * files and opened > 3 * (files + len(self._chunks))
+
     # -- state ---------------------------------------------------------------
 
     def _begin(self) -> dict:
@@ -222,6 +265,7 @@ class IncrementalLoader:
             "planned_rows": stats.rows,
             "cuts": None,
             "finer": None,
+            "staged": None,
             "without_offset": stats.without_offset,
             "initial_offset": self.kind.to_text(low),
             "left": stats.rows,
@@ -254,14 +298,15 @@ class IncrementalLoader:
             return None
         state = self._documents.read("state", numbers[-1])
         state["ranges"] = [self._range(r) for r in state["ranges"]]
+        state.setdefault("staged", None)
         if state["max_offset"] is not None:
             state["max_offset"] = self.kind.parse(state["max_offset"])
         return state
 
     def _range(self, saved: dict) -> OffsetRange:
-        return OffsetRange(
-            **{**saved, "lower": self.kind.parse(saved["lower"]), "upper": self.kind.parse(saved["upper"])}
-        )
+        ends = {name: self.kind.parse(saved[name]) for name in ("lower", "upper")}
+        places = {name: tuple(saved[name]) for name in ("after", "until") if saved.get(name)}
+        return OffsetRange(**{**saved, **ends, **places})
 
     def _status(self, state: dict) -> str:
         if state["ranges"]:
@@ -279,16 +324,20 @@ class IncrementalLoader:
             self._chunks = []
             if state["planned_rows"] > cap:
                 self._chunks = plan_chunks(self._offsets, self.kind, state["ranges"], cap, state["planned_rows"])
+                if self._opened_often():
+                    state["staged"] = self._stage()
             state["cuts"], state["finer"] = self._keep("cuts", self._chunks), None
         self._chunks = still_open(self._chunks, state["ranges"])
-        self._chunks, refined = refine_chunks(self._offsets, self.kind, self._chunks, state["ranges"], cap)
+        self._chunks, refined = refine_chunks(self._offsets, self.kind, self._chunks, state["ranges"], cap, self._ties)
         if refined:  # only what was cut since the planning is written again
             state["finer"] = self._keep("finer", [c for c in self._chunks if c.finer])
         return self._chunks
 
     def _saved(self, kind: str, number: int | None) -> list[Chunk]:
         saved = [] if number is None else self._documents.read(kind, number)["chunks"]
-        return [Chunk(**{**c, "first": self.kind.parse(c["first"]), "cut": self.kind.parse(c["cut"])}) for c in saved]
+        parse = self.kind.parse
+        ends = [{"first": parse(c["first"]), "cut": parse(c["cut"]), "place": tuple(c["place"]) if c.get("place") else None} for c in saved]
+        return [Chunk(**{**c, **e}) for c, e in zip(saved, ends, strict=True)]
 
     def _keep(self, kind: str, chunks: list[Chunk]) -> int:
         text, number = self.kind.to_text, self._state["step"] + 1
@@ -299,21 +348,27 @@ class IncrementalLoader:
     def _offsets(self, spans: list[OffsetRange]) -> DataFrame:
         return self._rows(spans).select(F.col(self.offset).alias("offset"))
 
+    def _ties(self, span: OffsetRange, cap: int) -> list[Chunk] | None:
+        """Chunks of rows that share an offset; a reader's rows have no place that a later read could go by."""
+        if callable(self._source) and self._state["staged"] is None:
+            return None
+        return tied_chunks(self._rows([span]), span.lower, cap)
+
     def _next_pieces(self, number: int) -> list[OffsetRange]:
         """What the step loads of each range. Saved before any data is written,
         so a step that is run again loads exactly the same rows."""
         plan = self._documents.read("plan", number)
         if plan is not None:
-            self._state["cuts"], self._state["finer"] = plan["cuts"], plan.get("finer")
+            self._state |= {name: plan.get(name) for name in ("cuts", "finer", "staged")}
             return [self._range(r) for r in plan["pieces"]]
         chunks = self._planned_chunks()
         pieces = []
         for span in self._state["ranges"]:
             cut = next_cut(chunks, span)
-            pieces.append(replace(span, done=True) if cut is None else replace(span, upper=cut, hi_op="<="))
+            pieces.append(replace(span, done=True) if cut is None else replace(span, upper=cut[0], hi_op="<=", until=cut[1]))
         text = self.kind.to_text
         saved = [{**asdict(p), "lower": text(p.lower), "upper": text(p.upper)} for p in pieces]
-        kept = {"cuts": self._state["cuts"], "finer": self._state.get("finer")}
+        kept = {name: self._state.get(name) for name in ("cuts", "finer", "staged")}
         self._documents.write("plan", number, {"pieces": saved, **kept})
         return pieces
 
@@ -346,13 +401,12 @@ class IncrementalLoader:
         rows = self._rows(pieces).select(*self.columns, *hidden)
         if self._scattered:  # a few rows from each of many files would be as many files again
             rows = rows.hint("rebalance")
-        rows.write.mode("overwrite").parquet(path)
-        counted = self._count(path, pieces)
+        counted = self._write(rows, path, pieces)
 
         ranges, done = [], []
         for span, piece in zip(state["ranges"], pieces, strict=True):
             loaded, last = counted.get(piece.id, (0, None))
-            left = replace(span, done=True) if piece.done else span.moved_to(piece.upper)
+            left = replace(span, done=True) if piece.done else span.moved_to(piece.upper, after=piece.until)
             ranges.append(left)
             done.append(
                 {
@@ -378,11 +432,36 @@ class IncrementalLoader:
             "started_ms": int(start * 1000),
             "took_ms": int((time() - start) * 1000),
         }
+        if not saved["ranges"]:
+            saved["staged"] = None
         self._state = self._save(saved)
+        if state["staged"] and not saved["staged"]:
+            self._documents.remove(state["staged"])
         return loaded
 
-    def _count(self, path: str, pieces: list[OffsetRange]) -> dict[int, tuple]:
-        """Rows and last offset per range, from the files the step wrote."""
+    def _write(self, rows: DataFrame, path: str, pieces: list[OffsetRange]) -> dict[int, tuple]:
+        """Write a step; rows and last offset per range.
+
+        They are observed while the rows are written. Many ranges would be many expressions a row, so
+        for these the offsets written are counted.
+        """
+        observed = None
+        if len(pieces) <= MOST_CONDITIONS:
+            metrics = []
+            for i, piece in enumerate(pieces):
+                inside = F.expr(replace(piece, after=None, until=None).predicate(self.offset, self.kind))
+                last = F.max(F.when(inside, self.kind.collectable(self.offset)))
+                metrics += [F.count_if(inside).alias(f"rows_{i}"), last.alias(f"last_{i}")]
+            observed = Observation()
+            rows = rows.observe(observed, *metrics)
+        rows.write.mode("overwrite").parquet(path)
+        return self._count(path, pieces, observed)
+
+    def _count(self, path: str, pieces: list[OffsetRange], observed: Observation | None) -> dict[int, tuple]:
+        """Rows and last offset per range, as observed, or else from the files the step wrote."""
+        if observed is not None:
+            found = observed.get
+            return {p.id: (found[f"rows_{i}"], self.kind.collected(found[f"last_{i}"])) for i, p in enumerate(pieces)}
         written = self.spark.read.schema(T.StructType([T.StructField(self.offset, self.kind.data_type)])).parquet(path)
         counted = (
             with_index(written, "__piece", self.offset, [p.lower for p in pieces], self.kind)
@@ -446,6 +525,7 @@ class IncrementalLoader:
             "without_offset": without,
             "cuts": None,
             "finer": None,
+            "staged": None,
             "done": [],
         }
         self._state = self._save(planned)
@@ -485,12 +565,15 @@ class IncrementalLoader:
     def _selects_offset(self) -> bool:
         return self.offset.lower() in {c.lower() for c in self.columns}
 
-    def output(self) -> DataFrame:
-        """All rows of the steps that were completed."""
+    def _fields(self) -> list[T.StructField]:
+        """The columns that steps write."""
         types = {f.name.lower(): f for f in self._table.schema}
         names = self.columns if self._selects_offset() else [*self.columns, self.offset]
-        fields = [T.StructField(n, types[n.lower()].dataType) for n in names]
-        steps = self._state["step"]
+        return [T.StructField(n, types[n.lower()].dataType) for n in names]
+
+    def output(self) -> DataFrame:
+        """All rows of the steps that were completed."""
+        fields, steps = self._fields(), self._state["step"]
         if not steps:
             return self.spark.createDataFrame([], T.StructType(fields)).select(*self.columns)
         written = T.StructType([*fields, T.StructField(STEP, T.IntegerType())])

@@ -65,6 +65,11 @@ class StateFiles:
         names = [status.getPath().getName() for status in fs.listStatus(folder)]
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
 
+    def remove(self, path: str) -> None:
+        """Delete a folder of the load with all it holds."""
+        hadoop_path, fs = self._open(path)
+        fs.delete(hadoop_path, True)
+
     def exists(self, path: str) -> bool:
         hadoop_path, fs = self._open(path)
         return fs.exists(hadoop_path)
