@@ -219,7 +219,7 @@ class IncrementalLoader:
         One shuffle by edges from a histogram. Each file then holds a narrow slice of the offsets, so
         all steps together open it about once.
         """
-        state, path = self._state, f"{self.root}/staged/{self._state['version']:06d}"
+        state, path = self._state, f"{self.root}/staged/{self._state['version']:06d}-{self._owner:06d}"
         hidden = [] if self._selects_offset() else [self.offset]
         rows = self._rows(state["ranges"]).select(*self.columns, *hidden)
         whole = RangeScan(rows, self.offset, [hull(state["ranges"])])
@@ -266,6 +266,7 @@ class IncrementalLoader:
             "cuts": None,
             "finer": None,
             "staged": None,
+            "owners": [],
             "without_offset": stats.without_offset,
             "initial_offset": self.kind.to_text(low),
             "left": stats.rows,
@@ -287,6 +288,7 @@ class IncrementalLoader:
                 **state,
                 "ranges": [{**asdict(r), "lower": text(r.lower), "upper": text(r.upper)} for r in state["ranges"]],
                 "max_offset": text(state["max_offset"]),
+                "owner": self._owner,
                 "status": self._status(state),
             },
         )
@@ -298,7 +300,7 @@ class IncrementalLoader:
             return None
         state = self._documents.read("state", numbers[-1])
         state["ranges"] = [self._range(r) for r in state["ranges"]]
-        state.setdefault("staged", None)
+        state = {"staged": None, "owners": []} | state
         if state["max_offset"] is not None:
             state["max_offset"] = self.kind.parse(state["max_offset"])
         return state
@@ -340,7 +342,8 @@ class IncrementalLoader:
         return [Chunk(**{**c, **e}) for c, e in zip(saved, ends, strict=True)]
 
     def _keep(self, kind: str, chunks: list[Chunk]) -> int:
-        text, number = self.kind.to_text, self._state["step"] + 1
+        # loaders that plan the same step at once keep cuts of their own; whose plan is written first decides
+        text, number = self.kind.to_text, (self._state["step"] + 1) * 1_000_000 + self._owner
         kept = [{**asdict(c), "first": text(c.first), "cut": text(c.cut)} for c in chunks]
         self._documents.write(kind, number, {"chunks": kept}, replace=True)
         return number
@@ -422,9 +425,13 @@ class IncrementalLoader:
                 }
             )
         loaded = sum(d["rows"] for d in done)
+        owners = state["owners"]
+        if not owners or owners[-1][1] != self._owner:
+            owners = [*owners, [number, self._owner]]
         saved = {
             **state,
             "step": number,
+            "owners": owners,
             "ranges": recreate_ranges(ranges, self.options.num_ranges, self.kind),
             "rows": state["rows"] + loaded,
             "left": state.get("left", loaded) - loaded,
@@ -560,7 +567,8 @@ class IncrementalLoader:
         return FAILED if self._failed else self._status(self._state)
 
     def _data_path(self, number: int) -> str:
-        return f"{self.root}/data/{STEP}={number:06d}"
+        """Where a step is written: apart from what another loader writes for the same step."""
+        return f"{self.root}/data/{STEP}={number:06d}-{self._owner:06d}"
 
     def _selects_offset(self) -> bool:
         return self.offset.lower() in {c.lower() for c in self.columns}
@@ -576,9 +584,17 @@ class IncrementalLoader:
         fields, steps = self._fields(), self._state["step"]
         if not steps:
             return self.spark.createDataFrame([], T.StructType(fields)).select(*self.columns)
-        written = T.StructType([*fields, T.StructField(STEP, T.IntegerType())])
+        written = T.StructType([*fields, T.StructField(STEP, T.StringType())])
         rows = self.spark.read.schema(written).parquet(f"{self.root}/data")
-        return rows.where(F.col(STEP) <= steps).select(*self.columns)
+        return rows.where(self._completed()).select(*self.columns)
+
+    def _completed(self) -> str:
+        """Condition for the folders of completed steps, by whom each was completed."""
+        state = self._state
+        step, owner = (f"CAST(split({STEP}, '-')[{i}] AS INT)" for i in (0, 1))
+        ends = [first - 1 for first, _ in state["owners"][1:]] + [state["step"]]
+        by_owner = zip(state["owners"], ends, strict=True)
+        return " OR ".join(f"({owner} = {of} AND {step} BETWEEN {first} AND {last})" for (first, of), last in by_owner)
 
     def progress(self) -> DataFrame:
         """One row per range and step: bounds, cursor, rows, and the step's time; whether

@@ -1,7 +1,8 @@
 """Small JSON documents of a load, kept beside its data.
 
-Written to a temporary name and renamed, so a document is there whole or not at
-all. Goes through the Hadoop file system, hence to wherever the data lies.
+Written under another name and then given their own, which fails if it is taken: a document is
+there whole or not at all, and of two loaders that write the same one, one is
+refused. Goes through the Hadoop file system, hence to wherever the data lies.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -20,7 +22,7 @@ class StateFiles:
     """Numbered documents of a few kinds under one folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
         self._root = root.rstrip("/")
 
@@ -43,10 +45,32 @@ class StateFiles:
             out.close()
         if replace:
             fs.delete(target, False)
-        # a rename onto a file that is there fails on a cluster's file system, and would replace it on a local one
-        if fs.exists(target) or not fs.rename(draft, target):
+        try:
+            self._publish(draft, target, fs)
+        except Py4JJavaError as error:
+            if not error.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+                raise
+            raise ConcurrentLoad(f"{target.toString()} was written by another loader") from None
+        finally:
             fs.delete(draft, False)
-            raise ConcurrentLoad(f"{target.toString()} was written by another loader")
+
+    def _publish(self, draft, target, fs) -> None:
+        """Give a draft its name, in one step that fails if the name is taken.
+
+        On a local disk a rename would replace the file that has it, and a look beforehand could
+        come too early, so the name is made as a second link to the draft. Elsewhere the
+        file system itself refuses a rename that is not to overwrite.
+        """
+        if fs.getUri().getScheme() == "file":
+            files = self._jvm.java.nio.file.Files
+            one, other = (self._jvm.java.io.File(fs.makeQualified(path).toUri().getPath()).toPath() for path in (target, draft))
+            files.createLink(one, other)
+            return
+        mode = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        modes = self._gateway.new_array(mode, 1)
+        modes[0] = getattr(mode, "NONE")
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        context.rename(draft, target, modes)
 
     def read(self, kind: str, number: int) -> dict | None:
         path, fs = self._open(self.path(kind, number))

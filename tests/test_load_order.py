@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ from rangeload import IncrementalLoader, LoadOptions, OffsetRange
 from rangeload.plans.bounds import joined, rebuild_ranges
 from rangeload.plans.histogram import Chunk, next_cut, still_open, tied_chunks
 from rangeload.plans.offsets import OffsetType
+from rangeload.streaming.state import ConcurrentLoad, StateFiles
 
 
 def options(**given):
@@ -253,3 +255,64 @@ def test_many_ranges_are_counted_from_the_files(spark, folder):
     loader.load_available()
     assert ids(loader) == Counter(range(2000))
     assert loader.progress().agg(F.sum("rows")).first()[0] == 2000
+
+
+# -- two loaders --------------------------------------------------------------------
+
+
+class Interleaved(StateFiles):
+    """Lets another loader make a step before the ``turn``-th document is written."""
+
+    def __init__(self, spark, root):
+        super().__init__(spark, root)
+        self.turn, self.other, self.refused = -1, None, None
+
+    def write(self, *given, **named):
+        self.turn -= 1
+        if self.turn == 0:
+            try:
+                self.other.step()
+            except ConcurrentLoad as error:
+                self.refused = error
+        super().write(*given, **named)
+
+
+@pytest.mark.parametrize("turn", [1, 2, 3, 4, 5])
+def test_of_two_interleaved_loaders_one_is_refused(spark, folder, turn):
+    path = shuffled(spark, folder, files=8, many=800)
+    given = options(num_ranges=2, max_records=40)
+    one, two = (IncrementalLoader(spark, path, f"{folder}/load", given) for _ in range(2))
+    documents = one._documents = Interleaved(spark, f"{folder}/load")
+    documents.turn, documents.other = turn, two
+    refused = None
+    try:
+        one.step()
+    except ConcurrentLoad as error:
+        refused = error
+    wrote = documents.turn <= 0  # the other had its turn
+    assert wrote == bool(refused or documents.refused)
+    last = IncrementalLoader(spark, path, f"{folder}/load", given)
+    assert last._state["step"] == 1 and last.output().count() == last._state["rows"] > 0
+    last.load_available()
+    assert ids(last) == Counter(range(800))
+
+
+def test_a_name_is_given_once(spark, folder):
+    documents = StateFiles(spark, folder)
+    draft = Path(folder, "state", ".draft.tmp")
+    documents.write("state", 1, {"a": 1})
+    draft.write_text("{}")
+    target, fs = documents._open(documents.path("state", 1))
+    with pytest.raises(Py4JJavaError, match="FileAlreadyExists"):
+        documents._publish(documents._open(str(draft))[0], target, fs)
+    assert documents.read("state", 1) == {"a": 1}
+    assert sorted(p.name for p in Path(folder, "state").iterdir() if p.suffix == ".json") == ["000001.json"]
+
+
+def test_names_are_given_once_on_other_file_systems(spark, folder):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.names.link./in", f"file://{folder}")
+    documents = StateFiles(spark, "viewfs://names/in/load")
+    documents.write("state", 1, {"a": 1})
+    with pytest.raises(ConcurrentLoad):
+        documents.write("state", 1, {"a": 2})
+    assert documents.read("state", 1) == {"a": 1}
