@@ -132,7 +132,7 @@ def pack(df: DataFrame, capacity: int, *, length: str = "length", block: str = "
 
 
 def token_pieces(
-    df: DataFrame, path: str, capacity: int, *, key: str = "doc_id", text: str = "text", end_id: int = 0, keep_ids: bool = False, most_words: int = 800_000
+    df: DataFrame, path: str, capacity: int, *, key: str = "doc_id", text: str = "text", end_id: int = 0, keep_ids: bool = False, most_words: int = 250_000
 ) -> DataFrame:
     """Every text as token ids with ``end_id`` behind, cut into pieces of ``capacity`` ids.
 
@@ -178,7 +178,9 @@ def token_pieces(
             ]
             names = ["key", "piece", "start", "length", "ids_crc32", "block", "rank"]
             if keep_ids:
-                arrays.append(pa.array([np.frombuffer(part, "<u4").astype(np.int32) for part in ids], pa.list_(pa.int32())))
+                ends = np.cumsum([0, *lengths]).astype(np.int32)
+                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), flat))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
