@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 #: Bytes as the dictionaries and texts are compared: small ASCII letters, other ASCII as space, the rest as it is.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a letter is in ``text``; numerals such as a half or a superscript two are none."""
+    return any(found[0].isalpha() for found in _WORDLIKE.finditer(text))
 
 
 def plain(text: str) -> bytes:
@@ -78,7 +83,7 @@ class Compressors:
         return [sum(len(c.compress(piece)) for piece in pieces) for c in self.compressors]
 
     def judge(self, text: str | None, margin: float) -> tuple[str, float, bool]:
-        if not text or not _LETTER.search(text) or not self.names:
+        if not text or not has_letter(text) or not self.names:
             return "und", 0.0, False
         data = plain(text)
         sizes = self.sizes(data)

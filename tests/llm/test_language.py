@@ -48,3 +48,10 @@ def test_nothing_learned(spark):
     assert learn_dictionaries(empty) == {}
     assert predict_language(empty, {}).collect() == []
     assert {r["lang_pred"] for r in predict_language(documents(spark), {}).collect()} == {"und"}
+
+
+def test_numerals_are_no_letters(spark):
+    learned = learn_dictionaries(documents(spark, corpus(200, 1)))
+    rows = [(1, "½ ²", None, None, 0), (2, "½ a", None, None, 0), (3, "①_ 12", None, None, 0), (4, "٣", None, None, 0), (5, "日", None, None, 0)]
+    found = {r["doc_id"]: r["lang_pred"] for r in predict_language(documents(spark, rows), learned).collect()}
+    assert [found[i] == "und" for i in range(1, 6)] == [True, False, True, True, False]
