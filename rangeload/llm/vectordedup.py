@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rangeload.llm.common import settle, unpacked, whole
@@ -42,12 +42,15 @@ class MultiIndex:
 
     ``width`` bits of a substring grow with the logarithm of the number of vectors. As
     many tables are made as it takes for pairs at exactly the threshold, drawn around
-    the vectors of the sample, to share one with probability ``recall``.
+    the vectors of the sample, to share one with probability ``recall``; it is an error if that
+    takes more than ``most_tables``.
     """
 
     def __init__(self, sample: np.ndarray, rows: int, threshold: float, recall: float, most_tables: int = 512):
         self.width = min(30, max(6, math.ceil(math.log2(max(2, rows))) + 1))
-        self.mean = sample.mean(axis=0)
+        bits = min(_BITS, sample.shape[1])
+        few = len(sample) < 4 * bits  # these would not balance a code: random rotations around zero
+        self.mean = np.zeros(sample.shape[1]) if few else sample.mean(axis=0)
         centred = sample - self.mean
         draw = np.random.default_rng(5)
         noise = draw.normal(size=sample.shape)
@@ -55,11 +58,16 @@ class MultiIndex:
         noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
         partner = threshold * sample + math.sqrt(1 - threshold**2) * noise
         self.rotations: list[np.ndarray] = []
-        bits = min(_BITS, sample.shape[1])
         self.tables = 0
         missed = np.ones(len(sample), bool)
-        while missed.mean() > 1 - recall and self.tables < most_tables and bits:
-            self.rotations.append(learn_rotation(centred, len(self.rotations)))
+        while missed.mean() > 1 - recall and bits:
+            if self.tables >= most_tables:
+                raise ValueError(f"{most_tables} tables find {1 - missed.mean():.3f} of pairs at {threshold}, not {recall}; allow more or ask for less")
+            if few:
+                turn, _ = np.linalg.qr(np.random.default_rng(len(self.rotations)).normal(size=(sample.shape[1], sample.shape[1])))
+                self.rotations.append(turn[:, :bits])
+            else:
+                self.rotations.append(learn_rotation(centred, len(self.rotations)))
             self.tables = len(self.rotations) * bits // self.width
             if self.tables:
                 missed = ~(self.keys(sample) == self.keys(partner)).any(axis=1)
@@ -129,8 +137,8 @@ def near_duplicates(
 
     Equal vectors are one node. Substrings that many vectors share are worked through in
     blocks of ``block_rows`` against each other; pairs stay inside a task, which gives
-    back counts and a spanning forest. Only the sample for the rotations and a few
-    numbers reach the driver.
+    back counts and a spanning forest. Only the sample for the rotations, ``sample_rows`` vectors
+    of each length at most, and a few numbers reach the driver.
 
     Null and zero vectors, those with null or non-finite components, and rows with a
     null key link with nothing: 0 links, their own component, kept. Vectors of other
@@ -141,10 +149,13 @@ def near_duplicates(
     spark = df.sparkSession
     columns = df.columns
     rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("vector"))
-    grouped = rows.where("id is not null and vector is not null").groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    nodes = settle(grouped)
+    grouped = rows.where(F.col("id").isNotNull() & usable("vector")).groupBy("vector").agg(F.min("id").alias("least"), F.count("*").alias("weight"))
+    # a number for each vector, since an id may be on several
+    nodes = settle(grouped.withColumn("id", F.monotonically_increasing_id()))
     sample: dict[int, list] = {}
-    for batch in nodes.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(sample_rows).toArrow().to_batches():
+    by_hash = Window.partitionBy(F.size("vector")).orderBy(F.xxhash64("vector"), "id")
+    picked = nodes.select("id", "vector", F.row_number().over(by_hash).alias("nth")).where(F.col("nth") <= sample_rows)
+    for batch in picked.select("id", "vector").toArrow().to_batches():
         for n, (ids, matrix) in by_length(batch.column(0), batch.column(1)).items():
             sample.setdefault(n, []).append(unit_rows(ids, matrix)[1])
     many = nodes.count()
@@ -183,7 +194,7 @@ def near_duplicates(
     members = members.select("id", *place, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     members = members.select("id", *place, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     units = [*place, "low", "high"]
-    met = members.join(nodes, "id").repartition(*units).sortWithinPartitions(*units).select("id", "weight", "vector", "own", *units)
+    met = members.join(nodes.drop("least"), "id").repartition(*units).sortWithinPartitions(*units).select("id", "weight", "vector", "own", *units)
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -238,13 +249,10 @@ def near_duplicates(
     judged = settle(met.mapInArrow(rerank, "a long, n long, b long"))
     linked = judged.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
     roots = connected_components(judged.where("b is not null").select("a", "b"))
-    nodes = nodes.join(linked, "id", "left").join(roots.select(F.col("node").alias("id"), "component"), "id", "left")
-    nodes = nodes.select(
-        F.col("vector").alias("same"),
-        F.coalesce("others", F.lit(0)).alias("others"),
-        F.coalesce("component", "id").alias("component"),
-        "weight",
-    )
+    nodes = nodes.join(linked, "id", "left").join(roots.select(F.col("node").alias("id"), F.col("component").alias("root")), "id", "left")
+    nodes = nodes.withColumn("root", F.coalesce("root", "id"))
+    least = nodes.groupBy("root").agg(F.min("least").alias("component"))
+    nodes = nodes.join(least, "root").select(F.col("vector").alias("same"), F.coalesce("others", F.lit(0)).alias("others"), "component", "weight")
     component = F.col("component")
     alone = F.col("id").isNull() | ~usable("vector")
     packed = df.select(whole(df).alias("row"), F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("vector"))

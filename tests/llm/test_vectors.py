@@ -103,3 +103,27 @@ def test_codes_are_balanced():
     index = MultiIndex(sample, 2000, 0.9, 0.95)
     signs = (sample - index.mean) @ index.rotations[0] >= 0
     assert abs(signs.mean(axis=0) - 0.5).max() < 0.1
+
+
+def test_one_id_on_several_vectors(spark):
+    draw = np.random.default_rng(3)
+    centre = draw.normal(size=8)
+    near = [np.float32(centre + 0.05 * draw.normal(size=8)).tolist() for _ in range(4)]
+    rows = [(20, near[0]), (20, near[1]), (5, near[2]), (7, near[3]), (9, draw.normal(size=8).tolist())]
+    assert order(found_by(spark, rows)) == order(linked(rows))
+    assert sorted(r[1] for r in found_by(spark, rows)) == [0, 3, 3, 3, 3]
+
+
+def test_a_length_that_a_sample_of_all_would_miss(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, np.float32(draw.normal(size=8)).tolist()) for i in range(900)]
+    rows += [(2000, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]), (2001, [2.0, 4.0, 6.0, 8.0, 10.0, 12.0, 14.0]), (2002, [1.0, None, 3.0, 4.0, 5.0, 6.0, 7.0])]
+    made = {r[0]: r for r in found_by(spark, rows, sample_rows=64)}
+    assert made[2000][1:] == (1, 2000, True) and made[2001][1:] == (1, 2000, False) and made[2002][1:] == (0, 2002, True)
+
+
+def test_too_few_tables_are_an_error():
+    sample = np.random.default_rng(1).normal(size=(500, 32))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    with pytest.raises(ValueError, match="tables"):
+        MultiIndex(sample, 1 << 28, 0.7, 0.99, most_tables=8)
