@@ -1,9 +1,9 @@
 """Uniform random shards by an exact communication matrix.
 
-How many rows go from each input partition to each cell of the output is drawn from
+How many rows go from each input partition to each shard is drawn from
 the multivariate hypergeometric law of a uniform shuffle, so shard sizes are exact.
 The matrix is never held: a task draws its own row by descending a binary tree over
-the partitions, where each node splits its cell counts between its two halves with a
+the partitions, where each node splits its shards' counts between its two halves with a
 generator seeded by the node, so all tasks agree on every split.
 """
 
@@ -19,17 +19,15 @@ from pyspark.sql import functions as F
 from rangeload.llm.common import unpacked, whole, written
 
 
-def cell_sizes(rows: int, shards: int, cells: int) -> np.ndarray:
-    """Rows of each cell, ``cells`` to a shard; shards and a shard's cells differ by one row at most."""
-    shard = np.full(shards, rows // shards, dtype=np.int64)
-    shard[: rows % shards] += 1
-    sizes = np.repeat(shard // cells, cells).reshape(shards, cells)
-    sizes += np.arange(cells)[None, :] < (shard % cells)[:, None]
-    return sizes.ravel()
+def shard_sizes(rows: int, shards: int) -> np.ndarray:
+    """Rows of each shard; they differ by one at most."""
+    sizes = np.full(shards, rows // shards, dtype=np.int64)
+    sizes[: rows % shards] += 1
+    return sizes
 
 
 def matrix_row(sizes: np.ndarray, counts: np.ndarray, part: int, seed: int) -> np.ndarray:
-    """How many rows of partition ``part`` go to each cell."""
+    """How many rows of partition ``part`` go to each shard."""
     left = sizes
     low, high = 0, len(counts)
     before = np.concatenate([[0], np.cumsum(counts)])
@@ -48,8 +46,9 @@ def shuffle_into_shards(
 
     Shards hold as many rows as each other or one more; slots of a shard run from 0
     without a gap. Rows are first permuted within their input partition by the drawn
-    counts, then exchanged, then permuted within their cell of at most ``cell_rows``
-    rows, so no task orders a whole shard.
+    counts, then exchanged, then permuted within their shard: by random numbers, which cut it into cells of about
+    ``cell_rows`` rows, so that no task orders a whole shard. What a task draws
+    grows with the shards and the logarithm of the partitions.
 
     Rows are written to the shared folder first, each with its partition and place, so
     that neither a repeated task nor another cut of the scan, which follows the cores
@@ -78,8 +77,8 @@ def shuffle_into_shards(
     known = df.sparkSession.sparkContext.broadcast(counts)
 
     @F.pandas_udf("int")
-    def cell_of(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        part, cell = None, None
+    def shard_of(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        part, shard = None, None
         for place in places:
             place = place.to_numpy()
             found = np.zeros(len(place), np.int32)
@@ -88,18 +87,18 @@ def shuffle_into_shards(
             for some in np.split(np.arange(len(place)), cuts) if len(place) else ():
                 if part != int(place[some[0]] >> 33):
                     part = int(place[some[0]] >> 33)
-                    row = matrix_row(cell_sizes(rows, shards, cells), known.value, part, seed)
-                    cell = np.repeat(np.arange(len(row), dtype=np.int32), row)
-                    np.random.default_rng([seed, part]).shuffle(cell)
-                found[some] = cell[place[some] & ((1 << 33) - 1)]
+                    row = matrix_row(shard_sizes(rows, shards), known.value, part, seed)
+                    shard = np.repeat(np.arange(len(row), dtype=np.int32), row)
+                    np.random.default_rng([seed, part]).shuffle(shard)
+                found[some] = shard[place[some] & ((1 << 33) - 1)]
             yield pd.Series(found)
 
-    placed = placed.withColumn("cell", cell_of("place"))
-    local = Window.partitionBy("cell").orderBy(F.xxhash64("place", F.lit(seed)), "place")
-    ranked = placed.withColumn("n", F.row_number().over(local) - 1)
-    shard = F.floor(F.col("cell") / cells).cast("int")
-    size = F.lit(rows // shards) + F.when(shard < rows % shards, 1).otherwise(0)
-    nth = F.col("cell") % cells
-    start = nth * F.floor(size / cells) + F.least(nth, size % cells)
-    ranked = ranked.withColumn("shard", shard).withColumn("slot", (start + F.col("n")).cast("long"))
-    return unpacked(ranked, "row", columns, "shard", "slot")
+    # the second permutation: rows of a shard in the order of random numbers, cell by cell
+    number = F.xxhash64("place", F.lit(seed))
+    placed = placed.withColumn("shard", shard_of("place")).withColumn("cell", F.pmod(number, F.lit(cells)).cast("int"))
+    sizes = placed.groupBy("shard", "cell").count()
+    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("shard", "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    local = Window.partitionBy("shard", "cell").orderBy(number, "place")
+    ranked = placed.withColumn("n", F.row_number().over(local) - 1).join(starts, ["shard", "cell"])
+    return unpacked(ranked.withColumn("slot", (F.col("start") + F.col("n")).cast("long")), "row", columns, "shard", "slot")

@@ -5,16 +5,16 @@ import pytest
 from fixtures import documents
 
 from rangeload.llm.queries import op2_hypergeometric_shards
-from rangeload.llm.sharding import cell_sizes, matrix_row, shuffle_into_shards
+from rangeload.llm.sharding import matrix_row, shard_sizes, shuffle_into_shards
 
 
 def test_matrix_is_exact():
     counts = np.array([7, 0, 30, 1, 12])
-    sizes = cell_sizes(int(counts.sum()), 4, 3)
+    sizes = shard_sizes(int(counts.sum()), 4)
     rows = [matrix_row(sizes, counts, part, seed=5) for part in range(len(counts))]
     assert [row.sum() for row in rows] == counts.tolist()
     assert np.sum(rows, axis=0).tolist() == sizes.tolist()
-    assert sizes.max() - sizes.min() <= 2
+    assert sizes.max() - sizes.min() <= 1 and len(sizes) == 4
 
 
 def test_matrix_is_uniform():
