@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeload.llm.common import settle, unpacked, whole
+from rangeload.llm.common import settle, unpacked, whole, written
 
 HASH = ["h1", "h2"]
 _SPACE = " \t\n\x0b\f\r"
@@ -38,6 +38,7 @@ class LineRuns:
     """Levelled runs of (hash, documents, last document)."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
+        """``buckets`` is the number of files of a run, and of tasks that merge one."""
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"line_runs_{uuid.uuid4().hex}"
@@ -117,11 +118,26 @@ class LineRuns:
         self.levels, self.sightings = [[]], []
 
 
-def line_summary(df: DataFrame, key: str, text: str, min_length: int) -> DataFrame:
-    """One row per hash of long line keys: in how many rows of ``df``, and the largest ``key``."""
+def long_lines(df: DataFrame, key: str, text: str, min_length: int) -> DataFrame:
+    """A row (``doc, h1, h2``) for each long line key of each document; rows with one key are one document."""
     lines = F.array_distinct(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), line_key))
     keys = df.select(F.col(key).cast("long").alias("doc"), F.explode(lines).alias("line")).where(F.length("line") >= min_length)
-    return keys.select("doc", *_hashed(F.col("line"))).groupBy(*HASH).agg(F.count("*").alias("docs"), F.max("doc").alias("last"))
+    return keys.select("doc", *_hashed(F.col("line"))).distinct()
+
+
+def summed(lines: DataFrame, *more: str) -> DataFrame:
+    """One row per hash (and ``more``): in how many documents, and the largest of them."""
+    return lines.groupBy(*more, *HASH).agg(F.count("*").alias("docs"), F.max("doc").alias("last"))
+
+
+def line_batches(df: DataFrame, key: str, text: str, min_length: int, batches: int) -> list[DataFrame]:
+    """Summaries of the documents of ``df`` in so many batches, by a hash of their key, from one pass over the texts.
+
+    However the table is stored, the batches are about equal, and all rows with one key are in one of them.
+    """
+    lines = long_lines(df, key, text, min_length).withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)))
+    table = written(summed(lines, "batch"), "line-batches")
+    return [table.where(F.col("batch") == i).select(*HASH, "docs", "last") for i in range(batches)]
 
 
 def file_batches(df: DataFrame, batches: int) -> list[DataFrame]:
@@ -146,30 +162,37 @@ def drop_shared_lines(
     text: str = "text",
     min_length: int = 40,
     min_docs: int = 5,
-    batches: list[DataFrame] | None = None,
+    batches: list[DataFrame] | int = 5,
     fanout: int = 4,
+    bucket_hashes: int = 2_000_000,
 ) -> DataFrame:
     """``df`` with ``text`` lacking shared lines, and ``n_lines`` and ``n_dropped``.
 
     Texts are split at line feeds. A line whose key (see ``line_key``) has
-    ``min_length`` characters or more and occurs in ``min_docs`` rows or more is dropped
-    everywhere but in the row with the largest ``key`` that has it; what is left is
+    ``min_length`` characters or more and occurs in ``min_docs`` documents or more is dropped
+    everywhere but in the document with the largest ``key`` that has it; what is left is
     joined by line feeds again. ``batches`` is how ``df`` comes in: parts that make it
-    up. ``key`` is an integer.
+    up, no key in two of them, or a number of parts to deal its documents to. Runs have buckets of about
+    ``bucket_hashes`` at most. ``key`` is an integer.
 
     Texts are read once to fill the index and once to drop lines; only hashes, keys and
     positions of long lines are shuffled for the decision, and texts once to be
     rewritten. A null text counts as one empty line and becomes empty. Rows with one
-    key, such as repeated rows, count as so many documents; all of those with the
+    key, such as repeated rows, are one document; all of those with the
     largest key keep the line, and each loses lines of its own text only: rows are told
-    apart by key and a hash of the text. A null key is
-    smaller than any other and equal to itself. An empty table gives an empty result;
+    apart by key and a hash of the text. Rows without a key are one document too, whose key is
+    smaller than any other. An empty table gives an empty result;
     input columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
-    runs = LineRuns(df.sparkSession, fanout)
+    if isinstance(batches, int):
+        summaries = line_batches(df, key, text, min_length, batches)
+    else:
+        summaries = [settle(summed(long_lines(batch, key, text, min_length))) for batch in batches]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = LineRuns(df.sparkSession, fanout, max(least, sum(s.count() for s in summaries) // bucket_hashes))
     try:
-        for batch in batches or [df]:
-            runs.add(line_summary(batch, key, text, min_length))
+        for summary in summaries:
+            runs.add(summary)
         shared = runs.frequent(min_docs)
     finally:
         runs.clear()

@@ -37,11 +37,18 @@ def cycle_slots(parts: Mapping[str | None, int]) -> list[tuple[str | None, int,
     return slots
 
 
-def tempered_parts(df: DataFrame, source: str, size: Column, total: int) -> dict[str | None, int]:
-    """Whole parts for each source, about ``total`` in all, that grow with the root of its size."""
+def tempered_parts(df: DataFrame, source: str, size: Column, total: int, each: int = 50, most: int = 1 << 20) -> dict[str | None, int]:
+    """Whole parts for each source that grow with the root of its size.
+
+    There are about ``total`` in all, or ``each`` times the number of sources if that is more, so that an average source's
+    weight is rounded by a fiftieth at most; none has less than one part. The driver holds one row for each
+    source and a cycle of up to ``most`` slots: a column with more than some ten thousand values, such as web domains, should
+    be grouped to fewer sources first.
+    """
     sizes = df.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("size"))
     roots = {row["source"]: int(row["root"]) for row in sizes.select("source", F.floor(F.sqrt("size")).alias("root")).collect()}
     whole_root = sum(roots.values())
+    total = max(total, min(most, each * len(roots)))
     return {name: max(1, root * total // max(1, whole_root)) for name, root in roots.items()}
 
 
@@ -67,18 +74,22 @@ def mix_sources(
     Running sums are taken in pieces of about ``piece_rows`` rows and then over the
     pieces, so a source that holds most rows is spread over many tasks. All rows are kept,
     also those of a source without parts or weight: they come with a null ``slot``, after the
-    rest. A null source is a source of its own; a null key counts as empty text; rows
-    with one key are ordered by their size; an empty table gives an empty result; input
+    rest. A null source is a source of its own; the md5 of a null key is that of a hash of the whole row, so that
+    many of them are spread; rows with one key are ordered by their size and then by a hash of the
+    row, and rows that are wholly equal have no order; an empty table gives an empty result; input
     columns with the name of an added one are replaced.
     """
     columns = df.columns
+    hashable = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    tie = F.xxhash64(*[F.col(f"`{name}`") for name in hashable])
     size = F.lit(1) if size is None else size
     rows = df.select(
         whole(df).alias("row"),
         F.coalesce(F.col(source), F.lit("")).alias("name"),
         F.col(source).isNull().alias("unnamed"),
         size.cast("long").alias("size"),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")).alias("mix_key"),
+        F.md5(F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null "), tie.cast("string"))).cast("binary")).alias("mix_key"),
+        tie.alias("tie"),
     )
     pieces = max(1, df.count() // piece_rows)
     # a piece is an interval of keys, so that pieces in order hold the keys in order
@@ -87,7 +98,7 @@ def mix_sources(
     group = ["name", "unnamed", "piece"]
     before = Window.partitionBy("name", "unnamed").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     bases = rows.groupBy(*group).agg(F.sum("size").alias("sum")).select(*group, F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy(*group).orderBy("mix_key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*group).orderBy("mix_key", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0))).join(bases, group)
     placed = placed.withColumn("start", F.col("base") + F.col("inner")).withColumn("block", F.floor(F.col("start") / block_size).cast("long"))
     cycle = sum(parts.values())

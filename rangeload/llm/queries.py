@@ -69,27 +69,26 @@ def op10_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_levelled_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
-    batches = [batch.select("doc_id", "text") for batch in linededup.file_batches(docs, 4)]
-    kept = linededup.drop_shared_lines(docs.select("doc_id", "text"), batches=batches)
+    kept = linededup.drop_shared_lines(docs.select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 ORACLES["op6_levelled_line_runs"] = """
 WITH split AS (
-  SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+  SELECT nr, doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line
+  FROM (SELECT row_number() OVER () AS nr, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ), keyed AS (
   SELECT *, translate(regexp_replace(regexp_replace(line, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+\\z', ''),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM split
 ), shared AS (
-  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '')) >= 5
 ), judged AS (
-  SELECT doc_id, pos, line, coalesce(doc_id <> last, false) AS lost FROM keyed LEFT JOIN shared USING (key)
+  SELECT nr, doc_id, pos, line, last IS NOT NULL AND doc_id IS DISTINCT FROM last AS lost FROM keyed LEFT JOIN shared USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY nr, doc_id
 """
 
 
@@ -135,7 +134,7 @@ WITH RECURSIVE sized AS (
 ), roots AS (
   SELECT source, floor(sqrt(sum(size)))::BIGINT AS root FROM sized GROUP BY source
 ), shares AS (
-  SELECT source, greatest(1, root * 1000 // (SELECT sum(root) FROM roots))::BIGINT AS parts,
+  SELECT source, greatest(1, root * (SELECT greatest(1000, least(1048576, 50 * count(*))) FROM roots) // (SELECT sum(root) FROM roots))::BIGINT AS parts,
          row_number() OVER (ORDER BY source NULLS FIRST) AS nr
   FROM roots
 ), cycle AS (

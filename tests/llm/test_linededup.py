@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from fixtures import documents
 
-from rangeload.llm.linededup import LineRuns, drop_shared_lines, file_batches, line_summary
+from rangeload.llm.linededup import LineRuns, drop_shared_lines, file_batches, line_batches, long_lines, summed
 
 SPACE = " \t\n\x0b\f\r"
 
@@ -18,7 +18,7 @@ def plainly(rows, min_length=40, min_docs=5):
     seen = {}
     for doc, text in rows:
         for k in {key(line) for line in (text or "").split("\n")}:
-            seen.setdefault(k, []).append(doc)
+            seen.setdefault(k, set()).add(doc)
     order = lambda doc: (doc is not None, doc or 0)
     lost = {k: max(docs, key=order) for k, docs in seen.items() if len(docs) >= min_docs and len(k) >= min_length}
     made = []
@@ -65,7 +65,7 @@ def test_runs_are_levelled(spark):
     runs = LineRuns(spark, fanout=2)
     sizes = []
     for i in range(6):
-        runs.add(line_summary(docs.where(f"doc_id % 6 = {i}"), "doc_id", "text", 40))
+        runs.add(summed(long_lines(docs.where(f"doc_id % 6 = {i}"), "doc_id", "text", 40)))
         sizes.append([len(level) for level in runs.levels])
     assert sizes == [[1], [0, 1], [1, 1], [0, 0, 1], [1, 0, 1], [0, 1, 1]]
     tables = [spark.table(run) for level in runs.levels for run in level]
@@ -95,6 +95,49 @@ def test_files_of_a_table(spark, folder):
     assert found == set(plainly([(r[0], r[1]) for r in rows])) and any(r[3] for r in found)
 
 
+def test_a_table_of_one_file_comes_in_batches(spark, folder, monkeypatch):
+    rows = corpus(random.Random(5), 120)
+    documents(spark, rows, parts=1).write.parquet(f"{folder}/d")
+    docs = spark.read.parquet(f"{folder}/d")
+    met = []
+    add = LineRuns.add
+
+    def watched(self, batch):
+        met.append((batch.count(), sum(map(len, self.levels))))
+        add(self, batch)
+
+    monkeypatch.setattr(LineRuns, "add", watched)
+    made = drop_shared_lines(docs)
+    assert len(met) == 5 and all(many for many, _ in met) and max(runs for _, runs in met) > 1
+    found = {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in made.collect()}
+    assert found == set(plainly([(r[0], r[1]) for r in rows]))
+
+
+def test_a_key_is_in_one_batch(spark):
+    line = "a line that is certainly longer than forty characters"
+    docs = documents(spark, [(1, line, "en", "s", 0)] * 4 + [(2, line, "en", "s", 0)] + [(None, line, "en", "s", 0)] * 3, parts=8)
+    parts = [r for batch in line_batches(docs, "doc_id", "text", 40, 5) for r in batch.collect()]
+    assert sum(r["docs"] for r in parts) == 3
+    assert {r["n_dropped"] for r in drop_shared_lines(docs).collect()} == {0}
+    assert {r["n_dropped"] for r in drop_shared_lines(docs, min_docs=3).collect()} == {0, 1}
+
+
+def test_sql_on_repeated_and_missing_keys(spark, folder):
+    import duckdb
+
+    from rangeload.llm.queries import ORACLES, op6_levelled_line_runs
+
+    line = "a line that is certainly longer than forty characters"
+    rows = [(1, f"{line}\nown", "en", "s", 0)] * 4 + [(2, f"own\n{line}", "en", "s", 0), (None, line, "en", "s", 0), (None, f"{line}\nb", "en", "s", 0)]
+    rows += [(i, f"{i}\nanother {line}", "en", "s", 0) for i in range(3, 9)] + [(None, f"another {line}", None, None, None), (20, None, None, None, None)]
+    documents(spark, rows, parts=1).write.parquet(f"{folder}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    theirs = db.execute(ORACLES["op6_levelled_line_runs"]).fetchall()
+    mine = [tuple(r) for r in op6_levelled_line_runs(spark, folder).collect()]
+    assert sorted(map(repr, mine)) == sorted(map(repr, theirs)) and {r[2] for r in mine} == {0, 1}
+
+
 def test_rows_with_one_key_lose_their_own_lines(spark):
     line = "a line that is certainly longer than forty characters"
     rows = [(i, f"own {i}\n{line}", "en", "s", 0) for i in range(5)]

@@ -73,3 +73,20 @@ def test_a_large_source_is_spread(spark):
     plan = mixed._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert sorted(r["start"] for r in mixed.collect()) == list(range(4000))
+
+
+def test_many_sources_keep_their_weights(spark):
+    rows = spark.range(40_000).selectExpr("id as doc_id", "concat('s', if(id < 20000, 0, id % 1000)) as source").withColumn("text", F.lit("x"))
+    parts = tempered_parts(rows, "source", F.lit(1), 1000)
+    roots = {r["source"]: r["n"] ** 0.5 // 1 for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert sum(parts.values()) <= 1 << 20
+    for source in ("s0", "s1"):
+        target = roots[source] / sum(roots.values())
+        assert abs(parts[source] / sum(parts.values()) - target) < 0.03 * target
+
+
+def test_many_rows_without_a_key_are_spread(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "'only' as source", "string(id) as text")
+    mixed = mix_sources(rows, {"only": 1}, block_size=10, piece_rows=100).collect()
+    assert sorted(r["start"] for r in mixed) == list(range(3000))
+    assert len({r["mix_key"] for r in mixed}) == 3000
