@@ -59,7 +59,7 @@ SELECT CAST(i AS INTEGER) AS range_id, edge AS lower, following AS upper, '>=' A
 FROM numbered WHERE following IS NOT NULL
 """)
 def bounds_quantile(spark, folder):
-    return quantile_ranges(table(spark, folder, "events"), "value", 8).frame(spark)
+    return quantile_ranges(table(spark, folder, "events"), "value", 8, tolerance=0.0).frame(spark)
 
 
 @query(_bounds_sql("orders", "o_orderkey", 3, "lo + (hi - lo) // 3 * i", "lo + (hi - lo) // 3 * (i + 1)", ">"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rangeload.catalog.registry import query, table
 from rangeload.functions.durations import format_duration
 from rangeload.operators.ordering import order_output, top_k
-from rangeload.operators.stats import count_new, first_last
+from rangeload.operators.stats import count_new, first_last, first_last_of_files
 from rangeload.plans.offsets import OffsetType
 
 
@@ -26,6 +26,12 @@ def first_last_offset(spark, folder):
     return first_last(table(spark, folder, "events"), "ts")
 
 
+@query("SELECT min(event_id) AS first_offset, max(event_id) AS last_offset FROM events")
+def first_last_offset_of_files(spark, folder):
+    """From the footers of the files."""
+    return first_last_of_files(spark, f"{folder}/events.parquet", "event_id")
+
+
 @query("""
 SELECT count(*) FILTER (WHERE event_type = 'click') AS new_rows, max(ts) AS last_offset
 FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00'

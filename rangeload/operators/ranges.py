@@ -19,7 +19,7 @@ from rangeload.plans.bounds import (
     with_count,
     with_index,
 )
-from rangeload.plans.histogram import quantile_cuts
+from rangeload.plans.histogram import quantile_cuts, sketched_cuts
 from rangeload.plans.offsets import OffsetType
 
 
@@ -122,17 +122,20 @@ def quantile_ranges(
     """Ranges that hold about equally many rows, for skewed offsets.
 
     ``tolerance`` is the share of all rows by which an edge may be off; a twentieth of
-    an even range if not given, which mostly takes a single pass. Zero is exact.
-    Fewer than ``n`` come back when single values hold more than their share.
+    an even range if not given, which takes a single pass that merges sketches (text, wide decimals, and
+    thousands of ranges are counted in histograms instead). Zero is exact. Fewer than ``n`` come back when single values hold more than their share.
     """
     filters = [where] if isinstance(where, (Column, str)) else list(where)
     rows = apply_filters(df, *filters)
-    stats = offset_stats(rows, offset)
-    if stats.first is None:
-        return RangeScan(rows, offset, [])
-    whole = OffsetRange(0, stats.first, stats.last)
-    cuts = quantile_cuts(rows, offset, whole, n, 0.05 / n if tolerance is None else tolerance)
-    return RangeScan(rows, offset, ranges_from_edges([stats.first, *cuts, stats.last]))
+    tolerance = 0.05 / n if tolerance is None else tolerance
+    found = sketched_cuts(rows, offset, n, tolerance)
+    if found is None:
+        stats = offset_stats(rows, offset)
+        found = stats.first, stats.last, []
+        if stats.first is not None:
+            found = stats.first, stats.last, quantile_cuts(rows, offset, OffsetRange(0, stats.first, stats.last), n, tolerance)
+    first, last, cuts = found
+    return RangeScan(rows, offset, [] if first is None else ranges_from_edges([first, *cuts, last]))
 
 
 # Fixed value: about what one task sorts in memory.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangeload.operators.filters import as_column
@@ -50,6 +50,22 @@ def first_last(df: DataFrame, offset: str) -> DataFrame:
     return df.agg(F.min(column).alias("first_offset"), F.max(column).alias("last_offset"))
 
 
+def first_last_of_files(spark: SparkSession, path: str, offset: str) -> DataFrame:
+    """The same for the Parquet files in ``path``, from their footers where these have it.
+
+    They have exact ends of integers and dates, so no row is read for these; text is cut short there, a NaN may hide
+    the ends of doubles, and for timestamps the reader does not ask, so the column of these is read. The
+    plan belongs to a session of its own, in which the reader may answer from footers.
+    """
+    files = spark.read.parquet(path)
+    if OffsetType.of(files, offset).kind not in ("integer", "date"):
+        return first_last(files, offset)
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return first_last(session.read.parquet(path), offset)
+
+
 def count_new(df: DataFrame, offset: str, after, where: Column | str | None = None) -> DataFrame:
     """One row: matching rows past ``after`` and the last offset of the table.
 

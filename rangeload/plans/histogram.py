@@ -9,6 +9,7 @@ their own, so cuts are exact and one frequent value costs nothing extra.
 from __future__ import annotations
 
 import bisect
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -238,6 +239,32 @@ def with_finer(chunks: list[Chunk], finer: list[Chunk]) -> list[Chunk]:
     return sorted([c for c in chunks if not replaced(c)] + finer, key=lambda c: c.end)
 
 
+#: Of the error of a KLL sketch, ``factor / k ** power`` of the rows for 99 in 100 sketches; the largest k.
+KLL_FACTOR, KLL_POWER, KLL_MOST = 2.296, 0.9021, 65_535
+#: A sketch of this size keeps so many rows exactly, and costs a task some hundred kilobytes.
+KLL_LEAST = 8_192
+
+
+def sketched_cuts(df: DataFrame, offset: str, parts: int, tolerance: float) -> tuple[object, object, list] | None:
+    """First and last offset, and the offsets of the rows ranked about ``ceil(i * rows / parts)``, from one pass.
+
+    Tasks make KLL sketches, which are merged; ranks are off by ``tolerance`` of all rows at most, as 99 sketches in
+    100 are. None if the type has no sketch, or one so close would be too large; a table without offsets has none.
+    """
+    kind = OffsetType.of(df, offset)
+    number, needed = kind.number(offset), math.ceil((KLL_FACTOR / tolerance) ** (1 / KLL_POWER)) if tolerance > 0 else KLL_MOST + 1
+    if number is None or needed > KLL_MOST:
+        return None
+    of = "double" if kind.kind == "double" else "bigint"
+    values = df.select(kind.usable(F.col(offset)).alias(offset)).select(F.expr(number).alias("unit"))
+    sketch = getattr(F, f"kll_sketch_agg_{of}")("unit", F.lit(max(KLL_LEAST, needed)))
+    made = values.agg(sketch.alias("sketch"), F.min("unit").alias("first"), F.max("unit").alias("last"))
+    ranks = F.array(*[F.lit(i / parts) for i in range(1, parts)]) if parts > 1 else None
+    cuts = getattr(F, f"kll_sketch_get_quantile_{of}")("sketch", ranks) if parts > 1 else F.array()
+    row = made.select("first", "last", F.when(F.col("first").isNotNull(), cuts).alias("cuts")).first()
+    return (row["first"], row["last"], list(row["cuts"] or []))
+
+
 def quantile_cuts(df: DataFrame, offset: str, whole: OffsetRange, parts: int, tolerance: float = 0.0) -> list:
     """Offsets of the rows ranked ``ceil(i * rows / parts)`` for i = 1 .. parts - 1.
 

@@ -173,6 +173,14 @@ class OffsetType:
             )
         return f"unix_date({column})" if self.kind == "date" else column
 
+    def number(self, name: str) -> str | None:
+        """SQL of the column's unit as a bigint, or a double for a double; None if it fits neither."""
+        if self.kind == "string" or (self.kind == "decimal" and self.data_type.precision > 18):
+            return None
+        if self.kind == "decimal":
+            return f"CAST({quoted(name)} * {10**self.data_type.scale} AS BIGINT)"
+        return f"CAST({self._collectable(name)} AS {'DOUBLE' if self.kind == 'double' else 'BIGINT'})"
+
     def within(self, name: str, spans: list[tuple], which: str) -> str:
         """SQL of where a column lies inside ``spans[which]``, from 0 to 1.
 

@@ -1,5 +1,6 @@
 """Range scans, histograms and cuts against brute force."""
 
+import bisect
 import random
 from collections import Counter
 from datetime import date, datetime, timedelta
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 import plans
 from rangeload import OffsetType, order_output, quantile_ranges, range_scan
 from rangeload.operators.ranges import tasks_for
-from rangeload.operators.stats import count_new, first_last, offset_stats
+from rangeload.operators.stats import count_new, first_last, first_last_of_files, offset_stats
 from rangeload.plans.bounds import OffsetRange, with_count, with_index
 from rangeload.plans.histogram import (
     chunks_of,
@@ -21,6 +22,7 @@ from rangeload.plans.histogram import (
     plan_chunks,
     quantile_cuts,
     refine_chunks,
+    sketched_cuts,
 )
 
 
@@ -158,13 +160,13 @@ def test_chunks_hold_the_cap_unless_one_value_is_larger(column):
     while True:
         chunks, _ = refine_chunks(offsets, kind, chunks, [left], cap)
         cut = next_cut(chunks, left)
-        stop = left.upper if cut is None else cut
+        stop = left.upper if cut is None else cut[0]
         piece = [v for v in values if (v > left.lower or (v == left.lower and left.lo_op == ">=")) and v <= stop]
         loaded += len(piece)
         assert piece and (len(piece) <= cap or len(set(piece)) == 1)
         if cut is None:
             break
-        left = left.moved_to(cut)
+        left = left.moved_to(cut[0])
     assert loaded == len(values)
 
 
@@ -173,7 +175,7 @@ def test_chunks_of_joins_neighbours(column):
 
     found = chunks_of([Bucket(0, 1, 4), Bucket(2, 3, 4), Bucket(4, 5, 4), Bucket(6, 6, 99), Bucket(7, 9, 99)], 8)
     assert [(c.first, c.cut, c.rows, c.full) for c in found] == [
-        (0, 3, 8, False), (4, 5, 4, False), (6, 6, 99, False), (7, 9, 99, True),
+        (0, 3, 8, False), (4, 5, 4, False), (6, 6, 99, True), (7, 9, 99, True),
     ]
 
 
@@ -274,3 +276,55 @@ def test_count_new_counts_with_and_looks_past_the_filter(spark):
     assert tuple(count_new(df, "v", 5, "odd = 0").first()) == (2, 9)
     assert tuple(count_new(df, "v", None, "odd = 0").first()) == (5, 9)
     assert tuple(count_new(df, "v", 9).first()) == (0, None)
+
+
+def test_sketches_are_as_close_as_asked(spark):
+    """One pass; ranks within the tolerance, exact where asked for, histograms where there is no sketch."""
+    many = 200_000
+    df = spark.range(many).selectExpr(
+        "pmod(hash(id), 1000000) * pmod(hash(id, 1), 1000) as whole", "sqrt(id) as real", "timestamp_micros(id * id) as at",
+        "cast(id as decimal(12,2)) as money", "cast(id as decimal(30,2)) as wide", "string(id) as text",
+    )
+    df = spark.createDataFrame(df.collect(), df.schema).repartition(8).cache()
+    for column in ("whole", "real", "at", "money"):
+        kind = OffsetType.of(df, column)
+        values = sorted(kind.parse(r[0]) for r in df.select(column).collect())
+        first, last, cuts = sketched_cuts(df, column, 16, 0.05 / 16)
+        assert (first, last) == (values[0], values[-1])
+        for i, cut in enumerate(cuts, 1):
+            low, high = bisect.bisect_left(values, cut), bisect.bisect_right(values, cut)
+            assert low - 0.004 * many <= i * many / 16 <= high + 0.004 * many
+        exact = quantile_ranges(df, column, 16, tolerance=0.0)
+        assert [r.upper for r in exact.ranges[:-1]] == [values[-(-i * many // 16) - 1] for i in range(1, 16)]
+    assert sketched_cuts(df, "wide", 4, 0.01) is None and sketched_cuts(df, "text", 4, 0.01) is None
+    assert sketched_cuts(df, "whole", 4, 0.0) is None
+    assert len(quantile_ranges(df, "wide", 4).ranges) == len(quantile_ranges(df, "text", 4).ranges) == 4
+    assert quantile_ranges(df.where("false"), "whole", 4).ranges == []
+
+
+def test_default_quantile_ranges_take_one_job(spark, folder):
+    spark.range(50_000).selectExpr("id", "hash(id) as v").write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it runs every stage as a job
+    spark.sparkContext.setJobGroup(folder, "quantiles")
+    try:
+        found = quantile_ranges(df, "v", 16)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(folder)) == 1 and len(found.ranges) == 16
+
+
+@pytest.mark.parametrize(("column", "pushed"), [("id", True), ("small", True), ("day", True), ("real", False), ("at", False), ("text", False)])
+def test_first_and_last_from_footers(spark, folder, column, pushed):
+    df = spark.range(1000).selectExpr(
+        "id", "int(id % 77) as small", "date_add(date'2020-01-01', int(id)) as day", "if(id = 3, double('NaN'), sqrt(id)) as real",
+        "timestamp_micros(id) as at", "string(id) as text",
+    )
+    df.repartition(5).write.parquet(f"{folder}/t")
+    found = first_last_of_files(spark, f"{folder}/t", column)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("PushedAggregation: [MIN" in plan) == pushed
+    assert found.first() == first_last(spark.read.parquet(f"{folder}/t"), column).first()
+    df.where("false").write.parquet(f"{folder}/none")
+    assert tuple(first_last_of_files(spark, f"{folder}/none", column).first()) == (None, None)
