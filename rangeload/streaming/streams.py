@@ -16,6 +16,7 @@ from rangeload.operators.scan import scan
 from rangeload.options import LoadOptions
 from rangeload.plans.offsets import OffsetType
 from rangeload.sources.sinks import TEXT_TIMES
+from rangeload.streaming.state import StateFiles
 
 
 def _globbed(path: str) -> str:
@@ -54,9 +55,10 @@ def start_stream(
     """Append the stream to files.
 
     Without an interval all that is available is loaded and the query ends,
-    else it keeps polling. Progress is recorded from the start.
+    else it keeps polling. Progress is recorded from the start, in the checkpoint folder, where
+    it outlives the driver.
     """
-    session_progress(rows.sparkSession)
+    listener = session_progress(rows.sparkSession)
     writer = rows.writeStream.outputMode("append").format(fmt)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if fmt in ("json", "csv"):
@@ -64,8 +66,11 @@ def start_stream(
     if query_name:
         writer = writer.queryName(query_name)
     if poll_interval_ms is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{poll_interval_ms} milliseconds").start()
+        query = writer.trigger(availableNow=True).start()
+    else:
+        query = writer.trigger(processingTime=f"{poll_interval_ms} milliseconds").start()
+    listener.keep(query, BatchTable(rows.sparkSession, checkpoint))
+    return query
 
 
 def load_once(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
@@ -137,20 +142,69 @@ def drop_replayed_stream(rows: DataFrame, keys: Sequence[str], delay: str, sprea
 STARTING, PROCESSING, WAITING, FINISHED, FAILED = "STARTING", "PROCESSING_DATA", "WAITING_DATA", "FINISHED", "FAILED"
 
 
+class BatchTable:
+    """The micro-batches of one query, beside its checkpoint: a document for each, and then one for every hundred."""
+
+    # How many micro-batches share a document, and the columns of the table.
+    MANY = 100
+    BATCH = "query_id string, query_name string, batch_id bigint, at string, rows bigint, took_ms bigint"
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self._spark, self._folder = spark, f"{checkpoint.rstrip('/')}/batches"
+        self._documents = StateFiles(spark, self._folder)
+        self._single = self._documents.numbers("one")
+
+    def append(self, batch: dict) -> None:
+        """Add a batch; one that was run again replaces what it was."""
+        number = batch["batch_id"]
+        self._documents.write("one", number, batch, replace=True)
+        self._single = [n for n in self._single if n != number] + [number]
+        if len(self._single) >= self.MANY:
+            several = [self._documents.read("one", n) for n in self._single]
+            self._documents.write("many", number, {"batches": several}, replace=True)
+            for n in self._single:
+                self._documents.remove(self._documents.path("one", n))
+            self._single = []
+
+    def read(self) -> DataFrame:
+        """One row for each batch."""
+        found = self._spark.createDataFrame([], self.BATCH)
+        if self._documents.numbers("one"):
+            found = found.union(self._spark.read.schema(self.BATCH).json(f"{self._folder}/one/*.json"))
+        if self._documents.numbers("many"):
+            several = self._spark.read.schema(f"batches array<struct<{self.BATCH}>>").json(f"{self._folder}/many/*.json")
+            found = found.union(several.select(F.explode("batches").alias("b")).select("b.*"))
+        return found.dropDuplicates(["query_id", "batch_id"]).withColumn("at", F.col("at").cast("timestamp"))
+
+
 class ProgressListener(StreamingQueryListener):
-    """State, totals and micro-batches of every stream of the session, by query id.
+    """State and totals of every stream of the session, by query id.
 
     Register with ``spark.streams.addListener``. Totals are summed as batches end, so
-    they are whole however many there were; one small row per batch is kept.
+    they are whole however many there were. Batches go to the table that ``keep`` names; until then, and for
+    streams without one, they are held here.
     """
 
     def __init__(self):
         self.queries: dict[str, dict] = {}
-        self.batches: dict[str, list[tuple]] = {}
+        self.batches: dict[str, list[dict]] = {}
+        self.tables: dict[str, BatchTable] = {}
         self._changed = threading.Condition()
 
+    def keep(self, query: StreamingQuery, table: BatchTable) -> None:
+        """Append the batches of ``query`` to ``table``, also those that ended already."""
+        with self._changed:
+            self.tables[str(query.id)] = table
+            for batch in self.batches.pop(str(query.id), []):
+                table.append(batch)
+
+    def _record(self, batch: dict) -> None:
+        if batch["query_id"] in self.tables:
+            self.tables[batch["query_id"]].append(batch)
+        else:
+            self.batches.setdefault(batch["query_id"], []).append(batch)
+
     def _seen(self, query_id: str, name: str | None) -> dict:
-        self.batches.setdefault(query_id, [])
         return self.queries.setdefault(query_id, {"name": name, "status": STARTING, "rows": 0, "batches": 0, "last_batch": -1})
 
     def onQueryStarted(self, event):
@@ -167,8 +221,8 @@ class ProgressListener(StreamingQueryListener):
             seen["batches"] += 1 if progress.numInputRows else 0
             seen["last_batch"] = progress.batchId
             if progress.numInputRows:
-                batch = (progress.batchId, progress.timestamp, progress.numInputRows, progress.batchDuration)
-                self.batches[str(progress.id)].append(batch)
+                told = (str(progress.id), progress.name, progress.batchId, progress.timestamp, progress.numInputRows, progress.batchDuration)
+                self._record(dict(zip(("query_id", "query_name", "batch_id", "at", "rows", "took_ms"), told, strict=True)))
             self._changed.notify_all()
 
     def onQueryIdle(self, event):
@@ -207,11 +261,13 @@ def session_progress(spark: SparkSession) -> ProgressListener:
     return _LISTENERS[spark]
 
 
-def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Micro-batches with rows of a query that ``start_stream`` began: rows and time of every one."""
+def stream_progress(spark: SparkSession, query: StreamingQuery | str) -> DataFrame:
+    """Micro-batches with rows of a query that ``start_stream`` began: rows and time of every one.
+
+    For a query that another driver ran, or that has ended, its checkpoint folder is given.
+    """
+    if isinstance(query, str):
+        return BatchTable(spark, query).read()
     listener = session_progress(spark)
     listener.wait_for(query)
-    name = listener.queries[str(query.id)]["name"]
-    batches = [(str(query.id), name, *batch) for batch in listener.batches[str(query.id)]]
-    schema = "query_id string, query_name string, batch_id bigint, at string, rows bigint, took_ms bigint"
-    return spark.createDataFrame(batches, schema).withColumn("at", F.col("at").cast("timestamp"))
+    return listener.tables[str(query.id)].read()

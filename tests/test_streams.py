@@ -1,6 +1,7 @@
 """Native streams and batch sinks."""
 
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +10,12 @@ from rangeload import LoadOptions, scratch_dir
 from rangeload.sources.sinks import read_csv, write_csv, write_parquet
 from rangeload.sources.tables import read_table
 from rangeload.streaming.streams import (
+    BatchTable,
     ProgressListener,
     drop_replayed_stream,
     load_once,
     read_stream,
+    session_progress,
     start_stream,
     stream_progress,
     stream_table,
@@ -173,3 +176,25 @@ def test_scratch_is_where_the_session_says():
     assert scratch_dir(Session("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session("yarn"))
+
+
+def test_progress_outlives_the_session(spark, folder, monkeypatch):
+    """Batches of two runs, folded by threes, read without the query in a session that never heard of it."""
+    monkeypatch.setattr(BatchTable, "MANY", 3)
+    schema = spark.range(1).schema
+    for part in range(4):
+        spark.range(part * 10, part * 10 + 10).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    for turn in range(2):
+        rows = read_stream(spark, f"{folder}/in", schema, max_files=1)
+        query = start_stream(rows, f"{folder}/out", f"{folder}/check", query_name="kept")
+        query.awaitTermination()
+        session_progress(spark).wait_for(query)
+        spark.range(1000 + turn * 10, 1010 + turn * 10).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    other = spark.newSession()
+    found = stream_progress(other, f"{folder}/check").orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in found] == list(range(5)) and {r["rows"] for r in found} == {10}
+    assert {(r["query_id"], r["query_name"]) for r in found} == {(str(query.id), "kept")}
+    documents = list(Path(folder, "check", "batches").glob("*/[0-9]*.json"))
+    assert len(documents) == 3
+    assert session_progress(spark).batches.get(str(query.id)) is None, "the driver holds no batches"
+    assert stream_progress(other, f"{folder}/none").count() == 0
