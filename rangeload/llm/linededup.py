@@ -58,6 +58,7 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """Merge a batch of one row per hash (``h1, h2, docs, last``) into the index."""
+        batch = batch.repartition(self.buckets, *HASH)  # a file for each bucket, not one for each task and bucket
         if not any(self.levels):
             self.levels[0].append(self._write(batch))
             return
@@ -187,7 +188,7 @@ def drop_shared_lines(
     if isinstance(batches, int):
         summaries = line_batches(df, key, text, min_length, batches)
     else:
-        summaries = [settle(summed(long_lines(batch, key, text, min_length))) for batch in batches]
+        summaries = [written(summed(long_lines(batch, key, text, min_length)), "line-batch") for batch in batches]
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = LineRuns(df.sparkSession, fanout, max(least, sum(s.count() for s in summaries) // bucket_hashes))
     try:
