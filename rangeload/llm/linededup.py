@@ -198,9 +198,9 @@ def drop_shared_lines(
     finally:
         runs.clear()
     columns = df.columns
-    written = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    row = [F.col(key).cast("long").alias("doc"), *[h.alias(name) for h, name in zip(_hashed(written), ("t1", "t2"), strict=True)]]
-    lines = df.select(*row, F.posexplode(F.split(written, "\n")).alias("at", "line")).withColumn("line", line_key(F.col("line")))
+    filled = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    row = [F.col(key).cast("long").alias("doc"), *[h.alias(name) for h, name in zip(_hashed(filled), ("t1", "t2"), strict=True)]]
+    lines = df.select(*row, F.posexplode(F.split(filled, "\n")).alias("at", "line")).withColumn("line", line_key(F.col("line")))
     lines = lines.where(F.length("line") >= min_length).select("doc", "t1", "t2", "at", *_hashed(F.col("line")))
     lost = lines.join(shared, HASH).where(~F.col("doc").eqNullSafe(F.col("last")))
     lost = lost.groupBy(F.col("doc").alias("of"), F.col("t1").alias("o1"), F.col("t2").alias("o2")).agg(F.collect_set("at").alias("lost"))
