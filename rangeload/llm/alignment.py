@@ -54,10 +54,10 @@ def word_keys(text: str) -> list[str]:
 
 
 class Aligner:
-    """Numbers words and aligns each of them once, until it has met ``most`` and forgets them all."""
+    """Numbers words and aligns each of them once, until it has met ``most``, or so many characters, and forgets them all."""
 
-    def __init__(self, a_path: str, b_path: str, most: int = 250_000):
-        self.most = most
+    def __init__(self, a_path: str, b_path: str, most: int = 250_000, most_characters: int = 8_000_000):
+        self.most, self.most_characters = most, most_characters
         self.a = WordTable(a_path, tuple, {}, most=1)
         self.a.tokenizer.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=b_path)
@@ -78,6 +78,7 @@ class Aligner:
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
+        self.characters = 0
         self.groups: list[bytes] = []
         self.whole = np.zeros(0, bool)
         self.stats = np.zeros((0, 4), np.int64)
@@ -155,7 +156,7 @@ class Aligner:
 
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the words of some texts one after another, and how many each text has."""
-        if len(self.numbers) > self.most:
+        if len(self.numbers) > self.most or self.characters > self.most_characters:
             self.forget()
         numbers, known = self.numbers, len(self.numbers)
         found, many = [], []
@@ -164,7 +165,9 @@ class Aligner:
             found += [numbers.setdefault(word, len(numbers)) for word in words]
             many.append(len(words))
         if len(numbers) > known:
-            self.learn(list(numbers)[known:])
+            fresh = list(numbers)[known:]
+            self.characters += sum(map(len, fresh))
+            self.learn(fresh)
         return np.array(found, np.int64), np.array(many, np.int64)
 
 

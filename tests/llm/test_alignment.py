@@ -138,3 +138,14 @@ def test_query_on_odd_rows(spark, folder, clash):
 def test_query_on_an_empty_table(spark, folder):
     documents(spark, []).write.parquet(f"{folder}/documents.parquet")
     assert queries.op13_pair_bitmaps(spark, folder).collect() == []
+
+
+def test_a_worker_forgets():
+    aligner = alignment.Aligner(A, B, most=50, most_characters=400)
+    rng = random.Random(8)
+    for _ in range(30):
+        texts = [words(rng, 20), "a tab\t" * 40, None]
+        numbers, many = aligner.number(texts)
+        assert many.tolist() == [20, 1, 0] and len(aligner.sizes) == len(aligner.numbers) == len(aligner.groups)
+        assert len(aligner.numbers) <= 50 + 21 and aligner.characters <= 400 + 400
+        assert aligner.stats[numbers[20]].tolist()[2] == len(groups_of(texts[1]))
