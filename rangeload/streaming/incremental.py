@@ -54,6 +54,9 @@ Reader = Callable[[SparkSession, Column | None], DataFrame]
 # States of a load.
 PROCESSING, WAITING, FINISHED, FAILED = "PROCESSING_DATA", "WAITING_DATA", "FINISHED", "FAILED"
 
+# Fixed value: so many state documents are folded into one of what their steps did.
+FOLDED = 100
+
 # Fixed value: the column that tells the folders of steps apart.
 STEP = "load_step"
 
@@ -154,7 +157,7 @@ class IncrementalLoader:
     def _claim(self) -> None:
         """Become or stay the loader of this root."""
         documents, version = self._documents, self._state["version"]
-        if documents.exists(documents.path("state", version + 1)):
+        if documents.numbers("state")[-1] > version:
             raise ConcurrentLoad(f"another loader has gone on with {self.root}")
         if self._owner is None:
             owners = documents.numbers("owner")
@@ -278,7 +281,8 @@ class IncrementalLoader:
         return self._save(state)
 
     def _save(self, state: dict) -> dict:
-        """Each save is a new document; none is ever replaced."""
+        """Each save is a new document; none is ever replaced. After ``FOLDED`` of them, what the older ones
+        tell of their steps is kept in one document, so few are listed at a restart, however many steps there were."""
         text = self.kind.to_text
         state = {**state, "version": state["version"] + 1}
         self._documents.write(
@@ -292,8 +296,18 @@ class IncrementalLoader:
                 "status": self._status(state),
             },
         )
+        if (state["version"] + 1) % FOLDED == 0:
+            self._fold(state["version"])
         return state
 
+    def _fold(self, version: int) -> None:
+        older = [n for n in self._documents.numbers("state") if n < version]
+        steps = [self._documents.read("state", n) for n in older]
+        told = [{name: s[name] for name in ("step", "rows", "done", "started_ms", "took_ms")} for s in steps if s["done"]]
+        self._documents.write("history", version, {"steps": told}, replace=True)
+        for n in older:
+            self._documents.remove(self._documents.path("state", n))
+
     def _restore(self) -> dict | None:
         numbers = self._documents.numbers("state")
         if not numbers:
@@ -601,7 +615,10 @@ class IncrementalLoader:
         more rows than the cap shared the offsets of a cut, and the sum of all rows so far."""
         piece = "range_id int, lower string, lo_op string, upper string, hi_op string, cursor string, rows bigint, done boolean, over_cap boolean"
         schema = f"step int, rows bigint, done array<struct<{piece}>>, started_ms bigint, took_ms bigint"
-        steps = self.spark.read.schema(schema).json(f"{self.root}/state/*.json")
+        steps = self.spark.read.schema(schema).json(f"{self.root}/state/*.json").where(F.size("done") > 0)
+        if self._documents.numbers("history"):
+            folded = self.spark.read.schema(f"steps array<struct<{schema}>>").json(f"{self.root}/history/*.json")
+            steps = steps.union(folded.select(F.explode("steps").alias("s")).select("s.*")).dropDuplicates(["step"])
         each = steps.select("step", F.col("rows").alias("rows_so_far"), F.explode("done").alias("r"), "started_ms", "took_ms")
         return each.select(
             "step",

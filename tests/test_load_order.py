@@ -316,3 +316,25 @@ def test_names_are_given_once_on_other_file_systems(spark, folder):
     with pytest.raises(ConcurrentLoad):
         documents.write("state", 1, {"a": 2})
     assert documents.read("state", 1) == {"a": 1}
+
+
+# -- the log of states --------------------------------------------------------------
+
+
+def test_states_are_folded(spark, folder, monkeypatch):
+    """Few documents are listed at a restart, and progress tells of all steps."""
+    monkeypatch.setattr("rangeload.streaming.incremental.FOLDED", 4)
+    rows = spark.createDataFrame([(i, i) for i in range(300)], "id int, v bigint")
+    loader = IncrementalLoader(spark, rows, folder, options(num_ranges=1, max_records=20))
+    late = IncrementalLoader(spark, rows, folder, options(num_ranges=1, max_records=20))
+    for _ in range(6):
+        loader.step()
+    with pytest.raises(ConcurrentLoad):
+        late.step()
+    again = IncrementalLoader(spark, rows, folder, options(num_ranges=1, max_records=20))
+    again.load_available()
+    assert ids(again) == Counter(range(300))
+    steps = again.summary().first().steps
+    assert steps >= 15 and len(StateFiles(spark, folder).numbers("state")) <= 4
+    progress = again.progress().collect()
+    assert sorted(r.step for r in progress) == list(range(1, steps + 1)) and sum(r.rows for r in progress) == 300
