@@ -28,8 +28,8 @@ CONF_PREFIX = "spark.rangeload."
 class LoadOptions:
     """Checked options of one load.
 
-    ``max_records`` is the soft row cap of a range per step and sizes the ranges
-    planned for new rows; ``max_batches`` caps the files of a native stream's
+    ``max_records`` is the row cap of a range per step (a reader's rows that share an
+    offset are taken at once) and sizes the ranges planned for new rows; ``max_batches`` caps the files of a native stream's
     micro-batch.
     """
 

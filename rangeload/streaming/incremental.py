@@ -7,8 +7,8 @@ those that have not. When all are done the table can be polled for rows past the
 largest offset seen.
 
 The cuts come from a histogram made once when ranges are planned, and the files a
-step has to open from the offsets each file was found to hold, so steps read
-little more than the rows they load. Only ranges, cuts, counts and names of files
+step has to open from the offsets each file was found to hold; files in which the offsets
+are scattered are copied in their order first. So steps read little more than the rows they load. Only ranges, cuts, counts and names of files
 reach the driver; cuts that were passed are forgotten.
 
 Rows whose offset is null or NaN belong to no range. A load works on the files
