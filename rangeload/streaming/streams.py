@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Sequence
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,30 @@ def read_stream(
     return scan(reader.load(_globbed(path)), columns, where)
 
 
+# State on the executors' disks, of which each batch uploads what it changed.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _large_state(spark: SparkSession):
+    """The settings of ``LARGE_STATE`` for a query that is started inside, where the session has none of its own.
+
+    A query keeps the settings it was started with, and one that goes on those in its checkpoint.
+    """
+    given = spark.conf.getAll
+    own = [name for name in LARGE_STATE if name not in given]
+    for name in own:
+        spark.conf.set(name, LARGE_STATE[name])
+    try:
+        yield
+    finally:
+        for name in own:
+            spark.conf.unset(name)
+
+
 def start_stream(
     rows: DataFrame,
     path: str,
@@ -56,7 +81,8 @@ def start_stream(
 
     Without an interval all that is available is loaded and the query ends,
     else it keeps polling. Progress is recorded from the start, in the checkpoint folder, where
-    it outlives the driver.
+    it outlives the driver. State, as of ``drop_replayed_stream``, is on the executors' disks and not in their memory, unless the
+    session names another state store.
     """
     listener = session_progress(rows.sparkSession)
     writer = rows.writeStream.outputMode("append").format(fmt)
@@ -66,9 +92,11 @@ def start_stream(
     if query_name:
         writer = writer.queryName(query_name)
     if poll_interval_ms is None:
-        query = writer.trigger(availableNow=True).start()
+        writer = writer.trigger(availableNow=True)
     else:
-        query = writer.trigger(processingTime=f"{poll_interval_ms} milliseconds").start()
+        writer = writer.trigger(processingTime=f"{poll_interval_ms} milliseconds")
+    with _large_state(rows.sparkSession):
+        query = writer.start()
     listener.keep(query, BatchTable(rows.sparkSession, checkpoint))
     return query
 

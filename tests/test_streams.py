@@ -198,3 +198,15 @@ def test_progress_outlives_the_session(spark, folder, monkeypatch):
     assert len(documents) == 3
     assert session_progress(spark).batches.get(str(query.id)) is None, "the driver holds no batches"
     assert stream_progress(other, f"{folder}/none").count() == 0
+
+
+def test_state_is_on_disk_and_survives_a_restart(spark, folder):
+    """Repeats of earlier runs are dropped by the state in the checkpoint, which comes as changes."""
+    schema = spark.range(1).schema
+    for turn in range(3):
+        spark.range(turn * 50, turn * 50 + 100).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        rows = drop_replayed_stream(read_stream(spark, f"{folder}/in", schema, max_files=1), ["id"], "1 hour")
+        start_stream(rows, f"{folder}/out", f"{folder}/check").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/out").collect()) == list(range(200))
+    assert list(Path(folder, "check", "state").rglob("*.changelog")), "the state store writes changes"
+    assert "spark.sql.streaming.stateStore.providerClass" not in spark.conf.getAll
