@@ -92,6 +92,17 @@ def fingerprint_links(distinct: DataFrame, crowd: int = 8) -> DataFrame:
     return near.union(starred).distinct()
 
 
+def with_roots(nodes: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """``nodes``, one row for each ``fp``, with ``root``, the least fingerprint reachable by links.
+
+    Links are those of at most two bits, and ``others`` (``a``, ``b``) if given.
+    """
+    links = fingerprint_links(nodes.select("fp"))
+    linked = connected_components(links.union(others.select("a", "b")) if others else links)
+    grouped = nodes.join(linked.select(F.col("node").alias("fp"), F.col("component").alias("root")), "fp", "left")
+    return grouped.withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
     """``key``, ``fp`` and ``component``, the least key reachable by links of at most two bits.
 
@@ -101,9 +112,7 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", w
     """
     prints = settle(fingerprints(df, key=key, text=text, width=width, seed=seed))
     nodes = settle(prints.groupBy("fp").agg(F.min(key).alias("least")))
-    linked = connected_components(fingerprint_links(nodes.select("fp")))
-    grouped = nodes.join(linked.select(F.col("node").alias("fp"), F.col("component").alias("root")), "fp", "left")
-    grouped = grouped.withColumn("root", F.coalesce("root", "fp"))
+    grouped = with_roots(nodes)
     least = grouped.groupBy("root").agg(F.min("least").alias("component"))
     by_print = grouped.join(least, "root").select("fp", "component")
     return prints.join(by_print, "fp").select(key, "fp", "component")

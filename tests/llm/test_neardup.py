@@ -4,6 +4,8 @@ import corpus_pipeline
 from fixtures import documents, words
 
 from rangeload.llm.neardup import near_duplicates
+from rangeload.llm.simhash import near_duplicates as by_fingerprint
+from rangeload.llm.simhash import simhash
 
 
 def shingles(text):
@@ -82,3 +84,35 @@ def test_a_crowd_of_copies_that_are_mostly_not_similar(spark):
     assert all(expected[i] == expected[made[i]] for i in texts), "no pair below the threshold is linked"
     merges = len(texts) - len(set(expected.values()))
     assert merges > 100 and len(texts) - len(set(made.values())) >= 0.98 * merges
+
+
+def close_prints(rng):
+    """Two texts whose fingerprints are within two bits though they share less than 0.8 of their shingles."""
+    while True:
+        text = words(rng, 300)
+        other = edited(rng, text, 8)
+        if (simhash(text) ^ simhash(other)).bit_count() <= 2 and not near(text, other):
+            return text, other
+
+
+def test_stage_links_what_fingerprints_link(spark, folder):
+    """A chain of a fingerprint link and one of shingles, rows with equal sets and other fingerprints, an id twice."""
+    rng = random.Random(15)
+    text, other = close_prints(rng)
+    third = next(t for t in iter(lambda: edited(rng, other, 6), None) if near(other, t) and not near(text, t) and min((simhash(t) ^ simhash(x)).bit_count() for x in (text, other)) > 2)
+    turned = " ".join(words(rng, 30).split() * 40)
+    texts = [text, other, third, words(rng, 300), turned, turned + " " + turned, None, " ", words(rng, 300), other]
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts, 1)] + [(None, text, "en", "s", 0), (4, texts[3], "en", "s", 0)])
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, folder)
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 4, 5, 7, 9]
+    apart = {r["doc_id"]: r["component"] for r in near_duplicates(docs).collect()}
+    assert apart[1] == 1 and apart[2] == apart[3] == 2, "shingles alone leave them apart"
+
+
+def test_stage_keeps_one_of_each_group_of_operator_10(spark, folder):
+    rng = random.Random(16)
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate([*corpus(rng), *[t for _ in range(6) for t in close_prints(rng)]], 1)])
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_each_group(spark, docs, folder).collect()}
+    prints = [(r["doc_id"], r["component"]) for r in by_fingerprint(docs).collect()]
+    assert len(set(dict(prints).values())) < len(prints)
+    assert not kept & {i for i, component in prints if i != component}
