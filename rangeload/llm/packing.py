@@ -191,10 +191,13 @@ def token_pieces(
     return made.withColumnRenamed("key", key)
 
 
-def pack_documents(df: DataFrame, path: str, capacity: int = 2048, *, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+def pack_documents(
+    df: DataFrame, path: str, capacity: int = 2048, *, key: str = "doc_id", text: str = "text", keep_ids: bool = False, most_words: int = 250_000
+) -> DataFrame:
     """The pieces of every text, each with its ``sequence_id`` and ``offset``.
 
-    The pieces are written once to the shared folder, since their ranks have to stay.
+    The pieces are written once to the shared folder, since their ranks have to stay. ``most_words``
+    bounds what a worker keeps and changes no result.
     """
-    pieces = written(token_pieces(df, path, capacity, key=key, text=text, keep_ids=keep_ids), "pieces")
+    pieces = written(token_pieces(df, path, capacity, key=key, text=text, keep_ids=keep_ids, most_words=most_words), "pieces")
     return pack(pieces, capacity).drop("block", "rank")

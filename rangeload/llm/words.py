@@ -92,8 +92,8 @@ _ID_TABLES: dict[str, WordTable] = {}
 
 
 def id_table(path: str, most: int) -> WordTable:
-    """The table of packed ids that a worker keeps for the word BPE file at ``path``."""
-    if path not in _ID_TABLES:
+    """The table of packed ids that a worker keeps for the word BPE file at ``path``; another bound starts it anew."""
+    if path not in _ID_TABLES or _ID_TABLES[path].most != most:
         _ID_TABLES.clear()
         _ID_TABLES[path] = WordTable(path, packed, {}, most, lower=True)
     return _ID_TABLES[path]
