@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rangeload.llm.common import settle
 
 
+def _turned(*ends: tuple[str, str]) -> Column:
+    """A row for each of ``ends``, from one pass over the links."""
+    return F.inline(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ends]))
+
+
 def _least_neighbour(links: DataFrame, upward: bool) -> DataFrame:
     """Links from neighbours of each node to the least of the node and its neighbours.
 
-    ``upward`` takes the neighbours above a node, else those below it.
+    ``upward`` takes the neighbours above a node, else those below it. Upward there are no
+    more links than before, so repeated ones can stay until the other step.
     """
     if upward:
-        both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = links.select(_turned(("a", "b"), ("b", "a")))
     else:
         both = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     joined = both.join(least, "a")
     if upward:
-        moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        moved = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-    return moved.where("a <> b").distinct()
+        return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return joined.select(_turned(("b", "m"), ("a", "m"))).where("a <> b").distinct()
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import corpus_pipeline
 from fixtures import documents, words
@@ -116,3 +118,18 @@ def test_stage_keeps_one_of_each_group_of_operator_10(spark, folder):
     prints = [(r["doc_id"], r["component"]) for r in by_fingerprint(docs).collect()]
     assert len(set(dict(prints).values())) < len(prints)
     assert not kept & {i for i, component in prints if i != component}
+
+
+def test_shuffle_files_go_as_queries_end(spark):
+    """They used to stay until the driver collected its garbage, and held more of the disk than the data."""
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    left = lambda: {f for d in local for f in Path(str(d)).rglob("shuffle_*")}
+    frame = spark.createDataFrame([(i, text) for i, text in enumerate(corpus(random.Random(5)))], "doc_id long, text string")
+    before = left()
+    near_duplicates(frame, fingerprints=True)
+    for _ in range(50):  # the files go behind the query
+        if not left() - before:
+            break
+        time.sleep(0.2)
+    assert not left() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

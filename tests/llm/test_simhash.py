@@ -3,7 +3,7 @@ import random
 import xxhash
 from fixtures import documents, words
 
-from rangeload.llm.components import connected_components
+from rangeload.llm.components import _least_neighbour, connected_components
 from rangeload.llm.simhash import fingerprint_links, near_duplicates, simhash
 
 SPACE = " \t\n\x0b\f\r"
@@ -98,3 +98,11 @@ def test_components(spark):
             expected[a] = expected[b] = min(expected[a], expected[b])
     assert found == expected
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_few_shuffles_in_a_round(spark):
+    """A round of both steps used to take eight shuffles; each leaves files and tasks for every partition, however few the links."""
+    links = spark.range(100).selectExpr("id as a", "id + 1 as b").localCheckpoint()
+    plan = _least_neighbour(_least_neighbour(links, upward=True), upward=False)._jdf.queryExecution().sparkPlan().toString()
+    both = _least_neighbour(links, upward=True)._jdf.queryExecution().sparkPlan().toString()
+    assert "Union" not in plan and both.count("HashAggregate") == 2  # partial and final of the minimum, no distinct
