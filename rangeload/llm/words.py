@@ -64,6 +64,8 @@ class WordTable(dict):
 
     def _encode(self, word: str) -> list[int]:
         if self.lower:
+            if word.isascii() and word.isalpha():  # most are, and they are one part
+                return [token.id for token in self.model.tokenize(word.lower())]
             if not _SIMPLE.fullmatch(word):
                 return self.ids(word)
             tokenize = self.model.tokenize
@@ -126,7 +128,8 @@ def text_ids(table: WordTable, texts: pa.Array, most_bytes: int = 4 << 20) -> It
             whole |= pc.match_substring(small, special).to_numpy(zero_copy_only=False)
         words = pc.ascii_split_whitespace(pc.if_else(pa.array(whole), "", small) if whole.any() else small)
         coded = words.flatten().dictionary_encode()
-        each = [table[word] for word in coded.dictionary.to_pylist()]
+        # by way of numpy, as to_pylist makes a scalar of each word first
+        each = [table[word] for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
         flat = np.frombuffer(b"".join(each), "<u4")
         sizes = np.fromiter(map(len, each), np.int32, len(each)) >> 2
         first = np.cumsum(sizes, dtype=np.int32) - sizes
