@@ -5,6 +5,7 @@ from pathlib import Path
 import corpus_pipeline
 from fixtures import documents, words
 
+from rangeload.llm import neardup
 from rangeload.llm.neardup import near_duplicates
 from rangeload.llm.simhash import near_duplicates as by_fingerprint
 from rangeload.llm.simhash import simhash
@@ -88,6 +89,30 @@ def test_a_crowd_of_copies_that_are_mostly_not_similar(spark):
     assert merges > 100 and len(texts) - len(set(made.values())) >= 0.98 * merges
 
 
+def test_finer_groups_are_made_only_inside_open_ones(spark, monkeypatch):
+    """Every node of a crowd used to go to all 105 groups of a finer level, also inside groups that were compared whole."""
+    rng = random.Random(13)
+    base = words(rng, 150)
+    docs = documents(spark, [(i, edited(rng, base, rng.randint(1, 12)), "en", "s", 0) for i in range(300)]).localCheckpoint()
+    entries, made = neardup._entries, {}
+
+    def counted(nodes, bands, level):
+        nodes = nodes.localCheckpoint()
+        found = entries(nodes, bands, level)
+        made[level] = found.count() / nodes.count()
+        return found
+
+    def everywhere(nodes, bands, level):
+        return nodes.selectExpr("node", "root", f"explode(array({', '.join(neardup._keys(bands, level).values())})) as sub")
+
+    results = []
+    for make in (counted, everywhere):
+        monkeypatch.setattr(neardup, "_entries", make)
+        results.append({r["doc_id"]: r["component"] for r in near_duplicates(docs).collect()})
+    assert results[0] == results[1], "what is left out has no pair that was not compared"
+    assert made[0] == 35 and 0 < made[1] < 60 and 0 < made[2] < 60, made
+
+
 def close_prints(rng):
     """Two texts whose fingerprints are within two bits though they share less than 0.8 of their shingles."""
     while True:
