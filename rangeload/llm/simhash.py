@@ -2,7 +2,9 @@
 
 Fingerprints that differ in at most two of 64 bits agree, up to one bit, on one of two
 32-bit segments. Every fingerprint is indexed by its segments with each bit in turn
-left out; fingerprints that share such a variant are candidates and are verified. Where
+left out; fingerprints that share such a variant are candidates and are verified. To count
+them, eight rows of a fingerprint are shuffled, its segments less a byte each, and the 64 variants
+are made in the tasks that get these; only members of a variant of three or more are shuffled by it. Where
 many fingerprints share one variant, as in a large group of near copies, pairs would
 grow with the square of the group: there, the members are matched on the whole
 fingerprint with one bit left out or none. Two fingerprints differ in at most two bits
@@ -67,20 +69,34 @@ def fingerprints(df: DataFrame, *, key: str = "doc_id", text: str = "text", widt
     return narrow.mapInArrow(compute, f"key {kind}, fp long").withColumnRenamed("key", key)
 
 
+def _places(distinct: DataFrame) -> DataFrame:
+    """(``place``, ``fp``): each ``fp`` eight times, by one of its segments without one of its bytes."""
+    rest = "fp & ~shiftleft(255L, 8 * byte)"
+    place = f"byte * 4294967296L + if(byte < 4, {rest} & 4294967295L, shiftrightunsigned({rest}, 32))"
+    return distinct.selectExpr("fp", "explode(sequence(0, 7)) as byte").selectExpr(f"{place} as place", "fp")
+
+
+def _variants(placed: DataFrame) -> DataFrame:
+    """(``place``, ``variant``, ``fp``): the eight variants of a place, its byte with each bit in turn left out."""
+    byte = "cast(shiftrightunsigned(fp, 8 * cast(shiftright(place, 32) as int)) & 255 as int)"
+    each = placed.selectExpr("*", "explode(sequence(0, 7)) as bit")
+    return each.selectExpr("place", f"bit * 256 + ({byte} & ~shiftleft(1, bit)) as variant", "fp")
+
+
 def fingerprint_links(distinct: DataFrame, crowd: int = 8) -> DataFrame:
     """Links (``a``, ``b``) that join any two of the distinct ``fp`` within two bits, directly or through others.
 
     Up to ``crowd`` fingerprints of one variant are compared pair by pair.
     """
-    key = "bit * 4294967296L + if(bit < 32, left_out & 4294967295L, shiftrightunsigned(left_out, 32))"
-    # dealt out before each becomes 64 rows
-    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    left_out = spread.selectExpr("fp", "explode(sequence(0, 63)) as bit").selectExpr("*", "fp & ~shiftleft(1L, bit) as left_out")
-    variants = left_out.selectExpr("fp", f"{key} as variant")
-    counted = variants.groupBy("variant").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    key = ["place", "variant"]
+    placed = _places(distinct)
+    # a variant is in one place, so places are dealt out and each row becomes eight variants where it arrives
+    dealt = placed.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "place")
+    counted = _variants(dealt).groupBy(*key).agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     several = settle(counted.where("n > 1"))
-    members = variants.join(several.where("n > 2").select("variant", "n"), "variant")
-    gathered = members.where(F.col("n") <= crowd).groupBy("variant").agg(F.collect_list("fp").alias("fps"))
+    many = several.where("n > 2").select(*key, "n")
+    members = _variants(placed.join(many.select("place").distinct(), "place", "left_semi")).join(many, key)
+    gathered = members.where(F.col("n") <= crowd).groupBy(*key).agg(F.collect_list("fp").alias("fps"))
     listed = gathered.select(F.explode("fps").alias("a"), "fps").select("a", F.explode("fps").alias("b")).where("a < b")
     candidates = several.where("n = 2").select("a", "b").union(listed)
     near = candidates.where("bit_count(a ^ b) <= 2")

@@ -3,6 +3,7 @@ import random
 import xxhash
 from fixtures import documents, words
 
+from rangeload.llm import simhash as operator
 from rangeload.llm.components import _least_neighbour, connected_components
 from rangeload.llm.simhash import fingerprint_links, near_duplicates, simhash
 
@@ -106,3 +107,45 @@ def test_few_shuffles_in_a_round(spark):
     plan = _least_neighbour(_least_neighbour(links, upward=True), upward=False)._jdf.queryExecution().sparkPlan().toString()
     both = _least_neighbour(links, upward=True)._jdf.queryExecution().sparkPlan().toString()
     assert "Union" not in plan and both.count("HashAggregate") == 2  # partial and final of the minimum, no distinct
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of ``df`` write, which is run for it."""
+    execution = df._jdf.queryExecution()
+    df._jdf.collectToPython()
+
+    def visit(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return visit(node.plan())
+        rows = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        return rows + sum(visit(node.children().apply(i)) for i in range(node.children().size()))
+
+    return visit(execution.executedPlan())
+
+
+def test_variants_are_not_shuffled(spark, monkeypatch):
+    """All 64 variants of each fingerprint used to be shuffled, to count them and again to find who shares one."""
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    near = {base} | {base ^ (1 << bit) for bit in range(0, 64, 8)}
+    prints = near | {rng.getrandbits(64) for _ in range(2_000)}
+    settled = []
+
+    def settle(df):
+        settled.append(df)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(operator, "settle", settle)
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long").localCheckpoint()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = fingerprint_links(df)
+        assert links.count() >= len(near) - 1
+        counted, found = shuffled_rows(settled[0]), shuffled_rows(links.where("a <> b"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < counted <= 9 * len(prints) and 0 < found <= 24 * len(prints)
